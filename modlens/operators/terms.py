@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from modlens.functions import text as tx
 from modlens.functions.lexicon import TOXIC_LABELS
+from modlens.functions.once import evaluate_once
 
 
 def term_counts(df: DataFrame, doc: str, text: str = "text_clean", stop_words=tx.STOP_WORDS) -> DataFrame:
@@ -17,8 +18,8 @@ def term_counts(df: DataFrame, doc: str, text: str = "text_clean", stop_words=tx
     document and term then needs no shuffle of its own: the exploded rows, several
     times the size of the text, stay where they are.
     """
-    words = df.select(F.col(doc).alias("doc"), tx.tokens(F.col(text), stop_words).alias("words"))
-    placed = words.filter(F.size("words") > 0).repartition("doc")
+    words = evaluate_once(df.select(F.col(doc).alias("doc"), text), {"words": tx.tokens(F.col(text), stop_words)})
+    placed = words.filter(F.size("words") > 0).select("doc", "words").repartition("doc")
     terms = placed.select("doc", F.explode(tx.unigrams_and_bigrams(F.col("words"))).alias("term"))
     return terms.groupBy("doc", "term").agg(F.count("*").alias("tf"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from modlens.functions import text as tx
 from modlens.functions.lexicon import DEFAULT_LEXICON, LABELS, Lexicon, keyword_flag
+from modlens.functions.once import evaluate_once
 from modlens.operators import corpus as ops
 from modlens.schemas import CHAT_MERGED_COLUMNS, require_columns, with_missing_columns
 from modlens.sources import dumps
@@ -28,7 +29,7 @@ def merge_corpus(
     that are left.
     """
     require_columns(raw, text)
-    clean = raw.withColumn("text_clean", tx.clean_text(F.col(text)))
+    clean = evaluate_once(raw, {"text_clean": tx.clean_text(F.col(text))})
     counted = clean.withColumn("word_count", tx.word_count(F.col("text_clean"), collapsed=True))
     bounded = ops.in_word_bounds(counted, "word_count", min_words, max_words)
     hashed = bounded.withColumn("text_hash", tx.text_hash(F.col("text_clean")))
@@ -59,7 +60,6 @@ def merge_posts_and_chat(
     p = p.withColumns(
         {
             "source_origin": F.lit("reddit"),
-            "text_clean": tx.clean_text(F.col("text")),
             "_from": F.lit(0),
             "_order": posts_order if posts_order is not None else F.col("uid"),
         }
@@ -72,7 +72,6 @@ def merge_posts_and_chat(
             "uid": ops.chat_uid(chat, id_column),
             "subreddit": F.lit(""),
             "source_type": F.lit("in_game_chat"),
-            "text_clean": tx.clean_text(F.col("utterance")),
             "conda_match_id": F.col("matchId").cast("string") if "matchId" in chat.columns else F.lit(""),
             "conda_conversation_id": F.col("conversationId").cast("string")
             if "conversationId" in chat.columns
@@ -83,7 +82,8 @@ def merge_posts_and_chat(
     c = c.withColumn("_order", chat_order if chat_order is not None else F.col("uid"))
     parts = []
     for frame, least, extra in ((p, min_words_posts, labels), (c, min_words_chat, labels)):
-        counted = frame.withColumn("word_count", tx.word_count(F.col("text_clean"), collapsed=True))
+        clean = evaluate_once(frame, {"text_clean": tx.clean_text(F.col("text"))})
+        counted = clean.withColumn("word_count", tx.word_count(F.col("text_clean"), collapsed=True))
         bounded = ops.in_word_bounds(counted, "word_count", least, None)
         bounded = with_missing_columns(bounded, extra, default=0)
         parts.append(ops.canonical_columns(bounded, CHAT_MERGED_COLUMNS, ["_from", "_order", *extra]))

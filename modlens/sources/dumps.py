@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from modlens.functions import text as tx
 from modlens.functions.lexicon import DEFAULT_LEXICON, Lexicon, keyword_flag
+from modlens.functions.once import evaluate_once
 from modlens.operators.corpus import compose_text, in_communities, keep_first
 from modlens.sources.comments import matching_paths
 
@@ -69,11 +70,8 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """The ``value`` column parsed into ``doc``; null where a line is not a JSON object."""
     doc = F.try_parse_json("value")
     is_object = F.startswith(F.schema_of_variant("doc"), F.lit("OBJECT"))
-    return (
-        lines.filter(F.trim("value") != "")
-        .select("value", doc.alias("doc"))
-        .withColumn("doc", F.when(is_object, F.col("doc")))
-    )
+    parsed = evaluate_once(lines.filter(F.trim("value") != ""), {"doc": doc})
+    return parsed.withColumn("doc", F.when(is_object, F.col("doc")))
 
 
 def malformed_lines(lines: DataFrame) -> DataFrame:
@@ -124,7 +122,7 @@ def dump_records(
         text_field("created_utc").alias("created"),
     )
     text = compose_text(F.col("kind"), F.col("body"), F.col("title"), F.col("selftext"))
-    rows = fields.withColumn("text", text).filter((F.col("raw_id") != "") & (F.col("text") != ""))
+    rows = evaluate_once(fields.filter(F.col("raw_id") != ""), {"text": text}).filter(F.col("text") != "")
     rows = rows.filter(tx.word_count(F.col("text"), collapsed=True) >= min_words)
     if keyword_only:
         rows = rows.filter(keyword_flag(F.col("text"), lexicon))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modlens.functions import text as tx
+from modlens.functions.once import evaluate_once
 from modlens.operators.corpus import keep_first
 
 # Markup of the comment pages and the entities decoded in texts.
@@ -55,16 +56,17 @@ def comment_records(pages: DataFrame, html: str = "html", order_by=(), min_words
     cut = page.select(*order_by, title.alias("post_title"), F.posexplode(pieces).alias("pos", "_p"))
     cut = cut.filter(F.col("_p").rlike(f"^{COMMENT_OPENING}"))
     own_id = F.coalesce(*[F.nullif(F.regexp_extract("_p", p, 1), F.lit("")) for p in COMMENT_ID])
-    rows = cut.select(
+    rows = evaluate_once(cut, {"id": own_id}).filter("id is not null")
+    rows = rows.select(
         *order_by,
         "pos",
-        own_id.alias("id"),
+        "id",
         F.when(F.col("_p").rlike(COMMENT_BODY), F.regexp_extract("_p", COMMENT_BODY, 1)).alias("_body"),
         tx.first_int(F.regexp_extract("_p", COMMENT_SCORE, 1)).alias("upvotes"),
         "post_title",
-    ).filter("id is not null")
+    )
     first = keep_first(rows, ["id"], [*order_by, "pos"])
-    kept = first.filter("_body is not null").withColumn("text", tx.safe_text(markup_text(F.col("_body"))))
+    kept = evaluate_once(first.filter("_body is not null"), {"text": tx.safe_text(markup_text(F.col("_body")))})
     enough = tx.word_count(F.col("text"), collapsed=True) >= min_words
     return kept.filter(enough).select(*order_by, "id", "text", "post_title", "upvotes", F.lit("reddit").alias("source"))
 

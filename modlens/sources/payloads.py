@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modlens.functions import text as tx
+from modlens.functions.once import evaluate_once
 
 # Keys under which services put their record list, in order of trust.
 LIST_KEYS = ("posts", "comments", "results", "items")
@@ -99,12 +100,14 @@ def posts_with_comments(posts: DataFrame, comments: DataFrame, min_words: int =
     own_text = F.coalesce(F.nullif(F.col("selftext"), F.lit("")), F.col("title"), F.lit(""))
     rows = joined.select(
         F.when(alone, F.concat(F.lit("post_"), F.col("post_id"))).otherwise(F.col("comment_id")).alias("id"),
-        tx.safe_text(F.when(alone, own_text).otherwise(F.col("body"))).alias("text"),
+        F.when(alone, own_text).otherwise(F.col("body")).alias("_text"),
         "subreddit",
         tx.safe_text(F.col("title")).alias("post_title"),
         tx.long_or_zero(F.when(alone, F.col("score")).otherwise(F.col("_score"))).alias("upvotes"),
         tx.epoch_to_timestamp(F.when(alone, F.col("created_utc")).otherwise(F.col("_created"))).alias("created_utc"),
         F.lit("reddit").alias("source"),
     )
+    named = rows.filter(F.col("id").isNotNull() & ~F.col("id").isin("", "post_"))
+    cleaned = evaluate_once(named, {"text": tx.safe_text(F.col("_text"))})
     enough = tx.word_count(F.col("text"), collapsed=True) >= min_words
-    return rows.filter(F.col("id").isNotNull() & ~F.col("id").isin("", "post_") & enough)
+    return cleaned.filter(enough).select("id", "text", *[c for c in rows.columns if c not in ("id", "_text")])
