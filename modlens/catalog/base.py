@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from modlens.functions import text as tx
 from modlens.functions.lexicon import DEFAULT_LEXICON, WORD_CLASS
+from modlens.sources.comments import is_single_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,7 +30,10 @@ def query(name: str, sql: str | None = None):
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One sample table; times are read as UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    # a table that is one file has few row groups, hence few busy tasks: deal its rows out to all cores
+    return df.repartition(spark.sparkContext.defaultParallelism) if is_single_file(spark, path) else df
 
 
 # SQL fragments, written apart from the Spark expressions they check

@@ -30,8 +30,8 @@ FIRST = f"""(SELECT * FROM (SELECT *, sha256(lower(text_clean)) AS text_hash FRO
   QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY doc_id) = 1)"""
 
 
-def cleaned(spark, d):
-    docs = evaluate_once(table(spark, d, "documents"), {"text_clean": tx.clean_text(F.col("text"))})
+def cleaned(spark, d, docs=None):
+    docs = evaluate_once(table(spark, d, "documents") if docs is None else docs, {"text_clean": tx.clean_text(F.col("text"))})
     return docs.withColumn("word_count", tx.word_count(F.col("text_clean"), collapsed=True))
 
 
@@ -39,7 +39,7 @@ def annotated(spark, d):
     """Labelled documents: the table's own ``toxic``, the other labels from lexicon categories."""
     gold = table(spark, d, "labels").select("doc_id", "toxic", "quality")
     t = F.col("text_clean")
-    docs = cleaned(spark, d).join(gold, "doc_id").withColumnRenamed("source", "subreddit")
+    docs = cleaned(spark, d, table(spark, d, "documents").join(gold, "doc_id")).withColumnRenamed("source", "subreddit")
     docs = docs.withColumns(
         {
             "harassment": keyword_flag(t, LEX, ["threats_escalation"]).cast("int"),

@@ -132,29 +132,52 @@ def _quote(ch: str) -> str:
     return "\\" + ch if ch in r".^$*+?()[]{}|\/-" else ch
 
 
+#: more alternatives than this are put into groups guarded by their first characters
+GROUP_SIZE = 6
+
+
 def shared_prefix_pattern(words: Iterable[str]) -> str:
     """One regex for a word list with common prefixes factored out.
 
     A flat ``a|b|c`` makes the matcher try every word at every position.  Factored
     by first letter, then second and so on, it gives up after one or two
-    characters.  Optional tails are greedy, so the longest word wins.
+    characters; a look at the next character first picks the group to try.
+    Optional tails are greedy, so the longest word wins.
     """
 
+    def grouped(options: list[tuple[str, str]]) -> str:
+        if len(options) <= GROUP_SIZE:
+            return "|".join(pattern for _, pattern in options)
+        step = -(-len(options) // GROUP_SIZE)
+        parts = [options[i : i + step] for i in range(0, len(options), step)]
+        return "|".join(f"(?=[{''.join(_quote(c) for c, _ in p)}])(?:{grouped(p)})" for p in parts)
+
     def build(tails: list[str]) -> str:
         by_head: dict[str, list[str]] = {}
         for tail in tails:
             if tail:
                 by_head.setdefault(tail[0], []).append(tail[1:])
-        options = [_quote(head) + build(rest) for head, rest in sorted(by_head.items())]
+        options = [(head, _quote(head) + build(rest)) for head, rest in sorted(by_head.items())]
         if not options:
             return ""
         if "" in tails:
-            return f"(?:{'|'.join(options)})?"
-        return options[0] if len(options) == 1 else f"(?:{'|'.join(options)})"
+            return f"(?:{grouped(options)})?"
+        return options[0][1] if len(options) == 1 else f"(?:{grouped(options)})"
 
     return build(sorted(set(words)))
 
 
+def folded(text: Column) -> Column:
+    """Lower case, with the three letters that only case-insensitive matching maps to ``s`` and ``i``.
+
+    Matching folded text against lower-case words is faster than a matcher that
+    ignores case, and says the same.
+    """
+    for odd, plain in (("\u017f", "s"), ("\u0131", "i"), ("\u0130", "i")):
+        text = F.replace(text, F.lit(odd), F.lit(plain))
+    return F.lower(text)
+
+
 def minimal_words(words: Iterable[str]) -> list[str]:
     """Lower-cased words without those that contain another one: the same yes/no answer, fewer tests."""
     lowered = sorted({w.lower() for w in words}, key=len)
@@ -170,7 +193,7 @@ def contains_any(text: Column, words: Iterable[str]) -> Column:
     kept = minimal_words(words)
     if not kept:
         return F.lit(False)
-    return F.coalesce(text.rlike("(?iu)" + shared_prefix_pattern(kept)), F.lit(False))
+    return F.coalesce(folded(text).rlike(shared_prefix_pattern(kept)), F.lit(False))
 
 
 def contains_any_word(text: Column, words: Iterable[str]) -> Column:
@@ -178,8 +201,8 @@ def contains_any_word(text: Column, words: Iterable[str]) -> Column:
     lowered = sorted({w.lower() for w in words})
     if not lowered:
         return F.lit(False)
-    pattern = f"(?iu)(?<!{WORD_CLASS}){shared_prefix_pattern(lowered)}(?!{WORD_CLASS})"
-    return F.coalesce(text.rlike(pattern), F.lit(False))
+    pattern = f"(?<!{WORD_CLASS}){shared_prefix_pattern(lowered)}(?!{WORD_CLASS})"
+    return F.coalesce(folded(text).rlike(pattern), F.lit(False))
 
 
 def keyword_flag(text: Column, lexicon: Lexicon = DEFAULT_LEXICON, categories=None, mode: str = "substring") -> Column:
@@ -206,7 +229,7 @@ def keyword_hits(text: Column, words: Iterable[str], mode: str = "substring") ->
     body = shared_prefix_pattern(lowered)
     ahead, behind = (f"(?!{WORD_CLASS})", f"(?<!{WORD_CLASS})") if whole else ("", "")
     found = F.array_distinct(
-        F.regexp_extract_all(F.lower(text), F.lit(f"{behind}(?=({body}){ahead})"), F.lit(1))
+        F.regexp_extract_all(folded(text), F.lit(f"{behind}(?=({body}){ahead})"), F.lit(1))
     )
     implied = {}
     for word in lowered:

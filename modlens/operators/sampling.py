@@ -17,10 +17,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from modlens.functions.lexicon import DEFAULT_LEXICON, Lexicon, keyword_flag
+from modlens.functions.once import evaluate_once
+from modlens.session import checkpoint_dir
 
 #: 4 digits: at most 65 536 buckets per stratum, the proven bound of the broadcast below
 BUCKET_DIGITS = 4
-#: a key list this short or shorter is broadcast in the anti join
+#: a list of this many picked keys or fewer is broadcast
 BROADCAST_KEYS = 200_000
 
 
@@ -44,7 +46,8 @@ def first_by_hash(
     come back only where a stratum is smaller than asked for.
     """
     strata = [stratum] if stratum else []
-    rows = df.withColumn("_h", hash_order(keys, seed, salt)).withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
+    hashed = evaluate_once(df, {"_h": hash_order(keys, seed, salt)})
+    rows = hashed.withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
     if isinstance(size, Mapping):
         limit = F.lit(0)
         for value, n in size.items():
@@ -70,11 +73,22 @@ def first_by_hash(
     return ranked.drop("_h", "_b", "_sb", "_before", *[f"_s_{s}" for s in strata])
 
 
-def _with_flag(df: DataFrame, text: str, flag: str, lexicon: Lexicon) -> DataFrame:
-    # a stored flag saves matching the whole corpus again
+def _keys_and_flag(df: DataFrame, keys: Sequence[str], text: str, flag: str, lexicon: Lexicon) -> DataFrame:
+    """The narrow table that sampling works on: keys and keyword flag.
+
+    Sampling reads it several times.  A stored flag makes that a scan of two small
+    columns; otherwise the texts are matched once and the result is checkpointed.
+    """
     if flag in df.columns:
-        return df.withColumn(flag, F.coalesce(F.col(flag).cast("boolean"), F.lit(False)))
-    return df.withColumn(flag, keyword_flag(F.col(text), lexicon))
+        return df.select(*keys, F.coalesce(F.col(flag).cast("boolean"), F.lit(False)).alias(flag))
+    checkpoint_dir(df.sparkSession)
+    return df.select(*keys, keyword_flag(F.col(text), lexicon).alias(flag)).checkpoint()
+
+
+def _fetch(df: DataFrame, picked: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """Whole rows for the picked keys, at most ``size`` of them."""
+    picked = F.broadcast(picked) if size <= BROADCAST_KEYS else picked
+    return df.drop(*[c for c in picked.columns if c not in keys]).join(picked, list(keys))
 
 
 def stratified_sample(
@@ -88,8 +102,9 @@ def stratified_sample(
     lexicon: Lexicon = DEFAULT_LEXICON,
 ) -> DataFrame:
     """Up to ``toxic_n`` keyword rows and ``clean_n`` others, without replacement; ``rank`` counts per stratum."""
-    pool = _with_flag(df, text, flag, lexicon)
-    return first_by_hash(pool, keys, {True: toxic_n, False: clean_n}, seed, stratum=flag)
+    pool = _keys_and_flag(df, keys, text, flag, lexicon)
+    picked = first_by_hash(pool, keys, {True: toxic_n, False: clean_n}, seed, stratum=flag)
+    return _fetch(df, picked, keys, toxic_n + clean_n)
 
 
 def shuffled(df: DataFrame, keys: Sequence[str], seed=42) -> DataFrame:
@@ -118,19 +133,17 @@ def annotation_splits(
     rest, in an independent order, and cut into three contiguous batches; the last
     takes the remainder.
     """
-    pool = _with_flag(df, text, flag, lexicon)
+    pool = _keys_and_flag(df, keys, text, flag, lexicon)
+    checkpoint_dir(df.sparkSession)
     half = iaa_size // 2
-    iaa = first_by_hash(pool, keys, {True: half, False: half}, seed, stratum=flag)
+    # the checkpoints below hold the picked keys only, so that later steps count and exclude them cheaply
+    iaa = first_by_hash(pool, keys, {True: half, False: half}, seed, stratum=flag).checkpoint()
     taken = iaa.select(*keys)
-    if iaa_size <= BROADCAST_KEYS:
-        taken = F.broadcast(taken)
-    rest = pool.join(taken, list(keys), "left_anti")
-    # the pool takes what the agreement batch leaves of the total, so its size is known only at run time
-    main = first_by_hash(rest, keys, total_size, seed, salt="pool")
-    n_iaa = iaa.agg(F.count("*")).scalar()
-    main = main.filter(F.col("rank") <= F.greatest(F.lit(total_size) - n_iaa, F.lit(0)))
-    n_main = main.agg(F.count("*")).scalar()
-    third = F.floor(n_main / 3)
-    batch = F.when(third == 0, 3).otherwise(F.least(F.floor((F.col("rank") - 1) / third) + 1, F.lit(3)))
+    rest = pool.join(F.broadcast(taken) if iaa_size <= BROADCAST_KEYS else taken, list(keys), "left_anti")
+    wanted = max(total_size - iaa.count(), 0)
+    main = first_by_hash(rest, keys, wanted, seed, salt="pool").checkpoint()
+    third = main.count() // 3
+    batch = F.least(F.floor((F.col("rank") - 1) / third) + 1, F.lit(3)) if third else F.lit(3)
     split = F.concat(F.lit("batch_"), batch.cast("string"))
-    return iaa.withColumn("split", F.lit("iaa")).unionByName(main.withColumn("split", split))
+    picked = iaa.withColumn("split", F.lit("iaa")).unionByName(main.withColumn("split", split))
+    return _fetch(df, picked, keys, iaa_size + total_size)

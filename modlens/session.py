@@ -38,5 +38,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         found = tempfile.mkdtemp(prefix="modlens-ckpt-", dir=os.environ.get("TMPDIR"))
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
     return found
