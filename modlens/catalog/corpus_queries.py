@@ -30,8 +30,11 @@ FIRST = f"""(SELECT * FROM (SELECT *, sha256(lower(text_clean)) AS text_hash FRO
   QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY doc_id) = 1)"""
 
 
-def cleaned(spark, d, docs=None):
-    docs = evaluate_once(table(spark, d, "documents") if docs is None else docs, {"text_clean": tx.clean_text(F.col("text"))})
+def cleaned(spark, d, docs=None, filtered=False):
+    """Documents with clean text and word count; ``filtered`` if a filter on those follows."""
+    docs = table(spark, d, "documents") if docs is None else docs
+    clean = {"text_clean": tx.clean_text(F.col("text"))}
+    docs = evaluate_once(docs, clean) if filtered else docs.withColumns(clean)
     return docs.withColumn("word_count", tx.word_count(F.col("text_clean"), collapsed=True))
 
 
@@ -121,7 +124,7 @@ def compose_text(spark, d):
 
 @query("word_bounds", f"SELECT doc_id, word_count FROM {CLEAN} WHERE word_count BETWEEN 4 AND 512")
 def word_bounds(spark, d):
-    return ops.in_word_bounds(cleaned(spark, d)).select("doc_id", "word_count")
+    return ops.in_word_bounds(cleaned(spark, d, filtered=True)).select("doc_id", "word_count")
 
 
 @query(
@@ -177,7 +180,7 @@ def canonical_cols(spark, d):
 
 @query("dedupe_first", f"SELECT doc_id, text_hash FROM {FIRST}")
 def dedupe_first(spark, d):
-    rows = ops.in_word_bounds(cleaned(spark, d)).select("doc_id", tx.text_hash(F.col("text_clean")).alias("text_hash"))
+    rows = ops.in_word_bounds(cleaned(spark, d, filtered=True)).select("doc_id", tx.text_hash(F.col("text_clean")).alias("text_hash"))
     return ops.keep_first(rows, ["text_hash"], ["doc_id"])
 
 
@@ -437,7 +440,7 @@ def label_coerce(spark, d):
 
 @query("task_export", f"SELECT doc_id, text_clean AS task_text FROM {CLEAN} WHERE text_clean <> ''")
 def task_export(spark, d):
-    tasks = sinks.annotation_tasks(cleaned(spark, d), keep=["doc_id"])
+    tasks = sinks.annotation_tasks(cleaned(spark, d, filtered=True), keep=["doc_id"])
     return tasks.select("doc_id", F.col("data.text").alias("task_text"))
 
 

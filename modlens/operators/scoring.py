@@ -11,15 +11,17 @@ from pyspark.sql import types as T
 
 from modlens.functions import replies, scores
 from modlens.functions.lexicon import DEFAULT_LEXICON, LABELS, Lexicon
-from modlens.functions.once import evaluate_once
 from modlens.operators.sampling import head_rows
 
 PRED_FIELDS = [T.StructField(scores.PRED[x], T.DoubleType()) for x in LABELS]
 
 
 def heuristic_scores(df: DataFrame, text: str = "text", lexicon: Lexicon = DEFAULT_LEXICON) -> DataFrame:
-    """Add the six ``pred_<label>`` columns from the lexicon; a narrow, shuffle-free step."""
-    hits = evaluate_once(df, scores.lexicon_hits(F.coalesce(F.col(text), F.lit("")), lexicon))
+    """Add the six ``pred_<label>`` columns from the lexicon; a narrow, shuffle-free step.
+
+    Store the result, or pass it through ``evaluate_once``, before filtering on scores.
+    """
+    hits = df.withColumns(scores.lexicon_hits(F.coalesce(F.col(text), F.lit("")), lexicon))
     scored = hits.withColumns(scores.lexicon_scores(lexicon)).drop("_hits", "_word_hits")
     return scored.withColumn(scores.PRED["not_toxic"], scores.not_toxic_score())
 

@@ -8,7 +8,18 @@ from pyspark.sql import functions as F
 
 from modlens.functions import text as tx
 from modlens.functions.lexicon import TOXIC_LABELS
-from modlens.functions.once import evaluate_once
+from modlens.session import checkpoint_dir
+
+
+def _words(df: DataFrame, doc: str, text: str, stop_words, extra=()) -> DataFrame:
+    """(doc, extra columns, words), placed by document."""
+    words = tx.tokens(F.col(text), stop_words).alias("words")
+    return df.select(F.col(doc).alias("doc"), *extra, words).repartition("doc")
+
+
+def _counts(words: DataFrame, extra=()) -> DataFrame:
+    terms = words.select("doc", *extra, F.explode(tx.unigrams_and_bigrams(F.col("words"))).alias("term"))
+    return terms.groupBy("doc", *extra, "term").agg(F.count("*").alias("tf"))
 
 
 def term_counts(df: DataFrame, doc: str, text: str = "text_clean", stop_words=tx.STOP_WORDS) -> DataFrame:
@@ -18,10 +29,7 @@ def term_counts(df: DataFrame, doc: str, text: str = "text_clean", stop_words=tx
     document and term then needs no shuffle of its own: the exploded rows, several
     times the size of the text, stay where they are.
     """
-    words = evaluate_once(df.select(F.col(doc).alias("doc"), text), {"words": tx.tokens(F.col(text), stop_words)})
-    placed = words.filter(F.size("words") > 0).select("doc", "words").repartition("doc")
-    terms = placed.select("doc", F.explode(tx.unigrams_and_bigrams(F.col("words"))).alias("term"))
-    return terms.groupBy("doc", "term").agg(F.count("*").alias("tf"))
+    return _counts(_words(df, doc, text, stop_words))
 
 
 def vocabulary(counts: DataFrame, min_df: int = 3, max_terms: int = 10_000) -> DataFrame:
@@ -44,24 +52,23 @@ def tfidf_by_label(
     Rows without the term count as 0, labels without rows are left out.
     """
     used = [x for x in labels if x in df.columns]
-    counts = term_counts(df, doc, text, stop_words)
-    n_docs = df.agg(F.count("*")).scalar()
+    # read four times below; the checkpoint keeps the placement by document
+    checkpoint_dir(df.sparkSession)
+    words = _words(df, doc, text, stop_words, used).checkpoint()
+    n_docs = words.agg(F.count("*")).scalar()
     idf = F.ln((1 + n_docs) / (1 + F.col("df"))) + 1
     # at most max_terms rows, by construction
-    vocab = F.broadcast(vocabulary(counts, min_df, max_terms).select("term", idf.alias("idf")))
-    weighted = counts.join(vocab, "term").select("doc", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("doc")))
-    unit = weighted.select("doc", "term", (F.col("w") / norm).alias("w"))
+    vocab = F.broadcast(vocabulary(_counts(words), min_df, max_terms).select("term", idf.alias("idf")))
     active = F.lit(False)
     for x in used:
         active = active | (F.col(x) == 1)
-    marks = df.filter(active).select(F.col(doc).alias("doc"), *used)
-    sums = (
-        unit.join(marks, "doc")
-        .groupBy("term")
-        .agg(*[F.sum(F.when(F.col(x) == 1, F.col("w"))).alias(x) for x in used])
-    )
-    sizes = df.agg(*[F.count_if(F.col(x) == 1).alias(x) for x in used]).unpivot([], used, "label", "n_label")
+    # the vocabulary comes from all rows, weights are needed only where a label is active
+    counts = _counts(words.filter(active), used)
+    weighted = counts.join(vocab, "term").select("doc", *used, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("doc")))
+    unit = weighted.withColumn("w", F.col("w") / norm)
+    sums = unit.groupBy("term").agg(*[F.sum(F.when(F.col(x) == 1, F.col("w"))).alias(x) for x in used])
+    sizes = words.agg(*[F.count_if(F.col(x) == 1).alias(x) for x in used]).unpivot([], used, "label", "n_label")
     return (
         sums.unpivot(["term"], used, "label", "total")
         .filter("total is not null")

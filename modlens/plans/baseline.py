@@ -46,7 +46,7 @@ def fit_baseline(
     train: DataFrame,
     labels: Sequence[str],
     text: str = "text_clean",
-    n_features: int = 1 << 18,
+    n_features: int = 1 << 16,
     min_df: int = 3,
     max_iter: int = 20,
     reg: float = 0.01,
