@@ -12,13 +12,12 @@ from modlens.session import checkpoint_dir
 
 
 def _words(df: DataFrame, doc: str, text: str, stop_words, extra=()) -> DataFrame:
-    """(doc, extra columns, words), placed by document."""
-    words = tx.tokens(F.col(text), stop_words).alias("words")
-    return df.select(F.col(doc).alias("doc"), *extra, words).repartition("doc")
+    return df.select(F.col(doc).alias("doc"), *extra, tx.tokens(F.col(text), stop_words).alias("words"))
 
 
 def _counts(words: DataFrame, extra=()) -> DataFrame:
-    terms = words.select("doc", *extra, F.explode(tx.unigrams_and_bigrams(F.col("words"))).alias("term"))
+    placed = words.select("doc", *extra, "words").repartition("doc")
+    terms = placed.select("doc", *extra, F.explode(tx.unigrams_and_bigrams(F.col("words"))).alias("term"))
     return terms.groupBy("doc", *extra, "term").agg(F.count("*").alias("tf"))
 
 
@@ -52,7 +51,7 @@ def tfidf_by_label(
     Rows without the term count as 0, labels without rows are left out.
     """
     used = [x for x in labels if x in df.columns]
-    # read four times below; the checkpoint keeps the placement by document
+    # read four times below: cut the texts into words only once
     checkpoint_dir(df.sparkSession)
     words = _words(df, doc, text, stop_words, used).checkpoint()
     n_docs = words.agg(F.count("*")).scalar()
