@@ -14,14 +14,6 @@ WRAPPER_KEY = "data"
 # End of fixed values.
 
 
-def _candidate_paths() -> list[str]:
-    inner = [*LIST_KEYS, WRAPPER_KEY]
-    paths = ["$"]
-    for key in LIST_KEYS:
-        paths += [f"$.{key}", *[f"$.{key}.{k}" for k in inner]]
-    return paths + [f"$.{WRAPPER_KEY}", *[f"$.{WRAPPER_KEY}.{k}" for k in inner]]
-
-
 def _is_object(value: Column) -> Column:
     return F.startswith(F.schema_of_variant(value), F.lit("OBJECT"))
 
@@ -33,14 +25,20 @@ def envelope_records(doc: Column) -> Column:
     deeper, or be an index map such as ``{"0": {...}, "1": {...}}``.  Elements that
     are not objects are left out, and an empty list does not end the search.
     """
-    options = []
-    for path in _candidate_paths():
+
+    def at(path: str) -> Column:
         listed = F.filter(F.try_variant_get(doc, path, "array<variant>"), _is_object)
-        options.append(F.when(F.size(listed) > 0, listed))
         mapped = F.try_variant_get(doc, path, "map<string,variant>")
         values = F.map_values(mapped)
         is_index = F.forall(F.map_keys(mapped), lambda k: k.rlike("^[0-9]+$")) & F.forall(values, _is_object)
-        options.append(F.when((F.size(values) > 0) & is_index, values))
+        return F.coalesce(F.when(F.size(listed) > 0, listed), F.when((F.size(values) > 0) & is_index, values))
+
+    inner = (*LIST_KEYS, WRAPPER_KEY)
+    options = [at("$")]
+    for key in inner:
+        # deeper places are tried only under a key that is there
+        below = F.coalesce(at(f"$.{key}"), *[at(f"$.{key}.{k}") for k in inner])
+        options.append(F.when(F.try_variant_get(doc, f"$.{key}", "variant").isNotNull(), below))
     return F.coalesce(*options)
 
 
