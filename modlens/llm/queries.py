@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modlens.llm import bpe, decontaminate, main_text, quality, secrets, url_filter
+from modlens.llm import bpe, decontaminate, jaccard, main_text, quality, secrets, url_filter
 from modlens.llm.common import table
 
 RULES = (
@@ -77,6 +77,28 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near duplicates of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
+SQL7 = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, sh FROM (
+  SELECT r, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 4], ' ') END AS sh
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0))),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+inter AS (SELECT a.r AS x, b.r AS y, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.r < b.r GROUP BY ALL),
+links AS (SELECT x, y FROM inter JOIN n nx ON nx.r = x JOIN n ny ON ny.r = y WHERE 100 * i >= 75 * (nx.n + ny.n - i)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT r, r AS z FROM d UNION SELECT reach.r, edges.y FROM reach JOIN edges ON edges.x = reach.z),
+comp AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.z GROUP BY reach.r)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM d JOIN comp USING (r) LEFT JOIN n USING (r)
+"""
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -136,7 +158,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_url_filters, op2_byte_bpe, op5_secret_scans, op8_benchmark_decontamination, op9_html_extraction, op10_quality_classifier,
+        op1_url_filters, op2_byte_bpe, op5_secret_scans, op7_ngram_jaccard_join, op8_benchmark_decontamination, op9_html_extraction, op10_quality_classifier,
     )
 }
-ORACLES = {"op1_url_filters": SQL1, "op8_benchmark_decontamination": SQL8}
+ORACLES = {"op1_url_filters": SQL1, "op7_ngram_jaccard_join": SQL7, "op8_benchmark_decontamination": SQL8}
