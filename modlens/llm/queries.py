@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modlens.llm import bpe, decontaminate, jaccard, main_text, quality, secrets, url_filter
@@ -65,6 +65,10 @@ def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
     )
 
 
+def _of_kind(kind: str) -> Column:
+    return F.filter("spans", lambda s: s["kind"] == kind)
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,7 +76,7 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.BASE),
+        *(F.size(_of_kind(k)).cast("long").alias(f"n_{k}") for k in secrets.BASE),
         F.sha2(secrets.span_list(base), 256).alias("base_sha256"), secrets.span_list(F.col("spans")).alias("spans"),
     )
 

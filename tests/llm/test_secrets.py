@@ -85,8 +85,8 @@ def test_redaction(spark, text, want):
 
 
 def test_query(spark):
-    rows = queries.op5_secret_scans(spark, "/root/testdata/sf0.001").collect()
-    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = queries.op5_secret_scans(spark, "/root/testdata/sf0.01").collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     assert len(rows) == len(texts)
     for r in rows:
         want = base_spans(texts[r["doc_id"]])
