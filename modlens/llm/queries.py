@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modlens.llm import bpe, decontaminate, jaccard, main_text, quality, secrets, url_filter
+from modlens.llm import bpe, decontaminate, jaccard, main_text, neighbours, passages, quality, secrets, token_shards, url_filter
 from modlens.llm.common import table
 
 RULES = (
@@ -65,6 +65,18 @@ def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
     )
 
 
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as token ids in shards in training order: where each sequence lies, and what it holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokenizer = token_shards.Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_shards.write_shards(docs, tokenizer)[1]
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that a document shares with another."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _of_kind(kind: str) -> Column:
     return F.filter("spans", lambda s: s["kind"] == kind)
 
@@ -81,6 +93,11 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near duplicates of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -162,7 +179,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_url_filters, op2_byte_bpe, op5_secret_scans, op7_ngram_jaccard_join, op8_benchmark_decontamination, op9_html_extraction, op10_quality_classifier,
+        op1_url_filters, op2_byte_bpe, op3_token_shards, op4_substring_dedup, op5_secret_scans, op6_nearest_neighbours, op7_ngram_jaccard_join, op8_benchmark_decontamination, op9_html_extraction, op10_quality_classifier,
     )
 }
 ORACLES = {"op1_url_filters": SQL1, "op7_ngram_jaccard_join": SQL7, "op8_benchmark_decontamination": SQL8}
