@@ -99,10 +99,7 @@ EVENT_LINE = """CASE event_type
 )
 def record_kind(spark, d):
     lines = table(spark, d, "events").select("event_id", F.expr(EVENT_LINE).alias("value"))
-    doc = F.try_parse_json("value")
-    parsed = evaluate_once(lines, {"doc": doc}).withColumn(
-        "doc", F.when(F.startswith(F.schema_of_variant("doc"), F.lit("OBJECT")), F.col("doc"))
-    )
+    parsed = dumps.parse_lines(lines)
     kind = F.when(F.col("doc").isNull(), "rejected").otherwise(dumps.record_kind(F.col("doc")))
     return parsed.select("event_id", kind.alias("kind"))
 
@@ -323,7 +320,7 @@ def kind_counts(spark, d):
     f"""WITH p AS (SELECT * FROM conversations WHERE turn = 0), c AS (SELECT * FROM conversations WHERE turn > 0),
       r AS (SELECT CASE WHEN c.conv_id IS NULL THEN concat('post_', p.conv_id) ELSE concat(c.conv_id, '-', c.turn) END AS id,
         {sql_safe("coalesce(c.text, nullif(p.text, ''), 'title')")} AS text, p.role AS post_title,
-        coalesce(c.turn, p.conv_id) AS upvotes FROM p LEFT JOIN c ON p.conv_id = c.conv_id)
+        coalesce(c.turn, p.conv_id) AS upvotes FROM p LEFT JOIN c ON p.conv_id = c.conv_id WHERE p.conv_id % 5 <> 4)
       SELECT id, text, post_title, upvotes FROM r WHERE {sql_words('text')} >= 4""",
 )
 def post_fallback(spark, d):
@@ -333,16 +330,20 @@ def post_fallback(spark, d):
         F.col("role").alias("title"),
         F.col("text").alias("selftext"),
         F.col("conv_id").cast("string").alias("score"),
-        F.lit("").alias("created_utc"),
+        F.lit("1").alias("created_utc"),
         F.lit("chat").alias("subreddit"),
+        F.when(F.col("conv_id") % 5 != 4, F.concat(F.lit("/r/"), "conv_id")).alias("link"),
     )
+    # some posts come twice, and some comments again later, with other texts
+    posts = posts.unionByName(posts.filter("post_id % 3 = 0").withColumns({"created_utc": F.lit("2"), "title": F.lit("again")}))
     comments = turns.filter("turn > 0").select(
         F.col("conv_id").cast("string").alias("post_id"),
         F.concat_ws("-", "conv_id", "turn").alias("comment_id"),
         F.col("text").alias("body"),
         F.col("turn").cast("string").alias("score"),
-        F.lit("").alias("created_utc"),
+        F.lit("1").alias("created_utc"),
     )
+    comments = comments.unionByName(comments.filter("score % 2 = 0").withColumns({"created_utc": F.lit("2"), "body": F.lit("later copy of this comment")}))
     rows = payloads.posts_with_comments(posts, comments)
     return rows.select("id", "text", "post_title", "upvotes")
 
@@ -352,15 +353,16 @@ BODY = """CASE event_type
   WHEN 'view' THEN concat('{"items": [], "data": {"comments": [{"comment_id": "c', event_id, '"}]}}')
   WHEN 'error' THEN concat('[{"id": "d', event_id, '"}]')
   WHEN 'signup' THEN concat('{"data": {"0": {"id": "e', event_id, '"}, "1": {"id": "f', event_id, '"}}}')
+  WHEN 'purchase' THEN concat('{"data": {"results": {"items": {"posts": {"data": [{"id": "g', event_id, '"}]}}}}}')
   ELSE concat('{"message": "none ', event_id, '"}') END"""
 
 
 @query(
     "envelope_flatten",
-    """WITH r AS (SELECT event_id, event_type, unnest(['a', 'b', 'c', 'd', 'e', 'f']) AS part FROM events)
+    """WITH r AS (SELECT event_id, event_type, unnest(['a', 'b', 'c', 'd', 'e', 'f', 'g']) AS part FROM events)
       SELECT event_id, concat(part, event_id) AS record_id FROM r
       WHERE contains(CASE event_type WHEN 'click' THEN 'ab' WHEN 'view' THEN 'c' WHEN 'error' THEN 'd'
-        WHEN 'signup' THEN 'ef' ELSE '' END, part)""",
+        WHEN 'signup' THEN 'ef' WHEN 'purchase' THEN 'g' ELSE '' END, part)""",
 )
 def envelope_flatten(spark, d):
     bodies = table(spark, d, "events").select("event_id", F.expr(BODY).alias("body"))
@@ -369,15 +371,16 @@ def envelope_flatten(spark, d):
 
 
 def _sql_markup(x: str) -> str:
-    out = f"regexp_replace({x}, {quoted(pages.TAG)}, ' ', 'g')"
-    for entity, char in pages.ENTITIES.items():
+    """Tags out, the references that the sample pages hold decoded; ``&amp`` also without its semicolon."""
+    out = f"regexp_replace({x}, '(?s)<[^>]*>', ' ', 'g')"
+    for entity, char in (("&quot;", '"'), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"), ("&amp", "&")):
         out = f"replace({out}, {quoted(entity)}, {quoted(char)})"
     return sql_collapse(out)
 
 
 @query(
     "html_extract",
-    f"""WITH v AS (SELECT page_id, regexp_replace(html, {quoted(pages.HIDDEN_BLOCKS)}, '', 'g') AS h FROM pages),
+    f"""WITH v AS (SELECT page_id, regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script>|<style\\b[^>]*>.*?</style>|<!--.*?-->', '', 'g') AS h FROM pages),
       b AS (SELECT page_id, regexp_extract(h, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1) AS t,
         regexp_extract_all(h, '(?is)<p(?:\\s[^>]*)?>(.*?)</p>', 1) AS ps FROM v)
       SELECT page_id, CAST(i AS INTEGER) - 1 AS pos, {_sql_markup('ps[i]')} AS text, {_sql_markup('t')} AS post_title
@@ -387,6 +390,28 @@ def html_extract(spark, d):
     return pages.blocks(table(spark, d, "pages"), "page_id")
 
 
+@query(
+    "html_comments",
+    f"""SELECT 't1_' || doc_id AS id, {sql_safe("replace(text, '&', ' and ') || ' caf\u00e9 it\u2019s'")} AS text, source AS subreddit, 'A & B' AS post_title,
+      doc_id % 50 - 25 AS upvotes, doc_id AS created_s FROM documents
+      WHERE doc_id % 7 <> 3 AND {sql_words(sql_safe("replace(text, '&', ' and ') || ' caf\u00e9 it\u2019s'"))} >= 4""",
+)
+def html_comments(spark, d):
+    """Pages with a comment each, quoted either way, its body in nested blocks, and a reply without a body; some ids come twice."""
+    docs = table(spark, d, "documents").select("doc_id", "source", F.replace(F.replace("text", F.lit("&"), F.lit(" and ")), F.lit("<"), F.lit("&lt;")).alias("body"))
+    page = F.concat(
+        F.lit("<a class='title x' href=\"#\">A &amp; B</a><div class='thing comment' data-fullname='t1_"), "doc_id",
+        F.lit("'><span class=\"score unvoted\">"), (F.col("doc_id") % 50 - 25).cast("string"), F.lit(" points</span>"),
+        F.when(F.col("doc_id") % 7 == 3, F.lit("<p>no body</p>")).otherwise(
+            F.concat(F.lit("<div class=\"usertext md\"><div><p>"), "body", F.lit(" caf&eacute;</p></div> it&#8217;s</div>"))
+        ),
+        F.lit("<div class=\"comment\" id='r"), "doc_id", F.lit("'><p>reply</p></div></div><div class=\"comment\" data-fullname=\"t1_"), "doc_id",
+        F.lit("\"><div class='md'>a later copy of this comment</div></div>"),
+    )
+    rows = pages.comment_records(docs.select("doc_id", "source", page.alias("html"), F.timestamp_seconds("doc_id").alias("at")), order_by=["doc_id"], subreddit="source", fetched="at")
+    return rows.select("id", "text", "subreddit", "post_title", "upvotes", F.unix_seconds("created_utc").alias("created_s"))
+
+
 @query(
     "export_flatten",
     """SELECT text, annotator, toxic, 0 AS harassment, 0 AS gender_attack, 0 AS slur, CASE WHEN annotator = 'B' THEN 1 - quality ELSE 0 END AS passive_toxic,
@@ -423,7 +448,7 @@ def export_flatten(spark, d):
 
 @query(
     "label_coerce",
-    """SELECT doc_id, toxic, quality AS harassment, 0 AS gender_attack, 0 AS slur, 1 AS passive_toxic, doc_id::VARCHAR AS text_clean FROM labels""",
+    """SELECT doc_id, toxic, quality AS harassment, 0 AS gender_attack, 0 AS slur, 1 AS passive_toxic, 0 AS not_toxic, doc_id::VARCHAR AS text_clean FROM labels""",
 )
 def label_coerce(spark, d):
     raw = table(spark, d, "labels").select(
@@ -433,6 +458,7 @@ def label_coerce(spark, d):
         F.concat(F.lit("bad"), "toxic").alias("gender_attack"),
         F.lit(None).cast("string").alias("slur"),
         F.concat(F.lit("1."), "quality").alias("passive_toxic"),
+        F.element_at(F.array(F.lit("nan"), F.lit("NaN"), F.lit("1e30"), F.lit("-inf")), (F.col("doc_id") % 4 + 1).cast("int")).alias("not_toxic"),
         F.col("doc_id").cast("string").alias("text"),
     )
     return coerce_labels(raw).drop("text")

@@ -87,7 +87,7 @@ def weekly_trend(spark, d):
 # agreement: three annotators derived from the labels, and a machine one
 
 
-def ratings(spark, d, machine=False):
+def ratings(spark, d, names=("A", "B", "C")):
     rows = annotated(spark, d).withColumns(
         {
             "A": F.col("toxic"),
@@ -96,7 +96,6 @@ def ratings(spark, d, machine=False):
             "M": keyword_flag(F.col("text_clean"), LEX).cast("int"),
         }
     )
-    names = ["M"] if machine else ["A", "B", "C"]
     long = rows.select(
         F.col("doc_id").alias("item"), "harassment", "gender_attack", "passive_toxic",
         F.explode(F.array(*[F.struct(F.lit(n).alias("annotator"), F.col(n).alias("toxic")) for n in names])).alias("r"),
@@ -142,7 +141,62 @@ def pairwise_cohen(spark, d):
 
 @query("fleiss", f"WITH {RATED}, {FLEISS} SELECT * FROM fleiss")
 def fleiss(spark, d):
-    return agreement.fleiss_kappa(ratings(spark, d))
+    return agreement.fleiss_kappa(ratings(spark, d)).select("label", "fleiss_kappa")
+
+
+# a panel of thirty with gaps; the engine's side also holds repeats, of which the first must count
+PANEL_SQL = """votes AS (SELECT doc_id AS item, who, 'r' || who AS annotator, (doc_id * 31 + who * 17) % 7 AS h, quality, toxic
+    FROM labels, (SELECT unnest(range(0, 30)) AS who)),
+  rated AS (SELECT item, annotator, CASE WHEN h < 2 THEN 1 - toxic ELSE toxic END AS toxic, quality AS slur FROM votes WHERE h <> 3),
+  long AS (SELECT item, annotator, unnest(['toxic', 'slur']) AS label, unnest([toxic, slur]) AS value FROM rated)"""
+
+
+def panel(spark, d):
+    """Thirty raters, gaps, and every rating of rater r0 given twice, the second time all ones."""
+    votes = table(spark, d, "labels").select(F.col("doc_id").alias("item"), "quality", "toxic", F.explode(F.sequence(F.lit(0), F.lit(29))).alias("who"))
+    h = F.pmod(F.col("item") * 31 + F.col("who") * 17, F.lit(7))
+    kept = votes.filter(h != 3).select(
+        "item", F.concat(F.lit("r"), "who").alias("annotator"), F.lit(1).alias("nth"),
+        F.when(h < 2, 1 - F.col("toxic")).otherwise(F.col("toxic")).alias("toxic"), F.col("quality").alias("slur"),
+    )
+    again = kept.filter("annotator = 'r0'").select("item", "annotator", F.lit(2).alias("nth"), F.lit(1).alias("toxic"), F.lit(1).alias("slur"))
+    return kept.unionByName(again)
+
+
+@query("panel_confusion", f"""WITH {PANEL_SQL}, pairs AS (SELECT x.annotator AS annotator_1, y.annotator AS annotator_2, x.label, {CELLS}
+  FROM long x JOIN long y ON x.item = y.item AND x.label = y.label WHERE x.annotator < y.annotator GROUP BY ALL) SELECT * FROM pairs""")
+def panel_confusion(spark, d):
+    return agreement.confusion(panel(spark, d), order_by=["nth"])
+
+
+@query(
+    "panel_fleiss",
+    f"""WITH {PANEL_SQL}, items AS (SELECT item, label, sum(value) AS n1, count(*) AS n FROM long GROUP BY ALL),
+      most AS (SELECT max(n) AS n FROM items), full_ AS (SELECT * FROM items WHERE n = (SELECT n FROM most)),
+      f AS (SELECT label, count(*) AS n_items, avg((n1 * n1 + (n - n1) * (n - n1) - n) / (n * (n - 1))) AS pb, sum(n1) / sum(n) AS q,
+        q * q + (1 - q) * (1 - q) AS pe FROM full_ GROUP BY label)
+      SELECT label, CASE WHEN pe = 1 THEN 1.0::DOUBLE ELSE round((pb - pe) / (1 - pe), 4) END AS fleiss_kappa, n_items,
+        (SELECT count(DISTINCT item) FROM items) - n_items AS n_rejected FROM f""",
+)
+def panel_fleiss(spark, d):
+    return agreement.fleiss_kappa(panel(spark, d), order_by=["nth"])
+
+
+@query(
+    "iaa_from_text",
+    f"""WITH t AS (SELECT substr(text, 1, 1) AS text, unnest(['p', 'q']) AS annotator, unnest([toxic, 1 - quality]) AS toxic
+        FROM documents JOIN labels USING (doc_id)),
+      n AS (SELECT *, concat(sha256(text), '#', row_number() OVER (PARTITION BY text, annotator ORDER BY toxic)) AS item FROM t),
+      long AS (SELECT item, annotator, 'toxic' AS label, toxic AS value FROM n),
+      pairs AS (SELECT x.annotator AS annotator_1, y.annotator AS annotator_2, x.label, {CELLS}
+        FROM long x JOIN long y ON x.item = y.item WHERE x.annotator < y.annotator GROUP BY ALL) SELECT * FROM pairs""",
+)
+def iaa_from_text(spark, d):
+    """Very many equal texts per annotator: the first letters of the documents."""
+    docs = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")
+    votes = F.array(F.struct(F.lit("p").alias("annotator"), F.col("toxic")), F.struct(F.lit("q").alias("annotator"), (1 - F.col("quality")).alias("toxic")))
+    rows = docs.select(F.substring("text", 1, 1).alias("text"), F.explode(votes).alias("v")).select("text", "v.annotator", "v.toxic")
+    return agreement.confusion(agreement.item_id_from_text(rows))
 
 
 @query(
@@ -151,7 +205,7 @@ def fleiss(spark, d):
       WHEN fleiss_kappa >= 0.5 THEN 'minimum' ELSE 'below' END AS band, fleiss_kappa < 0.5 AS low_agreement FROM fleiss""",
 )
 def kappa_bands(spark, d):
-    return agreement.kappa_bands(agreement.fleiss_kappa(ratings(spark, d)))
+    return agreement.kappa_bands(agreement.fleiss_kappa(ratings(spark, d)).select("label", "fleiss_kappa"))
 
 
 @query(
@@ -159,7 +213,7 @@ def kappa_bands(spark, d):
     f"WITH {RATED}, {PAIRS} SELECT annotator_1 AS annotator, 'gpt-4o' AS vs, label, kappa FROM kappas WHERE annotator_2 = 'M'",
 )
 def human_vs_llm(spark, d):
-    return agreement.human_vs_machine(ratings(spark, d), ratings(spark, d, machine=True))
+    return agreement.human_vs_machine(ratings(spark, d), ratings(spark, d, ["M"]))
 
 
 @query(
@@ -170,8 +224,7 @@ def human_vs_llm(spark, d):
       SELECT item, 2::BIGINT AS n_votes, {', '.join(f"CAST(max(value) FILTER (label = '{x}') AS INTEGER) AS {x}" for x in LABELS)} FROM w GROUP BY item""",
 )
 def consensus(spark, d):
-    two = ratings(spark, d).filter("annotator <> 'C'")
-    return agreement.consensus(two.unionByName(ratings(spark, d, machine=True)), tiebreaker="M")
+    return agreement.consensus(ratings(spark, d, ["A", "B", "M"]), tiebreaker="M")
 
 
 # sampling

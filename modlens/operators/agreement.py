@@ -6,12 +6,11 @@ Input is one wide table ``(item, annotator, six labels)``; rows meet by item id.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from modlens.functions.lexicon import LABELS
 from modlens.operators.corpus import keep_first
 from modlens.schemas import label_names
 
@@ -20,29 +19,29 @@ GOOD_KAPPA = 0.65
 MINIMUM_KAPPA = 0.50
 # End of fixed values.
 
-#: up to this many annotators an item's ratings sit side by side in one row
-WIDE_PANEL = 24
+#: copies of one equal row that are numbered in one task
+REPEAT_BLOCK = 10_000
 
 
 def item_id_from_text(df: DataFrame, text: str = "text", annotator: str = "annotator", order_by=()) -> DataFrame:
     """An ``item`` id for tables without one: the text's digest, and which repeat of it this is.
 
-    The repeat number follows ``order_by``, so equal texts pair up the same way for every annotator.
+    The repeat number follows ``order_by`` (default: the labels), then the row's other columns, so equal texts pair up the
+    same way for every annotator.  Equal rows are counted before anything is numbered and spread again by block, so a
+    text that an annotator saw very often is not one task's.
     """
-    from pyspark.sql import Window as W
-
+    order = list(order_by) or label_names(df)
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    order = list(order_by) or label_names(df) or [text]
-    repeat = F.row_number().over(W.partitionBy("_d", annotator).orderBy(*order))
-    return (
-        df.withColumn("_d", digest).withColumn("item", F.concat_ws("#", "_d", repeat.cast("string"))).drop("_d")
-    )
-
-
-def annotator_names(df: DataFrame, annotator: str = "annotator", most: int = WIDE_PANEL) -> list[str] | None:
-    """Sorted annotator names, or ``None`` if there are more than ``most``."""
-    found = df.select(annotator).distinct().limit(most + 1).collect()
-    return None if len(found) > most else sorted(r[0] for r in found)
+    distinct = df.withColumn("_d", digest).groupBy("_d", *df.columns).agg(F.count("*").alias("_copies"))
+    rest = F.xxhash64(*[c for c in df.columns if c != annotator])
+    before = W.partitionBy("_d", annotator).orderBy(*order, rest).rowsBetween(W.unboundedPreceding, W.currentRow)
+    started = distinct.withColumn("_from", F.sum("_copies").over(before) - F.col("_copies"))
+    blocks = started.withColumn("_at", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(REPEAT_BLOCK))))
+    spread = blocks.repartition(F.xxhash64("_d", annotator, "_from", "_at"))
+    last = F.least(F.col("_copies"), F.col("_at") + REPEAT_BLOCK)
+    each = spread.withColumn("_i", F.explode(F.sequence("_at", last - 1)))
+    number = (F.col("_from") + 1 + F.col("_i")).cast("string")
+    return each.withColumn("item", F.concat_ws("#", "_d", number)).select(*df.columns, "item")
 
 
 def _packed(df: DataFrame, labels: Sequence[str]) -> Column:
@@ -53,56 +52,39 @@ def _packed(df: DataFrame, labels: Sequence[str]) -> Column:
     return bits
 
 
-def _pair_patterns(df: DataFrame, item: str, annotator: str, names: Sequence[str] | None) -> DataFrame:
+def one_rating_each(df: DataFrame, item: str = "item", annotator: str = "annotator", order_by=()) -> DataFrame:
+    """First rating per item and annotator, by ``order_by``, then by labels: someone may have rated an item twice."""
+    return keep_first(df, [item, annotator], [*order_by, *label_names(df)])
+
+
+def _pair_patterns(df: DataFrame, item: str, annotator: str, names: Sequence[str] | None, order_by) -> DataFrame:
     """(a, b, bits_a, bits_b, n): how often two annotators gave an item these label bits.
 
-    With a known panel, an item's ratings become columns of one row and equal rows
-    are counted first.  There are few distinct rating patterns, so pairs are formed
-    from patterns and not from items.
+    An item's ratings are one pattern; equal patterns are counted first, and pairs are formed from the few
+    different patterns, not from items.
     """
     labels = label_names(df)
-    rated = df.select(F.col(item).alias("_i"), F.col(annotator).alias("_a"), _packed(df, labels).alias("_m"))
-    if names is None:
-        left = rated.select("_i", F.col("_a").alias("a"), F.col("_m").alias("bits_a"))
-        right = rated.select("_i", F.col("_a").alias("b"), F.col("_m").alias("bits_b"))
-        pairs = left.join(right, "_i").filter("a < b")
-        return pairs.groupBy("a", "b", "bits_a", "bits_b").agg(F.count("*").alias("n"))
-    columns = [f"_r{i}" for i in range(len(names))]
-    panel = rated.groupBy("_i").agg(
-        *[F.max(F.when(F.col("_a") == name, F.col("_m"))).alias(c) for c, name in zip(columns, names)]
-    )
-    patterns = panel.groupBy(*columns).agg(F.count("*").alias("n"))
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(names[i]).alias("a"),
-                F.lit(names[j]).alias("b"),
-                F.col(columns[i]).alias("bits_a"),
-                F.col(columns[j]).alias("bits_b"),
-            )
-            for i, j in combinations(range(len(names)), 2)
-        ]
-    )
-    return (
-        patterns.select("n", F.explode(pairs).alias("p"))
-        .filter("p.bits_a is not null and p.bits_b is not null")
-        .groupBy("p.a", "p.b", "p.bits_a", "p.bits_b")
-        .agg(F.sum("n").alias("n"))
-    )
+    chosen = df if names is None else df.filter(F.col(annotator).isin(*names))
+    rated = one_rating_each(chosen.filter(F.col(item).isNotNull() & F.col(annotator).isNotNull()), item, annotator, order_by)
+    rating = F.struct(F.col(annotator).alias("a"), _packed(df, labels).alias("m"))
+    patterns = rated.groupBy(item).agg(F.array_sort(F.collect_list(rating)).alias("p")).groupBy("p").agg(F.count("*").alias("n"))
+    left = patterns.select("n", "p", F.posexplode("p").alias("i", "l"))
+    pairs = left.select("n", "l", F.explode(F.slice("p", F.col("i") + 2, F.size("p"))).alias("r"))
+    return pairs.groupBy(
+        F.col("l.a").alias("a"), F.col("r.a").alias("b"), F.col("l.m").alias("bits_a"), F.col("r.m").alias("bits_b")
+    ).agg(F.sum("n").alias("n"))
 
 
 def confusion(
-    df: DataFrame, item: str = "item", annotator: str = "annotator", names: Sequence[str] | None = None
+    df: DataFrame, item: str = "item", annotator: str = "annotator", names: Sequence[str] | None = None, order_by=()
 ) -> DataFrame:
     """2x2 counts per annotator pair (in name order) and label, over items both rated.
 
-    ``names`` lists the annotators; left out, they are looked up.
+    Of several ratings of an item by one annotator the first by ``order_by`` counts.  ``names`` limits the annotators.
+    Rows without item or annotator are left out.
     """
     labels = label_names(df)
-    known = sorted(names) if names is not None else annotator_names(df, annotator)
-    if known is not None and len(known) > WIDE_PANEL:
-        known = None
-    patterns = _pair_patterns(df, item, annotator, known)
+    patterns = _pair_patterns(df, item, annotator, names, order_by)
     per_label = F.array(
         *[
             F.struct(
@@ -132,43 +114,52 @@ def _kappa() -> Column:
     return F.round(F.try_divide(observed - expected, 1 - expected), 4)
 
 
-def cohen_kappa(df: DataFrame, item="item", annotator="annotator", names=None) -> DataFrame:
+def cohen_kappa(df: DataFrame, item="item", annotator="annotator", names=None, order_by=()) -> DataFrame:
     """Cohen's kappa of every annotator pair and label."""
-    return confusion(df, item, annotator, names).select("annotator_1", "annotator_2", "label", _kappa().alias("kappa"))
+    counts = confusion(df, item, annotator, names, order_by)
+    return counts.select("annotator_1", "annotator_2", "label", _kappa().alias("kappa"))
 
 
-def _complete_items(df: DataFrame, item: str, annotator: str) -> tuple[DataFrame, DataFrame]:
-    labels = label_names(df)
-    per_item = df.groupBy(item).agg(F.count("*").alias("_n"), *[F.sum(x).alias(x) for x in labels])
-    raters = df.agg(F.count_distinct(annotator)).scalar()
-    return per_item.filter(F.col("_n") == raters), per_item.filter(F.col("_n") != raters)
+def _rated_items(df: DataFrame, item: str, annotator: str, order_by) -> DataFrame:
+    """Per item: ``_n`` raters and, per label, how many of them set it."""
+    rated = one_rating_each(df.filter(F.col(item).isNotNull() & F.col(annotator).isNotNull()), item, annotator, order_by)
+    return rated.groupBy(item).agg(F.count("*").alias("_n"), *[F.sum(x).alias(x) for x in label_names(df)])
 
 
-def fleiss_kappa(df: DataFrame, item: str = "item", annotator: str = "annotator") -> DataFrame:
-    """Fleiss' kappa per label over the items every annotator rated; 1 where all ratings are the same."""
+def fleiss_kappa(df: DataFrame, item: str = "item", annotator: str = "annotator", raters: int | None = None, order_by=()) -> DataFrame:
+    """Fleiss' kappa per label over the items that ``raters`` annotators rated; 1 where all ratings are the same.
+
+    ``raters`` defaults to the most that any item has; with a fixed panel those are the items everyone rated.
+    ``n_items`` counts them and ``n_rejected`` the items with another number of raters.  Of several ratings by one annotator
+    the first by ``order_by`` counts.
+    """
     labels = label_names(df)
-    items, _ = _complete_items(df, item, annotator)
     n = F.col("_n")
-    parts = []
+    sums = [F.count("*").alias("_items")]
     for x in labels:
         ones = F.col(x)
-        agree = (ones * ones + (n - ones) * (n - ones) - n) / (n * (n - 1))
-        parts += [F.avg(agree).alias(f"_p_{x}"), (F.sum(ones) / F.sum(n)).alias(f"_q_{x}")]
-    totals = items.agg(*parts)
+        agree = F.try_divide(ones * ones + (n - ones) * (n - ones) - n, n * (n - 1))  # null for a single rater
+        sums += [F.avg(agree).alias(f"_p_{x}"), (F.sum(ones) / F.sum(n)).alias(f"_q_{x}")]
+    by_size = _rated_items(df, item, annotator, order_by).groupBy("_n").agg(*sums)  # a row per number of raters
+    everything = W.partitionBy(F.lit(1))
+    wanted = F.lit(raters) if raters else F.max("_n").over(everything)
+    totals = by_size.select("*", wanted.alias("_wanted"), F.sum("_items").over(everything).alias("_all")).filter("_n = _wanted")
 
     def kappa(x: str) -> Column:
         share = F.col(f"_q_{x}")
         expected = share * share + (1 - share) * (1 - share)
-        value = F.when(expected == 1, 1.0).otherwise((F.col(f"_p_{x}") - expected) / (1 - expected))
+        value = F.when(expected == 1, 1.0).otherwise(F.try_divide(F.col(f"_p_{x}") - expected, 1 - expected))
         return F.struct(F.lit(x).alias("label"), F.round(value, 4).alias("fleiss_kappa"))
 
-    return totals.select(F.explode(F.array(*[kappa(x) for x in labels])).alias("k")).select("k.*")
+    found = totals.select(F.explode(F.array(*[kappa(x) for x in labels])).alias("k"), "_items", (F.col("_all") - F.col("_items")).alias("_others"))
+    return found.select("k.*", F.col("_items").alias("n_items"), F.col("_others").alias("n_rejected"))
 
 
-def incomplete_items(df: DataFrame, item: str = "item", annotator: str = "annotator") -> DataFrame:
-    """Items that some annotator did not rate, with the number of ratings they have."""
-    _, rejected = _complete_items(df, item, annotator)
-    return rejected.select(item, F.col("_n").alias("n_ratings"))
+def incomplete_items(df: DataFrame, item: str = "item", annotator: str = "annotator", raters: int | None = None, order_by=()) -> DataFrame:
+    """Items that another number of annotators than ``raters`` rated (default as in :func:`fleiss_kappa`), with that number."""
+    items = _rated_items(df, item, annotator, order_by).select(item, F.col("_n").alias("n_ratings"))
+    wanted = F.lit(raters) if raters else items.agg(F.max("n_ratings")).scalar()
+    return items.filter(F.col("n_ratings") != wanted)
 
 
 def kappa_bands(df: DataFrame, column: str = "fleiss_kappa") -> DataFrame:
@@ -227,8 +218,3 @@ def consensus(
         return F.when(twice > F.col("_n"), 1).when(twice == F.col("_n"), tie).otherwise(0).cast("int").alias(x)
 
     return grouped.select(item, F.col("_n").alias("n_votes"), *[decide(x) for x in labels])
-
-
-def one_rating_each(df: DataFrame, item: str = "item", annotator: str = "annotator", order_by=()) -> DataFrame:
-    """First rating per item and annotator, for exports in which someone rated an item twice."""
-    return keep_first(df, [item, annotator], list(order_by) or [*[x for x in LABELS if x in df.columns]])

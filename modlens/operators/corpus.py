@@ -26,8 +26,8 @@ def in_communities(df: DataFrame, column: str = "subreddit", names: Iterable[str
     key = F.lower(F.trim(F.col(column)))
     if len(wanted) <= LITERAL_LIST_LIMIT:
         return df.filter(key.isin(*wanted) & (key != ""))
-    table = df.sparkSession.createDataFrame([(n,) for n in wanted if n], "community string")
-    return df.join(table, key == F.col("community"), "left_semi")
+    table = df.sparkSession.createDataFrame([(n,) for n in wanted if n], "name string")
+    return df.join(table, key == table["name"], "left_semi")
 
 
 def in_word_bounds(df: DataFrame, column: str = "word_count", least: int = 4, most: int | None = 512) -> DataFrame:
@@ -82,10 +82,16 @@ def zero_labels(df: DataFrame, only_missing: bool = False) -> DataFrame:
     return df.withColumns({x: F.lit(0) for x in todo}) if todo else df
 
 
-def validate_rows(df: DataFrame, column: str = "text", most_chars: int = 2000) -> DataFrame:
-    """Mark each row ``accepted`` or say in ``reason`` why not: too short or too long a text."""
+def validate_rows(df: DataFrame, column: str = "text", most_chars: int = 2000, threshold: str | None = None) -> DataFrame:
+    """Mark each row ``accepted`` or say in ``reason`` why not: too short or too long a text, a ``threshold`` outside 0..1.
+
+    ``threshold`` names a column of wanted thresholds; null there means the default and is fine.
+    """
     size = F.coalesce(F.length(column), F.lit(0))
     reason = F.when(size < 1, "empty").when(size > most_chars, "too_long")
+    if threshold:
+        share = F.col(threshold).cast("double")
+        reason = reason.when(F.isnan(share) | (share < 0) | (share > 1), "threshold")
     return df.withColumns({"accepted": reason.isNull(), "reason": reason})
 
 

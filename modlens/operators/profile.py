@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from modlens.functions import text as tx
 from modlens.functions.lexicon import LABELS, TOXIC_LABELS
-from modlens.functions.scores import PRED
+from modlens.functions.scores import PRED, known_score
 from modlens.schemas import label_names
 
 
@@ -34,7 +34,7 @@ def prediction_proxy(df: DataFrame, threshold: float = 0.5, enabled: bool = True
     changed = {"label_source": source}
     if use_scores:
         for x in scored:
-            guess = (F.coalesce(F.col(PRED[x]).cast("string").try_cast("double"), F.lit(0.0)) >= threshold).cast("int")
+            guess = (known_score(F.col(PRED[x]).cast("string").try_cast("double")) >= threshold).cast("int")
             kept = F.col(x) if x in gold else F.lit(None).cast("int")
             changed[x] = F.when(total > 0, kept).otherwise(guess)
     return df.withColumns(changed)
@@ -137,21 +137,21 @@ def dataset_summary(df: DataFrame, text: str = "text_clean", label_source: Colum
     return summary
 
 
-def with_count_maps(summary: DataFrame, df: DataFrame, columns: Sequence[str], most_values: int = 10_000) -> DataFrame:
-    """Add one value-to-count map per column to a summary row.
-
-    A map must fit in one row, so columns with more than ``most_values`` values are
-    refused; :func:`value_counts` gives those as a table.
-    """
+def with_count_maps(summary: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add one value-to-count map per column to a summary row, for columns of few values; else see ``count_table``."""
     for column in columns:
         counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-        if counts.limit(most_values + 1).count() > most_values:
-            raise ValueError(f"{column} has more than {most_values} values; use value_counts")
-        entries = counts.agg(F.map_from_entries(F.collect_list(F.struct(column, "n"))))
+        entries = counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(column, "n")))))
         summary = summary.withColumn(f"{column}s", entries.scalar())
     return summary
 
 
+def count_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per value of each column, as one long table (column, value, n); nulls are left out."""
+    long = df.select([F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+    return long.filter("value IS NOT NULL").groupBy("column", "value").agg(F.count("*").alias("n"))
+
+
 def week_end(stamp: Column) -> Column:
     """The Sunday that closes a timestamp's week."""
     return F.date_add(F.date_trunc("week", stamp).cast("date"), 6)

@@ -18,12 +18,9 @@ from pyspark.sql import functions as F
 
 from modlens.functions.lexicon import DEFAULT_LEXICON, Lexicon, keyword_flag
 from modlens.functions.once import evaluate_once
-from modlens.session import checkpoint_dir
 
 #: 4 digits: at most 65 536 buckets per stratum, the proven bound of the broadcast below
 BUCKET_DIGITS = 4
-#: a list of this many picked keys or fewer is broadcast
-BROADCAST_KEYS = 200_000
 
 
 def hash_order(keys: Sequence[str], seed, salt: str = "") -> Column:
@@ -35,15 +32,16 @@ def hash_order(keys: Sequence[str], seed, salt: str = "") -> Column:
 def first_by_hash(
     df: DataFrame,
     keys: Sequence[str],
-    size: int | Mapping,
+    size: int | Mapping | Column,
     seed=42,
     stratum: str | None = None,
     salt: str = "",
 ) -> DataFrame:
     """The ``size`` rows with the smallest digests, overall or per stratum value, with their ``rank`` from 1.
 
-    ``size`` may map stratum values to sizes; absent values take no rows.  Fewer rows
-    come back only where a stratum is smaller than asked for.
+    ``size`` may map stratum values to sizes (absent values take no rows) or be a column.  Fewer rows come back only
+    where a stratum is smaller than asked for.  Rows are drawn, not keys: repeated and null keys are fine, and rows
+    of one key follow the order of their own digests.
     """
     strata = [stratum] if stratum else []
     hashed = evaluate_once(df, {"_h": hash_order(keys, seed, salt)})
@@ -53,7 +51,7 @@ def first_by_hash(
         for value, n in size.items():
             limit = F.when(F.col(stratum).eqNullSafe(F.lit(value)), n).otherwise(limit)
     else:
-        limit = F.lit(size)
+        limit = size if isinstance(size, Column) else F.lit(size)
     counts = rows.groupBy(*strata, "_b").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(W.partitionBy(*strata).orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow))
     starts = (
@@ -64,7 +62,7 @@ def first_by_hash(
     match = F.col("_b") == F.col("_sb")
     for s in strata:
         match = match & F.col(s).eqNullSafe(F.col(f"_s_{s}"))
-    inside = W.partitionBy(*strata, "_b").orderBy("_h", *keys)
+    inside = W.partitionBy(*strata, "_b").orderBy("_h", *keys, F.xxhash64(*df.columns))
     ranked = (
         rows.join(F.broadcast(starts), match)
         .withColumn("rank", F.col("_before") + F.row_number().over(inside))
@@ -73,22 +71,10 @@ def first_by_hash(
     return ranked.drop("_h", "_b", "_sb", "_before", *[f"_s_{s}" for s in strata])
 
 
-def _keys_and_flag(df: DataFrame, keys: Sequence[str], text: str, flag: str, lexicon: Lexicon) -> DataFrame:
-    """The narrow table that sampling works on: keys and keyword flag.
-
-    Sampling reads it several times.  A stored flag makes that a scan of two small
-    columns; otherwise the texts are matched once and the result is checkpointed.
-    """
-    if flag in df.columns:
-        return df.select(*keys, F.coalesce(F.col(flag).cast("boolean"), F.lit(False)).alias(flag))
-    checkpoint_dir(df.sparkSession)
-    return df.select(*keys, keyword_flag(F.col(text), lexicon).alias(flag)).checkpoint()
-
-
-def _fetch(df: DataFrame, picked: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
-    """Whole rows for the picked keys, at most ``size`` of them."""
-    picked = F.broadcast(picked) if size <= BROADCAST_KEYS else picked
-    return df.drop(*[c for c in picked.columns if c not in keys]).join(picked, list(keys))
+def _flagged(df: DataFrame, text: str, flag: str, lexicon: Lexicon) -> DataFrame:
+    """Rows with their keyword flag: the stored one if there is one, so texts need not be matched again in each pass."""
+    found = F.col(flag).cast("boolean") if flag in df.columns else keyword_flag(F.col(text), lexicon)
+    return evaluate_once(df, {flag: F.coalesce(found, F.lit(False))})
 
 
 def stratified_sample(
@@ -102,9 +88,7 @@ def stratified_sample(
     lexicon: Lexicon = DEFAULT_LEXICON,
 ) -> DataFrame:
     """Up to ``toxic_n`` keyword rows and ``clean_n`` others, without replacement; ``rank`` counts per stratum."""
-    pool = _keys_and_flag(df, keys, text, flag, lexicon)
-    picked = first_by_hash(pool, keys, {True: toxic_n, False: clean_n}, seed, stratum=flag)
-    return _fetch(df, picked, keys, toxic_n + clean_n)
+    return first_by_hash(_flagged(df, text, flag, lexicon), keys, {True: toxic_n, False: clean_n}, seed, stratum=flag)
 
 
 def shuffled(df: DataFrame, keys: Sequence[str], seed=42) -> DataFrame:
@@ -129,21 +113,23 @@ def annotation_splits(
 ) -> DataFrame:
     """Disjoint annotation splits in one table, by the ``split`` column.
 
-    ``iaa`` holds half keyword rows, half others.  The main pool is drawn from the
-    rest, in an independent order, and cut into three contiguous batches; the last
-    takes the remainder.
+    ``iaa`` holds half keyword rows, half others.  The main pool is drawn from the rows of other keys
+    (null counts as a key), in an independent order, and cut into three contiguous batches; the
+    last takes the remainder.
     """
-    pool = _keys_and_flag(df, keys, text, flag, lexicon)
-    checkpoint_dir(df.sparkSession)
+    pool = _flagged(df, text, flag, lexicon)
     half = iaa_size // 2
-    # the checkpoints below hold the picked keys only, so that later steps count and exclude them cheaply
-    iaa = first_by_hash(pool, keys, {True: half, False: half}, seed, stratum=flag).checkpoint()
-    taken = iaa.select(*keys)
-    rest = pool.join(F.broadcast(taken) if iaa_size <= BROADCAST_KEYS else taken, list(keys), "left_anti")
-    wanted = max(total_size - iaa.count(), 0)
-    main = first_by_hash(rest, keys, wanted, seed, salt="pool").checkpoint()
-    third = main.count() // 3
-    batch = F.least(F.floor((F.col("rank") - 1) / third) + 1, F.lit(3)) if third else F.lit(3)
+    iaa = first_by_hash(pool, keys, {True: half, False: half}, seed, stratum=flag)
+    # at most iaa_size keys, which is the caller's number and not the data's
+    taken = iaa.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    rest = pool.join(taken, same, "left_anti")
+    wanted = F.greatest(F.lit(total_size) - iaa.agg(F.count("*")).scalar(), F.lit(0))
+    main = first_by_hash(rest, keys, wanted, seed, salt="pool")
+    n_main = F.count("*").over(W.partitionBy(F.lit(1)))  # total_size rows at most
+    third = F.floor(n_main / 3)
+    batch = F.when(third > 0, F.least(F.floor((F.col("rank") - 1) / third) + 1, F.lit(3))).otherwise(3)
     split = F.concat(F.lit("batch_"), batch.cast("string"))
-    picked = iaa.withColumn("split", F.lit("iaa")).unionByName(main.withColumn("split", split))
-    return _fetch(df, picked, keys, iaa_size + total_size)
+    return iaa.withColumn("split", F.lit("iaa")).unionByName(main.withColumn("split", split))

@@ -107,7 +107,7 @@ def moderate(
     ``passive_toxic_confidence``, the score is adjusted before the severity is set.
     """
     passive = scores.PRED["passive_toxic"]
-    out = scored.withColumn("needs_context", F.coalesce(F.col(passive), F.lit(0.0)) > context_threshold)
+    out = scored.withColumn("needs_context", scores.known_score(F.col(passive)) > context_threshold)
     if context is not None:
         checks = context.select(*keys, "is_sarcastic", "passive_toxic_confidence")
         out = out.join(checks, list(keys), "left")
@@ -139,7 +139,7 @@ def annotate(
         scored = heuristic_scores(rows, text, lexicon)
         chosen = scores.choose_thresholds(threshold)
         raw = {
-            x: F.when(blank, 0).otherwise((F.col(scores.PRED[x]) >= chosen[x]).cast("int")) for x in LABELS
+            x: F.when(blank, 0).otherwise((scores.known_score(F.col(scores.PRED[x])) >= chosen[x]).cast("int")) for x in LABELS
         }
         labelled = scored.withColumns(replies.exclusive_labels(raw)).withColumn("failed", F.lit(False))
     else:

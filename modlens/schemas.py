@@ -84,9 +84,9 @@ def label_names(df: DataFrame) -> list[str]:
 
 def coerce_labels(df: DataFrame) -> DataFrame:
     """Labels as 0/1-style ints (bad or missing values are 0); ``text_clean`` falls back to ``text``."""
-    # a value such as "1.7" is cut to 1, as a float-to-int cast does
+    # a value such as "1.7" is cut to 1, as a float-to-int cast does; "nan" and what no int holds are 0
     cols = {
-        x: F.coalesce(F.col(x).cast("string").try_cast("double"), F.lit(0.0)).try_cast("int")
+        x: F.coalesce(F.nanvl(F.col(x).cast("string").try_cast("double"), F.lit(0.0)).try_cast("int"), F.lit(0))
         for x in label_names(df)
     }
     if "text_clean" not in df.columns and "text" in df.columns:

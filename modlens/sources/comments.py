@@ -74,12 +74,6 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath()) for s in found) if found else []
 
 
-def is_single_file(spark: SparkSession, path: str) -> bool:
-    """Whether a path is one file and not a folder of part files."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(target).isFile()
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path (or any match of a glob) exists."""
     return bool(matching_paths(spark, path))

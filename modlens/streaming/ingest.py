@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from modlens.session import checkpoint_dir
 from modlens.sources import dumps
 
 
@@ -37,28 +36,27 @@ def first_in_stream(records: DataFrame, horizon: str = "7 days") -> DataFrame:
 def start_ingest(
     lines: DataFrame,
     table: str,
+    checkpoint: str,
     name: str = "dump_ingest",
     dedupe: bool = True,
     available_now: bool = True,
     horizon: str = "7 days",
     **options,
-) -> StreamingQuery:
+) -> tuple[StreamingQuery, StreamingQuery]:
     """Write raw rows to Parquet at ``table`` and lines that do not parse to ``<table>_malformed``.
 
-    Both sinks commit through checkpoints in the shared folder, so a lost executor or
-    a restart neither loses nor repeats rows.  The second query runs beside the first.
+    ``checkpoint`` is the folder of this ingest's state, in storage that outlives the cluster: after a lost executor, or a
+    restart with the same folder, rows are neither lost nor repeated.  The two sinks are two queries, so that each
+    commits by itself, at the price of reading the lines twice.  Both are returned, records first; watch both.
     """
-    spark = lines.sparkSession
     records = dumps.dump_records(lines, **options)
     if dedupe:
         records = first_in_stream(records, horizon)
-    base = f"{checkpoint_dir(spark)}/{name}"
 
     def begin(df: DataFrame, path: str, part: str) -> StreamingQuery:
-        writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/{part}")
+        writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{checkpoint}/{part}")
         if available_now:
             writer = writer.trigger(availableNow=True)
         return writer.queryName(f"{name}_{part}").start(path)
 
-    begin(dumps.malformed_lines(lines), f"{table}_malformed", "malformed")
-    return begin(records, table, "records")
+    return begin(records, table, "records"), begin(dumps.malformed_lines(lines), f"{table}_malformed", "malformed")

@@ -8,13 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from modlens.functions.lexicon import DEFAULT_LEXICON, TOXIC_LABELS, Lexicon
 from modlens.operators import scoring
-from modlens.session import checkpoint_dir
 
 
 def weekly_trend(df: DataFrame, stamp: str = "created_utc", lateness: str = "7 days") -> DataFrame:
     """Mean of each toxic label per closed week (Monday to Sunday).
 
-    Rows later than ``lateness`` are not counted, and weeks without rows do not appear.
+    Rows later than ``lateness`` are not in the means, and weeks without rows do not appear; the query's progress counts
+    late rows (see :func:`late_rows`).
     """
     labels = [x for x in TOXIC_LABELS if x in df.columns]
     # windows count from a Thursday; four days on is a Monday
@@ -25,6 +25,13 @@ def weekly_trend(df: DataFrame, stamp: str = "created_utc", lateness: str = "7 d
     return means.select(sunday.alias("week"), "n_rows", *labels)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came too late for their window, over the progress that the query still remembers."""
+    return sum(
+        int(state["numRowsDroppedByWatermark"]) for progress in query.recentProgress for state in progress["stateOperators"]
+    )
+
+
 def moderated(df: DataFrame, text: str = "text", lexicon: Lexicon = DEFAULT_LEXICON, load_model=None) -> DataFrame:
     """Scores, severity and advice for a stream; no state, no shuffle."""
     scored = (
@@ -34,10 +41,11 @@ def moderated(df: DataFrame, text: str = "text", lexicon: Lexicon = DEFAULT_LEXI
 
 
 def start_moderation(
-    df: DataFrame, table: str, alerts: str, name: str = "moderation", available_now: bool = True
+    df: DataFrame, table: str, alerts: str, checkpoint: str, name: str = "moderation", available_now: bool = True
 ) -> StreamingQuery:
     """Append every moderated row to ``table`` and the toxic ones to ``alerts`` as well.
 
+    ``checkpoint`` is this stream's own folder, in storage that outlives the cluster.
     Each micro-batch overwrites only its own ``batch`` folder, so a batch that is run
     again after a failure replaces what it wrote.
     """
@@ -51,7 +59,7 @@ def start_moderation(
             batch.unpersist()
 
     writer = df.writeStream.foreachBatch(write).queryName(name)
-    writer = writer.option("checkpointLocation", f"{checkpoint_dir(df.sparkSession)}/{name}")
+    writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

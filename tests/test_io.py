@@ -103,13 +103,17 @@ def test_files_of_other_kinds_are_not_read(spark, dump_folder):
 
 
 def test_stream_equals_batch(spark, dump_folder, tmp_path):
-    lines = ingest.dump_stream(spark, str(dump_folder))
-    query = ingest.start_ingest(lines, str(tmp_path / "raw"), name=f"ingest_{uuid.uuid4().hex}")
-    query.awaitTermination()
-    for other in spark.streams.active:
-        other.awaitTermination()
-    got = {r.id for r in spark.read.parquet(str(tmp_path / "raw")).collect()}
-    assert got == {r.id for r in ingest_dumps(spark, glob=f"{dump_folder}/*.zst").collect()}
+    def run():
+        lines = ingest.dump_stream(spark, str(dump_folder))
+        for query in ingest.start_ingest(lines, str(tmp_path / "raw"), str(tmp_path / "state"), name=f"ingest_{uuid.uuid4().hex}"):
+            query.awaitTermination()
+            assert query.exception() is None
+
+    run()
+    columns = ["id", "text", "subreddit", "post_title", "upvotes", "created_utc", "source"]
+    got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "raw")).select(columns).collect()))
+    assert got == sorted(map(tuple, ingest_dumps(spark, glob=f"{dump_folder}/*.zst").select(columns).collect()))
+    run()  # a restart with the same state repeats nothing
     bad = sorted(r.value for r in spark.read.parquet(str(tmp_path / "raw_malformed")).collect())
     assert bad == ["[1]", "{bad line"]
     assert spark.read.parquet(str(tmp_path / "raw")).count() == 3
@@ -127,6 +131,7 @@ def test_stream_trend(spark, tmp_path):
         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    assert live.late_rows(query) == 0
     got = sorted((str(r.week), r.n_rows, r.toxic) for r in spark.table("trend").collect())
     assert got == [("2024-01-07", 1, 0.0), ("2024-01-14", 2, 0.5)]
 
@@ -136,7 +141,7 @@ def test_stream_moderation(spark, tmp_path):
     df = spark.createDataFrame([(1, "ggez you bot"), (2, "hello there")], "id int, text string")
     df.write.parquet(str(src))
     stream = live.moderated(spark.readStream.schema(df.schema).parquet(str(src)))
-    live.start_moderation(stream, str(tmp_path / "all"), str(tmp_path / "alerts"), name=f"mod_{uuid.uuid4().hex}").awaitTermination()
+    live.start_moderation(stream, str(tmp_path / "all"), str(tmp_path / "alerts"), str(tmp_path / "state"), name=f"mod_{uuid.uuid4().hex}").awaitTermination()
     assert spark.read.parquet(str(tmp_path / "all")).count() == 2
     assert [r.id for r in spark.read.parquet(str(tmp_path / "alerts")).collect()] == [1]
 
@@ -204,7 +209,7 @@ def test_envelopes(spark, body, ids):
 
 def test_posts_stand_in_for_missing_comments(spark):
     df = spark.createDataFrame(
-        [('{"posts": [{"id": "p", "title": "title of this post", "score": 2}, {"id": "q", "title": "x"}, {"title": "no id at all here"}]}', "v")],
+        [('{"posts": [{"id": "p", "title": "title of this post", "score": 2, "url": "/p"}, {"id": "q", "title": "x", "permalink": "/q"}, {"id": "z", "title": "a post without any link"}, {"title": "no id at all here"}]}', "v")],
         "body string, subreddit string",
     )
     posts = payloads.post_columns(payloads.flatten_envelopes(df, keep=["subreddit"]), ["subreddit"])
@@ -213,6 +218,35 @@ def test_posts_stand_in_for_missing_comments(spark):
     assert out == {"post_p": "title of this post", "c1": "one two three four"}
 
 
+def test_an_id_counts_once(spark):
+    posts = spark.createDataFrame(
+        [("p", "short", "", "1", "1", "/p", "v"), ("p", "now it is long enough", "", "2", "2", "/p", "v"), ("q", "t", "", "1", "1", "/q", "v"), ("q", "t2", "", "1", "2", "/q", "v")],
+        "post_id string, title string, selftext string, score string, created_utc string, link string, subreddit string",
+    )
+    comments = spark.createDataFrame(
+        [("q", "c", "too short", "1", "1"), ("q", "c", "long enough but it came later", "1", "2"), ("q", "d", "one two three four", "1", "1")],
+        "post_id string, comment_id string, body string, score string, created_utc string",
+    )
+    out = sorted((r.id, r.text, r.post_title) for r in payloads.posts_with_comments(posts, comments).collect())
+    assert out == [("d", "one two three four", "t"), ("post_p", "now it is long enough", "now it is long enough")]
+
+
+def test_envelopes_of_any_depth(spark):
+    bodies = ['{"data":{"results":{"items":[{"id":"x"}]}}}', '{"data":{"data":{"posts":[{"id":"y"}]}}}', '{"posts":{"data":{"items":[{"id":"z"}]}}}',
+              '{"data":' * 6 + '{"0":{"id":"w"}}' + "}" * 6, '{"items":[1],"data":{"comments":[{"id":"v"}]}}']
+    df = spark.createDataFrame([(i, b) for i, b in enumerate([*bodies, "{bad", '{"data": {}}', None])], "n int, body string")
+    out = payloads.flatten_envelopes(df, keep=["n"]).select("n", payloads.record_text(F.col("record"), "id").alias("id"))
+    assert sorted((r.n, r.id) for r in out.collect()) == [(0, "x"), (1, "y"), (2, "z"), (3, "w"), (4, "v")]
+    rejected = payloads.unresolved_envelopes(df, keep=["n"]).collect()
+    assert sorted((r.n, r.parsed) for r in rejected) == [(5, False), (6, True), (7, False)]
+
+
+def test_comment_markup_of_all_kinds(spark):
+    page = """<div class='comment' id='k'><div class=md>one <div>two three</div> four it&#8217;s caf&eacute; &mdash;</div></div>"""
+    out = pages.comment_records(spark.createDataFrame([(page, "s")], "html string, sub string"), subreddit="sub").first()
+    assert (out.id, out.text, out.subreddit, out.created_utc) == ("k", "one two three four it\u2019s caf\u00e9 \u2014", "s", None)
+
+
 PAGE = """<html><script>var x='<div class="comment">';</script><a class="title may-blank" href="#">The &amp; title</a>
 <div class="thing comment x" data-fullname="t1_a"><span class="score unvoted">-3 points</span>
 <div class="usertext md"><p>one two</p><p>three &lt;four&gt;</p></div>

@@ -142,12 +142,64 @@ def test_cohen(spark):
     assert all(r.kappa is None for r in constant)
 
 
-def test_cohen_long_form_equals_wide(spark, monkeypatch):
-    df = ratings(spark, {"a": [0, 1, 1], "b": [1, 1, 0], "c": [0, 0, 1]})
-    wide = rows_of(agreement.confusion(df), "annotator_1", "annotator_2", "label", "n00", "n01", "n10", "n11")
-    monkeypatch.setattr(agreement, "WIDE_PANEL", 2)
-    long = rows_of(agreement.confusion(df, names=["a", "b", "c"]), "annotator_1", "annotator_2", "label", "n00", "n01", "n10", "n11")
-    assert wide == long
+def test_repeated_ratings_count_once(spark):
+    rows = [("i1", "a", 1, 1), ("i1", "a", 2, 0), ("i1", "b", 1, 1), ("i2", "a", 1, 0), ("i2", "b", 1, 0), (None, "a", 1, 1), ("i3", None, 1, 1)]
+    df = spark.createDataFrame(rows, "item string, annotator string, nth int, toxic int")
+    out = agreement.confusion(df, order_by=["nth"]).first()
+    assert (out.n00, out.n01, out.n10, out.n11) == (1, 0, 0, 1)
+    last = agreement.confusion(df.withColumn("nth", -F.col("nth")), order_by=["nth"]).first()
+    assert (last.n00, last.n01, last.n10, last.n11) == (1, 1, 0, 0)
+    assert agreement.confusion(df, names=["a"]).count() == 0
+
+
+def test_fleiss_counts_raters_and_rejects(spark):
+    rows = [("i1", "a", 0), ("i1", "a", 1), ("i2", "a", 1), ("i2", "b", 1), ("i3", "b", 0), ("i3", "c", 0), ("i4", "a", 1), ("i4", "c", 0)]
+    df = spark.createDataFrame(rows, "item string, annotator string, toxic int")
+    out = agreement.fleiss_kappa(df).first()
+    assert (out.n_items, out.n_rejected) == (3, 1) and out.fleiss_kappa is not None
+    assert [(r.item, r.n_ratings) for r in agreement.incomplete_items(df).collect()] == [("i1", 1)]
+    assert agreement.fleiss_kappa(df, raters=3).count() == 0
+
+
+def test_a_text_seen_very_often(spark, monkeypatch):
+    monkeypatch.setattr(agreement, "REPEAT_BLOCK", 7)
+    df = spark.range(500).select(F.lit("gg").alias("text"), F.when(F.col("id") < 300, "a").otherwise("b").alias("annotator"), (F.col("id") % 2).cast("int").alias("toxic"))
+    out = agreement.item_id_from_text(df)
+    assert out.columns == ["text", "annotator", "toxic", "item"]
+    counts = {r.annotator: (r.n, r.m) for r in out.groupBy("annotator").agg(F.count("*").alias("n"), F.count_distinct("item").alias("m")).collect()}
+    assert counts == {"a": (300, 300), "b": (200, 200)}
+    assert out.groupBy("item").count().filter("count = 2").count() == 200
+
+
+def test_sampling_with_repeated_and_null_keys(spark):
+    rows = [("a", "x idiot"), ("a", "y idiot"), (None, "z idiot"), ("b", "w idiot"), ("b", "w idiot")]
+    df = spark.createDataFrame(rows, "id string, text string")
+    out = sampling.stratified_sample(df, ["id"], toxic_n=5, clean_n=5)
+    flagged = out.filter("has_toxic_keyword").count()
+    assert out.count() == 5 and sorted(r.rank for r in out.filter("has_toxic_keyword").collect()) == list(range(1, flagged + 1))
+    assert sampling.first_by_hash(df, ["id"], 3).count() == 3
+    many = spark.range(200).select(F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"), F.lit(True).alias("has_toxic_keyword"), F.lit("t").alias("text_clean"))
+    many = many.withColumn("has_toxic_keyword", F.coalesce(F.col("k"), F.lit(0)) % 2 == 0)
+    splits = sampling.annotation_splits(many, ["k"], iaa_size=10, total_size=30)
+    assert splits.filter("split = 'iaa'").count() == 10
+    keys = {s: {r.k for r in splits.filter(F.col("split").startswith(s)).collect()} for s in ("iaa", "batch")}
+    assert not keys["iaa"] & keys["batch"] and splits.count() <= 30
+
+
+def test_scores_that_are_not_numbers(spark):
+    from modlens.functions import scores
+
+    nan = float("nan")
+    df = spark.createDataFrame([(nan,) * 6, (None,) * 6, (0.9, nan, nan, nan, nan, nan)], ", ".join(f"pred_{x} double" for x in LABELS))
+    t = scores.choose_thresholds()
+    got = [tuple(r) for r in df.select(scores.is_toxic(t), scores.severity(t), scores.active_labels(t)).collect()]
+    assert got == [(False, "none", []), (False, "none", []), (True, "moderate", ["toxic"])]
+    proxy = profile.prediction_proxy(df).collect()
+    assert [r.toxic for r in proxy] == [0, 0, 1] and all(r.not_toxic == 0 for r in proxy)
+    for bad in (7.0, nan, -0.1, True):
+        with pytest.raises(ValueError):
+            scores.choose_thresholds(bad)
+    assert scores.choose_thresholds(0.5, {"toxic": 7, "slur": nan, "harassment": 0.2})["harassment"] == 0.2
 
 
 def test_fleiss(spark):
@@ -225,8 +277,9 @@ def test_summary_with_maps(spark):
     out = profile.with_count_maps(profile.dataset_summary(df, label_source="gold"), df, ["source"]).first()
     assert (out.total_samples, out.unique_texts, out.toxic_count, out.toxic_pct) == (3, 2, 1, 33.33)
     assert (out.avg_word_count, out.median_word_count, out.label_eda_source, out.sources) == (1.7, 2.0, "gold", {"x": 1, "y": 1})
-    with pytest.raises(ValueError):
-        profile.with_count_maps(profile.dataset_summary(df), df, ["source"], most_values=1)
+    assert rows_of(profile.count_table(df, ["source", "toxic"]), "column", "value", "n") == [
+        ("source", "x", 1), ("source", "y", 1), ("toxic", "0", 2), ("toxic", "1", 1)
+    ]
 
 
 def test_tfidf_by_hand(spark):
