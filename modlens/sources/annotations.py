@@ -11,21 +11,33 @@ from modlens.sources.comments import matching_paths
 
 # File name of one annotator's table.
 ANNOTATOR_FILES = "iaa_annotator_*.csv"
-ANNOTATOR_NAME = r"iaa_annotator_(.*)\.csv$"
+ANNOTATOR_NAME = r"iaa_annotator_([^/]*)\.csv(?:/[^/]*)?$"
 # End of fixed values.
 
 
 def read_annotators(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
-    """All annotators' tables as one, with the ``annotator`` taken from the file name; needs two or more."""
+    """All annotators' tables as one, with the ``annotator`` taken from the name of its file, or folder of files; needs two or more."""
     files = matching_paths(spark, f"{folder}/{ANNOTATOR_FILES}")
     if len(files) < 2:
         raise ValueError(f"need two or more annotator files in {folder}, found {len(files)}")
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    name = F.regexp_extract(F.url_decode(F.col("_metadata.file_name")), ANNOTATOR_NAME, 1)
+    name = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), ANNOTATOR_NAME, 1)
     rows = reader.csv(files)
     return coerce_labels(rows.select(*rows.columns, name.alias("annotator")))
 
 
+def read_agreement(spark: SparkSession, path: str) -> DataFrame:
+    """Agreement values as written by the reports: the CSV's columns as text, ``kappa`` or ``fleiss_kappa`` as double.
+
+    A value that is missing, ``nan`` or not a number is null.
+    """
+    rows = spark.read.option("header", True).option("escape", '"').csv(path)
+    values = [c for c in ("kappa", "fleiss_kappa") if c in rows.columns]
+    if not values:
+        raise ValueError(f"no kappa column in {path}: {rows.columns}")
+    return rows.withColumns({c: F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double")) for c in values})
+
+
 def read_export(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
     """Tasks of an annotation-tool export; a JSON array file, or one task per line."""
     return spark.read.schema(EXPORT).option("multiLine", not json_lines).json(path)
