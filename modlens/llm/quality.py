@@ -79,8 +79,12 @@ class OrdinalModel(NamedTuple):
         return float(self.weights[slots].sum() / np.sqrt(max(1, len(slots)))) if len(slots) else 0.0
 
 
-def fit(rows: list[tuple[np.ndarray, int]], grades: int, epochs: int = 8, rate: float = 0.8, decay: float = 1e-5, batch: int = 64) -> OrdinalModel:
-    """Adaptive gradient steps on the cumulative-link likelihood; the order of steps is fixed, so a fit repeats exactly."""
+def fit(rows: list[tuple[np.ndarray, int]], grades: int, epochs: int | None = None, rate: float = 0.8, decay: float = 1e-5, batch: int = 64) -> OrdinalModel:
+    """Adaptive gradient steps on the cumulative-link likelihood; the order of steps is fixed, so a fit repeats exactly.
+
+    ``epochs`` defaults to as many as make 2,000 steps, but 8 at least and 40 at most.
+    """
+    epochs = epochs or min(40, max(8, 2000 * batch // max(1, len(rows))))
     rng = np.random.default_rng(7)
     weights, grown = np.zeros(SLOTS), np.full(SLOTS, 1e-6)
     share = np.bincount([g for _, g in rows], minlength=grades) / max(1, len(rows))
