@@ -7,8 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modlens.functions import text as tx
-from modlens.functions.lexicon import DEFAULT_LEXICON, WORD_CLASS
+from modlens.functions.lexicon import DEFAULT_LEXICON
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,7 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# SQL fragments, written apart from the Spark expressions they check
+# SQL fragments, written apart from the Spark expressions they check: no pattern is shared with the engine
+
+SQL_BLANKS = r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SQL_LINK = rf"https?://[^{SQL_BLANKS}]+"
+SQL_WORD = r"[\p{L}\p{N}_]"
 
 
 def quoted(text: str) -> str:
@@ -44,17 +47,17 @@ def sql_list(words) -> str:
 
 
 def sql_collapse(x: str) -> str:
-    return f"trim(regexp_replace({x}, {quoted(tx.SPACES)}, ' ', 'g'))"
+    return f"trim(regexp_replace({x}, {quoted(f'[{SQL_BLANKS}]+')}, ' ', 'g'))"
 
 
 def sql_clean(x: str) -> str:
-    no_url = f"regexp_replace({x}, {quoted(tx.URL)}, '', 'g')"
-    return sql_collapse(f"regexp_replace({no_url}, {quoted(tx.MENTION)}, '', 'g')")
+    no_url = f"regexp_replace({x}, {quoted(SQL_LINK)}, '', 'g')"
+    return sql_collapse(f"regexp_replace({no_url}, {quoted('@' + SQL_WORD + '+')}, '', 'g')")
 
 
 def sql_safe(x: str) -> str:
     unlinked = rf"regexp_replace({x}, '\[([^\]]+)\]\([^)]+\)', '\1', 'g')"
-    return sql_collapse(f"regexp_replace({unlinked}, {quoted(tx.URL)}, '', 'g')")
+    return sql_collapse(f"regexp_replace({unlinked}, {quoted(SQL_LINK)}, '', 'g')")
 
 
 def sql_words(x: str) -> str:
@@ -67,7 +70,7 @@ def sql_flag(x: str, words) -> str:
 
 
 def sql_word_flag(x: str, words) -> str:
-    not_word = WORD_CLASS.replace("[", "[^", 1)
+    not_word = r"[^\p{L}\p{N}_]"
     flat = "|".join(re.escape(w).replace("\\ ", " ") for w in sorted(words, key=len, reverse=True))
     return f"regexp_matches({x}, {quoted(f'(?i)(?:^|{not_word})(?:{flat})(?:$|{not_word})')})"
 

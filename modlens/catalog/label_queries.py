@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from modlens.catalog.base import ALL_WORDS, query, sql_clean, sql_flag, sql_list, sql_word_flag, table
 from modlens.catalog.corpus_queries import ANNOTATED, CLEAN, annotated, cleaned
-from modlens.functions import text as tx
 from modlens.functions.lexicon import DEFAULT_LEXICON, LABELS, TOXIC_LABELS, keyword_flag
 from modlens.operators import agreement, profile, sampling, terms
 
@@ -262,8 +261,16 @@ def head_n(spark, d):
 
 # terms
 
-STOP = sql_list(tx.STOP_WORDS)
-TERMS = f"""tok AS MATERIALIZED (SELECT doc_id AS doc, list_filter(regexp_extract_all(lower({sql_clean('text')}), '{tx.TOKEN}'),
+STOP = sql_list(
+    """
+    a about above after again against all also am an and any are as at be because been before being below between both but by can cannot could did do
+    does doing down during each few for from further had has have having he her here hers herself him himself his how i if in into is it its itself
+    just me more most my myself no nor not now of off on once only or other our ours ourselves out over own same she should so some such than that the
+    their theirs them themselves then there these they this those through to too under until up very was we were what when where which while who whom
+    why will with would you your yours yourself yourselves
+    """.split()
+)
+TERMS = f"""tok AS MATERIALIZED (SELECT doc_id AS doc, list_filter(regexp_extract_all(lower({sql_clean('text')}), '[\\p{{L}}\\p{{N}}_]{{2,}}'),
     lambda w: NOT list_contains({STOP}, w)) AS ws FROM documents),
   grams AS (SELECT doc, unnest(ws) AS term FROM tok
     UNION ALL SELECT doc, ws[i] || ' ' || ws[i + 1] FROM (SELECT doc, ws, unnest(range(1, len(ws))) AS i FROM tok)),

@@ -39,11 +39,15 @@ def clean_text(spark, d):
 EMOJI = "concat('漢', doc_id, ' 😀 ☂', text, '✂🚀')"
 
 
+NARROW = r"[\x{1f600}-\x{1f64f}\x{1f300}-\x{1f5ff}\x{1f680}-\x{1f6ff}\x{1f170}-\x{1f251}\x{2702}-\x{27b0}\x{24c2}]+"
+WIDE_CLASS = r"[\x{1f600}-\x{1f64f}\x{1f300}-\x{1f5ff}\x{1f680}-\x{1f6ff}\x{1f1e0}-\x{1f1ff}\x{2702}-\x{27b0}\x{24c2}-\x{1f251}]+"
+
+
 @query(
     "strip_emoji",
     f"""SELECT doc_id,
-      regexp_replace({EMOJI}, {quoted(f"[{tx.EMOJI_RANGES['narrow']}]+")}, '', 'g') AS narrow,
-      regexp_replace({EMOJI}, {quoted(f"[{tx.EMOJI_RANGES['wide']}]+")}, '', 'g') AS wide FROM documents""",
+      regexp_replace({EMOJI}, {quoted(NARROW)}, '', 'g') AS narrow,
+      regexp_replace({EMOJI}, {quoted(WIDE_CLASS)}, '', 'g') AS wide FROM documents""",
 )
 def strip_emoji(spark, d):
     t = F.concat(F.lit("漢"), "doc_id", F.lit(" 😀 ☂"), "text", F.lit("✂🚀"))

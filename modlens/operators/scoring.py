@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -121,17 +121,18 @@ def annotate(
     text: str = "text_clean",
     first: int | None = None,
     order_by=("id",),
-    annotator: str = "gpt-4o",
+    annotator: str | None = None,
     lexicon: Lexicon = DEFAULT_LEXICON,
-    load_annotator: Callable[[], Callable[[str], str]] | None = None,
+    load_annotator: Callable[[], Callable[[pd.Series], Iterable[str | None]]] | None = None,
     threshold: float = scores.DEFAULT_THRESHOLD,
 ) -> DataFrame:
     """Machine annotation: text, annotator, six labels and a ``failed`` flag.
 
-    ``load_annotator`` returns a function from a text to a JSON reply; it runs inside
-    the tasks, is not called for blank texts, and a call that raises counts as
-    failed, with all labels 0.  Without one the lexicon annotates.
+    ``load_annotator`` returns a function from a batch of texts to as many JSON replies; it runs inside the tasks and gets
+    no blank texts.  A null reply counts as failed, with all labels 0, and so does a batch that raises.  Without one the
+    lexicon annotates.  ``annotator`` is the tag: ``gpt-4o`` for a model, ``lexicon`` otherwise, unless given.
     """
+    annotator = annotator or ("gpt-4o" if load_annotator else "lexicon")
     rows = head_rows(df, order_by, first)
     content = F.coalesce(F.col(text), F.lit(""))
     blank = F.trim(content) == ""
@@ -148,16 +149,15 @@ def annotate(
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ask = load_annotator()
 
-            def reply(value) -> str | None:
-                if value is None or not str(value).strip():
-                    return "{}"
-                try:
-                    return ask(value)
-                except Exception:  # a failed call is recorded, not raised
-                    return None
-
             for batch in batches:
-                yield batch.assign(_reply=[reply(v) for v in batch[text]])
+                answers = pd.Series("{}", index=batch.index, dtype=object)
+                full = batch[text].fillna("").str.strip() != ""
+                if full.any():
+                    try:
+                        answers[full] = list(ask(batch.loc[full, text]))
+                    except Exception:  # a failed call is recorded, not raised
+                        answers[full] = None
+                yield batch.assign(_reply=answers)
 
         asked = rows.mapInPandas(run, schema)
         labelled = asked.withColumns(

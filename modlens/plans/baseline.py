@@ -11,7 +11,7 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from modlens.functions import text as tx
@@ -42,6 +42,11 @@ class BaselineModel:
         return out.select(*kept, *[PRED[x] for x in self.classifiers])
 
 
+def held_out(key: str, sixteenths: int = 4) -> Column:
+    """Whether a row is kept from training: its key's SHA-256 begins with one of the first ``sixteenths`` hex digits."""
+    return F.substring(F.sha2(F.col(key).cast("string"), 256), 1, 1).isin(*"0123456789abcdef"[:sixteenths])
+
+
 def fit_baseline(
     train: DataFrame,
     labels: Sequence[str],

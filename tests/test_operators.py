@@ -314,16 +314,23 @@ def test_model_and_annotator_plug_ins(spark):
     assert rows_of(out, "id", "is_toxic", "severity") == [(1, True, "moderate"), (2, False, "none"), (3, False, "none"), (4, False, "none")]
 
     def load_annotator():
-        def ask(text):
-            if text == "boom":
-                raise RuntimeError
-            return '{"toxic": 1, "not_toxic": 1}' if "Bad" in text else '{"not_toxic": 1}'
+        def ask(texts):
+            assert (texts.str.strip() != "").all()
+            return [None if t == "boom" else '{"toxic": 1, "not_toxic": 1}' if "Bad" in t else '{"not_toxic": 1}' for t in texts]
 
         return ask
 
     labels = scoring.annotate(df, load_annotator=load_annotator)
     assert rows_of(labels, "id", "toxic", "not_toxic", "failed") == [(1, 1, 0, False), (2, 0, 1, False), (3, 0, 0, False), (4, 0, 0, True)]
-    assert scoring.annotate(df, first=2).count() == 2
+    assert scoring.annotate(df, first=2).count() == 2 and scoring.annotate(df).first().annotator == "lexicon"
+
+    def load_broken():
+        def ask(texts):
+            raise RuntimeError
+
+        return ask
+
+    assert rows_of(scoring.annotate(df, load_annotator=load_broken), "id", "failed") == [(1, True), (2, True), (3, False), (4, True)]
 
 
 def test_envelope_and_moderation(spark):
