@@ -13,10 +13,10 @@ corpus, rarest first: a passage that very many documents share comes last and is
 neighbouring bands meet because a set near the lower end of its band is also sketched for the band below.
 
 Verify.  Equal sets are one class from the start.  Classes that share a word are compared with the least class of
-that word only (a star), exactly, on the sets; whatever is linked by then needs no more comparing.  In the words
-that still hold several components, members of different components are compared by their bits, in tiles, and
-those within the bound are verified exactly.  So all links between components are found, and no group's
-pairs are listed.
+that word only (a star): by their bits, and where these are near enough, exactly on the sets.  Whatever is linked by
+then needs no more comparing.  In the words whose other members still lie in several components, members of different
+components are compared by their bits, in tiles, and those within the bound are verified exactly.  So all links
+between components are found, and no group's pairs are listed.
 """
 
 from __future__ import annotations
@@ -110,8 +110,11 @@ def sketch_bits(hashes: np.ndarray, end: int) -> bytes:
     return np.packbits(np.bincount(at.astype(np.int64), minlength=size) & 1).tobytes()
 
 
+BITS = "band int, bits binary, bits_below binary"
+
+
 def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row key, set size and class; and, as further rows, how often shingles of each hash value occur."""
+    """Per row key, set size, class and bits; and, as further rows, how often shingles of each hash value occur."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,23 +122,32 @@ def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
         keys = None
         for batch in batches:
             keys = batch.column(0)
-            sizes, nodes = [], []
+            sizes, nodes, own, below, at = [], [], [], [], []
             for t in batch.column(1):
                 h = shingles(t.as_py())
+                found = bands(len(h)) if len(h) else []
+                at.append(found[0][0] if found else None)
+                own.append(sketch_bits(h, found[0][1]) if found else None)
+                below.append(sketch_bits(h, found[1][1]) if len(found) > 1 else None)
                 counts += np.bincount((h & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS) if len(h) > 4096 else 0
                 if len(h) <= 4096:
                     np.add.at(counts, (h & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
                 sizes.append(len(h))
                 nodes.append(node_of(h))
             none = pa.nulls(len(sizes), pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none], names)
+            yield pa.RecordBatch.from_arrays(
+                [keys, pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none, pa.array(at, pa.int32()), pa.array(own, pa.binary()), pa.array(below, pa.binary())],
+                names,
+            )
         used = np.flatnonzero(counts)
         if keys is not None:
-            none = pa.nulls(len(used), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(used), keys.type), none, none, pa.array(used), pa.array(counts[used])], names)
+            none, bare = pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(len(used), keys.type), none, none, pa.array(used), pa.array(counts[used]), pa.nulls(len(used), pa.int32()), bare, bare], names
+            )
 
-    names = ["key", "n", "node", "counter", "times"]
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n bigint, node bigint, counter bigint, times bigint")
+    names = ["key", "n", "node", "counter", "times", "band", "bits", "bits_below"]
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n bigint, node bigint, counter bigint, times bigint, {BITS}")
 
 
 def _key_rows(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
@@ -174,27 +186,49 @@ def _key_rows(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
 
 
 def _class_sets(texts: DataFrame) -> DataFrame:
-    """(node, n, elements, bits): a class's set, packed, and its bits for each of its bands."""
+    """(node, elements): a class's set, packed.  Rows of one key come in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             got = [shingles(t.as_py()) for t in batch.column(1)]
-            bits = [{b: sketch_bits(h, end) for b, end, _ in bands(len(h))} for h in got]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(h) for h in got], pa.int32()), pa.array([h.tobytes() for h in got], pa.binary()),
-                 pa.array([list(b.items()) for b in bits], pa.map_(pa.int32(), pa.binary()))],
-                ["node", "n", "elements", "bits"],
-            )
+            # a key that stands for several texts gives only the one whose class it is, and that once
+            keep = []
+            for node, h in zip(batch.column(0).to_pylist(), got, strict=True):
+                keep.append(node not in seen and node_of(h) == node)
+                if keep[-1]:
+                    seen.add(node)
+            whole = pa.RecordBatch.from_arrays([batch.column(0), pa.array([h.tobytes() for h in got], pa.binary())], ["node", "elements"])
+            yield whole.filter(pa.array(keep, pa.bool_()))
+
+    return texts.mapInArrow(run, "node bigint, elements binary")
 
-    return texts.mapInArrow(run, "node bigint, n int, elements binary, bits map<int,binary>")
+
+def _near(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """Those pairs (a, b) whose sizes and bits do not rule a link out."""
+    sides = [bits.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "band", "bits", "bits_below"))) for x in "ba"]
+    # the members' bits travel, each with its few pairs; a hub of many pairs is met where its pairs are
+    both = pairs.join(sides[0], "b").join(sides[1], "a").where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
+    x = F.when(F.expr("band_a <= band_b"), F.col("bits_a")).otherwise(F.col("bits_below_a"))
+    y = F.when(F.expr("band_b <= band_a"), F.col("bits_b")).otherwise(F.col("bits_below_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = batch.column(2).to_pylist()
+            keep = [
+                7 * (int.from_bytes(p, "little") ^ int.from_bytes(q, "little")).bit_count() <= n
+                for p, q, n in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), most, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), x.alias("x"), y.alias("y")).mapInArrow(run, "a bigint, b bigint")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those pairs (a, b) whose sets are similar enough, decided on the sets."""
-    own = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("elements").alias("of_b"))
-    hub = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("elements").alias("of_a"))
-    # the members' sets travel, each with its few pairs; a hub of many pairs is met where its pairs are
-    both = pairs.join(own, "b").join(hub, "a").where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
+    own = sets.select(F.col("node").alias("b"), F.col("elements").alias("of_b"))
+    hub = sets.select(F.col("node").alias("a"), F.col("elements").alias("of_a"))
+    both = pairs.join(own, "b").join(hub, "a")  # as in _near: the hub is met where its pairs are
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,23 +245,22 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _across(mixed: DataFrame) -> DataFrame:
     """Pairs of members of a word's different components whose bits are close enough; compared tile by tile.
 
-    A member goes to its tile, and to one row of tiles before it; tiles are dealt by the member's hash.
+    Tiles are dealt by the member's hash; a member meets every tile of its word.
     """
     size = mixed.groupBy("word").agg(F.count(F.lit(1)).alias("k")).select("word", F.greatest(F.lit(1), F.ceil(F.col("k") / TILE)).cast("int").alias("tiles"))
     tiled = mixed.join(size, "word").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     # tile t meets every tile u: as (t, u) with t <= u
     placed = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")).select(
-        "word", "node", "root", "n", "bits", "tile", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y")
+        "word", "node", "root", "n", "band", "bits", "bits_below", "tile", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y")
     )
 
     def run(key, rows):
         x, y = key[1].as_py(), key[2].as_py()
-        tile = rows["tile"].to_numpy()
-        root, n, node = rows["root"].to_numpy(), rows["n"].to_numpy(), rows["node"].to_numpy()
-        bits = [{e["key"]: e["value"] for e in m} for m in rows["bits"].to_pylist()]
+        tile, root, n, node, band = (rows[c].to_numpy() for c in ("tile", "root", "n", "node", "band"))
+        own, below = rows["bits"].to_pylist(), rows["bits_below"].to_pylist()
         found = []
-        for band in sorted({b for m in bits for b in m}):
-            has = [(i, m[band]) for i, m in enumerate(bits) if band in m]
+        for b in np.unique(band).tolist():
+            has = [(i, own[i] if band[i] == b else below[i]) for i in range(len(own)) if band[i] == b or (band[i] == b + 1 and below[i])]
             at = np.array([i for i, _ in has])
             packed = np.stack([np.frombuffer(v, np.uint8) for _, v in has])
             for p, i in enumerate(at.tolist()):
@@ -263,22 +296,30 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     # words that several classes hold
     word = Window.partitionBy("word")
-    shared = _key_rows(docs, text, counts).select("*", F.min("node").over(word).alias("hub"), F.max("node").over(word).alias("last"))
-    shared = saved(shared.where("hub <> last").select("word", "n", "node", "hub").distinct(), "shared-words")
-    held = shared.select("node").distinct()
+    shared = _key_rows(docs, text, counts).select("*", F.min(F.struct("node", "n")).over(word).alias("hub"), F.max("node").over(word).alias("last"))
+    shared = shared.where("hub.node <> last AND hub.node <> node")
+    shared = saved(shared.select("word", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")).distinct(), "shared-words")
     first = rows.where("n > 0").groupBy("node").agg(F.min("key").alias("first"))
-    chosen = first.join(held, "node")
-    texts = docs.select(F.col(key).alias("first"), F.col(text).alias("text")).join(chosen, "first").select("node", "text")
-    sets = saved(_class_sets(texts), "class-sets")
+    bits = found.where("n > 0").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "band", "bits", "bits_below")))
+
+    def verified(near: DataFrame, name: str) -> DataFrame:
+        near = saved(near, f"{name}-candidates")
+        held = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+        texts = docs.select(F.col(key).alias("first"), F.col(text).alias("text")).join(first.join(held, "node"), "first")
+        sets = _class_sets(texts.select("node", "text"))
+        return saved(_linked(near, saved(sets, f"{name}-sets")), f"{name}-links")
 
-    star = saved(_linked(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), sets), "star-links")
+    sized = shared.where("4 * least(n, hub_n) >= 3 * greatest(n, hub_n)")
+    star = verified(_near(sized.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), bits), "star")
     root = components(star)
-    # what the stars left apart
+    # what the stars left apart: members, other than the hubs, in several components; words of the same members are one
     member = shared.select("word", "n", "node").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     member = member.select("*", F.min("root").over(word).alias("low"), F.max("root").over(word).alias("high")).where("low <> high")
-    bits = sets.select("node", F.map_entries("bits").alias("bits"))
-    mixed = member.select("word", "n", "node", "root").join(bits, "node")
-    more = saved(_linked(_across(mixed).distinct(), sets), "cross-links")
+    member = saved(member.select("word", "n", "node", "root"), "members-apart")
+    members = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("node").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", F.lit(1))))
+    alike = member.groupBy("word").agg(members.alias("members")).groupBy("members").agg(F.min("word").alias("word")).select("word")
+    mixed = member.join(alike, "word").join(bits.drop("n"), "node")
+    more = verified(_across(mixed).distinct(), "cross")
     root = components(star.unionByName(more))
 
     least = root.join(first, "node").groupBy("root").agg(F.min("first").alias("component"))
