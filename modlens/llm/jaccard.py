@@ -14,9 +14,10 @@ neighbouring bands meet because a set near the lower end of its band is also ske
 
 Verify.  Equal sets are one class from the start.  Classes that share a word are compared with the least class of
 that word only (a star): by their bits, and where these are near enough, exactly on the sets.  Whatever is linked by
-then needs no more comparing.  In the words whose other members still lie in several components, members of different
-components are compared by their bits, in tiles, and those within the bound are verified exactly.  So all links
-between components are found, and no group's pairs are listed.
+then needs no more comparing.  In the words whose other members still lie in several components another hub is
+drawn, and so on while that joins components.  What then is still apart is compared by bits in tiles, members of
+different components only, and verified exactly where the bits are near enough.  So all links between components
+are found, and no group's pairs are listed.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modlens.llm.common import saved
+from modlens.llm.common import saved, with_arrow
 from modlens.llm.graph import components
 
 WORDS = 5
@@ -122,18 +123,18 @@ def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
         keys = None
         for batch in batches:
             keys = batch.column(0)
-            sizes, nodes, own, below, at = [], [], [], [], []
+            sizes, nodes, own, below, at, seen = [], [], [], [], [], []
             for t in batch.column(1):
                 h = shingles(t.as_py())
                 found = bands(len(h)) if len(h) else []
                 at.append(found[0][0] if found else None)
                 own.append(sketch_bits(h, found[0][1]) if found else None)
                 below.append(sketch_bits(h, found[1][1]) if len(found) > 1 else None)
-                counts += np.bincount((h & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS) if len(h) > 4096 else 0
-                if len(h) <= 4096:
-                    np.add.at(counts, (h & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+                seen.append(h)
                 sizes.append(len(h))
                 nodes.append(node_of(h))
+            if seen:
+                counts += np.bincount((np.concatenate(seen) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
             none = pa.nulls(len(sizes), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [keys, pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none, pa.array(at, pa.int32()), pa.array(own, pa.binary()), pa.array(below, pa.binary())],
@@ -281,7 +282,8 @@ def _across(mixed: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: key, ``n_shingles``, ``component_id`` and the row's ``node`` (equal sets share it).
+    """One row per row of ``docs``: key, ``n_shingles``, ``component_id``, the row's ``node`` (equal sets share it)
+    and its component's ``root``, a node.
 
     ``component_id`` is the least key reached by links from the row, itself included.  A text without words, null or
     empty, has no shingles and is linked with nothing.  Repeated rows and texts share a class; a null key is never the
@@ -298,53 +300,75 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     word = Window.partitionBy("word")
     shared = _key_rows(docs, text, counts).select("*", F.min(F.struct("node", "n")).over(word).alias("hub"), F.max("node").over(word).alias("last"))
     shared = shared.where("hub.node <> last AND hub.node <> node")
-    shared = saved(shared.select("word", "node", "n", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")).distinct(), "shared-words")
+    shared = saved(shared.select("word", "node", "n", "hub").distinct(), "shared-words")
     first = rows.where("n > 0").groupBy("node").agg(F.min("key").alias("first"))
     bits = found.where("n > 0").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "band", "bits", "bits_below")))
 
-    def verified(near: DataFrame, name: str) -> DataFrame:
-        near = saved(near, f"{name}-candidates")
-        held = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-        texts = docs.select(F.col(key).alias("first"), F.col(text).alias("text")).join(first.join(held, "node"), "first")
-        sets = _class_sets(texts.select("node", "text"))
-        return saved(_linked(near, saved(sets, f"{name}-sets")), f"{name}-links")
-
-    sized = shared.where("4 * least(n, hub_n) >= 3 * greatest(n, hub_n)")
-    star = verified(_near(sized.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), bits), "star")
-    root = components(star)
-    # what the stars left apart: members, other than the hubs, in several components; words of the same members are one
-    member = shared.select("word", "n", "node").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    member = member.select("*", F.min("root").over(word).alias("low"), F.max("root").over(word).alias("high")).where("low <> high")
-    member = saved(member.select("word", "n", "node", "root"), "members-apart")
-    members = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("node").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", F.lit(1))))
-    alike = member.groupBy("word").agg(members.alias("members")).groupBy("members").agg(F.min("word").alias("word")).select("word")
-    mixed = member.join(alike, "word").join(bits.drop("n"), "node")
-    more = verified(_across(mixed).distinct(), "cross")
-    root = components(star.unionByName(more))
+    def sets_of(nodes: DataFrame, name: str) -> DataFrame:
+        texts = docs.select(F.col(key).alias("first"), F.col(text).alias("text")).join(first.join(nodes, "node"), "first")
+        return saved(_class_sets(texts.select("node", "text")), name)
+
+    size_fits = "4 * least(n, hub.n) >= 3 * greatest(n, hub.n)"
+    near = saved(_near(shared.where(size_fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), bits), "star-candidates")
+    ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    links = saved(_linked(near, sets_of(ends, "star-sets")), "star-links")
+    root = components(links)
+
+    def apart(members: DataFrame) -> DataFrame:
+        """Members of words that still hold several components."""
+        now = members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        now = now.select("*", F.min("root").over(word).alias("low"), F.max("root").over(word).alias("high")).where("low <> high")
+        return saved(now.select("word", "n", "node", "root"), "members-apart")
+
+    # the hubs are compared with everyone; other hubs follow, as long as that joins components, and then the rest in tiles
+    members = apart(shared.select("word", "n", "node"))
+    left = members.count()
+    if left:
+        sets = sets_of(members.select("node").distinct(), "member-sets")
+        turn = 0
+        while left:
+            turn += 1
+            pick = F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).over(word)
+            dealt = members.withColumn("hub", pick).where("node <> hub.node")
+            pairs = dealt.where(f"root <> hub.root AND {size_fits}").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+            links = saved(links.unionByName(_linked(_near(pairs.distinct(), bits), sets)), "links")
+            root = components(links)
+            members = apart(dealt.select("word", "n", "node"))
+            before, left = left, members.count()
+            if left > 0.8 * before:
+                break
+        alike = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("node").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", F.lit(1))))
+        words = members.groupBy("word").agg(alike.alias("members")).groupBy("members").agg(F.min("word").alias("word")).select("word")
+        mixed = members.join(words, "word").join(bits.drop("n"), "node")
+        links = saved(links.unionByName(_linked(_across(mixed).distinct(), sets)), "links")
+        root = components(links)
 
     least = root.join(first, "node").groupBy("root").agg(F.min("first").alias("component"))
-    named = root.join(least, "root").select("node", "component")
+    named = root.join(least, "root").select("node", "root", "component")
     out = rows.join(first, "node", "left").join(named, "node", "left")
     return out.select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("key")).otherwise(F.coalesce("component", "first")).alias("component_id"), "node",
+        F.coalesce("root", "node").alias("root"),
     )
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component: one with the least key; rows without words are all kept.
+    """One row of each component: a row with its least key (null last), of several the one whose text's digest is least.
 
-    Where several rows have that key, the text that sorts first among those of the component stays.
+    Rows without words are all kept, as they are linked with nothing.  Each task drops its own copies of a text before
+    rows are shuffled, by class and once.
     """
-    found = near_duplicates(docs, key, text)
-    kept = found.where(F.col("n_shingles") == 0).select(F.col(key).alias("__key"), F.lit(True).alias("__bare"), F.lit(None).cast(found.schema[key].dataType).alias("__component")).distinct()
-    heads = found.where((F.col("n_shingles") > 0) & F.col(key).eqNullSafe(F.col("component_id"))).select(
-        F.col(key).alias("__key"), F.lit(False).alias("__bare"), F.col("component_id").alias("__component")
-    ).distinct()
+    found = near_duplicates(docs, key, text).where("n_shingles > 0")
+    heads = found.groupBy("root").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "node")).alias("head"))
+    at = docs.columns.index(text)
+
+    def classes(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [pa.array([node_of(shingles(t.as_py())) for t in batch.column(at)], pa.int64())]
+
     bare = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    marked = docs.withColumn("__bare_row", bare)
-    joined = marked.join(kept.unionByName(heads), F.col(key).eqNullSafe(F.col("__key")) & (F.col("__bare_row") == F.col("__bare")))
-    # a key may stand for several rows: of those with words one is kept
-    first = Window.partitionBy("__key", "__bare").orderBy(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
-    ranked = joined.withColumn("__n", F.when(F.col("__bare_row"), 1).otherwise(F.row_number().over(first)))
-    return ranked.where("__n = 1").select(*docs.columns)
+    full = with_arrow(docs.where(~bare), classes, "__node bigint")
+    first = Window.partitionBy("__node").orderBy(F.col(key).asc_nulls_last(), F.sha2(F.col(text), 256))
+    ranked = full.withColumn("__n", F.row_number().over(first)).where("__n = 1")
+    kept = ranked.join(heads.select(F.col("head.node").alias("__node")), "__node", "left_semi")
+    return kept.select(*docs.columns).unionByName(docs.where(bare))
