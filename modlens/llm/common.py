@@ -36,6 +36,13 @@ def others(df: DataFrame, taken: Iterable[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in own]
 
 
+def pieces(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what is made from one at a time stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def with_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Sequence[pa.Array]], added: str) -> DataFrame:
     """Add columns computed batch by batch; ``added`` is their DDL, and they replace columns of the same name.
 
@@ -47,7 +54,7 @@ def with_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Sequence[pa.Array]]
     at = [df.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             columns = [*(batch.column(i) for i in at), *fn(batch)]
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
 
