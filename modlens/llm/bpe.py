@@ -1,9 +1,9 @@
 """Byte-level BPE: texts to token ids and back, with a rank file and a split pattern.
 
 Each match of the pattern is merged on its own.  The pairs waiting to be merged lie in
-buckets, one per rank, that hold positions of a linked list; a bitmap in three levels
-says which buckets hold anything, so the next rank is found by three find-first-set steps
-whatever the length.  Entries are not removed when a neighbour's merge changes a pair: they
+buckets, one per rank, that hold positions of a linked list; a bitmap in two levels, words of
+256 ranks and one bit per word, says which buckets hold anything, so the next rank is found by two
+find-first-set steps whatever the length.  Entries are not removed when a neighbour's merge changes a pair: they
 are recognised as stale when they come up.  A run of n bytes takes O(n log n) steps at most.
 """
 
@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 from collections.abc import Callable, Iterable
 from heapq import heappop, heappush
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from modlens.llm.common import with_arrow
 
 #: Runs remembered by one Python worker in each of two generations; what falls out is merged again, which changes no result.
-REMEMBERED = 200_000
+REMEMBERED = 250_000
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Runs that the usual split pattern (letters, digits, other signs, each with one space before, or white space) never crosses.
 RUNS = f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
@@ -53,53 +54,21 @@ LATER = """
 """
 _LATER = re.compile("[" + "".join("-".join(chr(int(x, 16)) for x in r.split("-")) for r in LATER.split()) + "]")
 
+_PACK = struct.Struct("=i").pack
 
-class RankQueue:
-    """Positions by rank, lowest rank first and leftmost position first within a rank.
 
-    ``words`` has a bit per rank, ``groups`` a bit per word, ``top`` a bit per group.
-    """
-
-    def __init__(self, n_ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        self.words = [0] * (n_ranks // 64 + 1)
-        self.groups = [0] * (n_ranks // 4096 + 1)
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-        else:
-            self.buckets[rank] = [position]
-            self.words[rank >> 6] |= 1 << (rank & 63)
-            self.groups[rank >> 12] |= 1 << (rank >> 6 & 63)
-            self.top |= 1 << (rank >> 12)
-
-    def pop_bucket(self) -> tuple[int, list[int]] | None:
-        """The lowest rank and its positions as a heap, taken out; ``None`` if nothing is left."""
-        if not self.top:
-            return None
-        group = (self.top & -self.top).bit_length() - 1
-        bits = self.groups[group]
-        word = (group << 6) + (bits & -bits).bit_length() - 1
-        bits = self.words[word]
-        rank = (word << 6) + (bits & -bits).bit_length() - 1
-        self.words[word] = bits = bits & (bits - 1)
-        if not bits:
-            self.groups[group] = bits = self.groups[group] & (self.groups[group] - 1)
-            if not bits:
-                self.top &= self.top - 1
-        return rank, self.buckets.pop(rank)
+#: Ranks to a bitmap word, and their bits.
+WORD_BITS = 8
+BITS = [1 << i for i in range(1 << WORD_BITS)]
 
 
 class _Memory(dict):
-    """Ids by piece of text, made by ``make``; the older generation is dropped when the younger is full."""
+    """Packed ids by piece of text, made by ``make``; the older generation is dropped when the younger is full."""
 
-    def __init__(self, make: Callable[[str], tuple[int, ...]]):
+    def __init__(self, make: Callable[[str], bytes]):
         self.make, self.older = make, {}
 
-    def __missing__(self, run: str) -> tuple[int, ...]:
+    def __missing__(self, run: str) -> bytes:
         ids = self.older.get(run)
         if ids is None:
             ids = self.make(run)
@@ -122,13 +91,17 @@ class Codec:
         self.tokens = tokens
         self.pattern = regex.compile(pattern).findall
         self.runs = re.compile(runs).findall if runs else self.split
-        self.queue = RankQueue(len(tokens))
         self.rank = {token: i for i, token in enumerate(tokens)}
         missing = [b for b in range(256) if bytes([b]) not in self.rank]
         if missing:
             raise ValueError(f"the vocabulary lacks single bytes: {missing[:5]}")
+        self.byte_ids = [self.rank[bytes([b])] for b in range(256)]
+        self.byte_pairs = [self.rank.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+        # the queue of merge(), empty between calls: positions by rank, and a bit for every rank that holds any
+        self.buckets: dict[int, int | list[int]] = {}
+        self.words = [0] * ((len(tokens) >> WORD_BITS) + 1)
         self.pieces = _Memory(lambda piece: self.merge(piece.encode("utf-8")))
-        self.memory = _Memory(lambda run: tuple(chain.from_iterable(map(self.pieces.__getitem__, self.split(run))))) if runs else self.pieces
+        self.memory = _Memory(lambda run: b"".join(map(self.pieces.__getitem__, self.split(run)))) if runs else self.pieces
 
     def split(self, text: str) -> list[str]:
         """Pre-tokens of a text."""
@@ -137,62 +110,85 @@ class Codec:
         ends = list(accumulate(map(len, self.pattern(_LATER.sub("\ufffe", text)))))
         return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def merge(self, piece: bytes) -> tuple[int, ...]:
-        """Ids of one pre-token."""
+    def merge(self, piece: bytes) -> bytes:
+        """Ids of one pre-token, packed as four bytes each."""
         rank_of, tokens = self.rank, self.tokens
         whole = rank_of.get(piece)
         if whole is not None:
-            return (whole,)
+            return _PACK(whole)
         n = len(piece)
-        ids = [rank_of[piece[i : i + 1]] for i in range(n)]
+        ids = list(map(self.byte_ids.__getitem__, piece))
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [rank_of.get(piece[i : i + 2], -1) for i in range(n - 1)]  # rank of the pair that starts here, -1: none
+        two = self.byte_pairs
+        pair = [two[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]  # rank of the pair that starts here, -1: none
         pair.append(-1)
-        queue = self.queue  # empty between calls
-        push = queue.push
+        buckets, words, bits = self.buckets, self.words, BITS
+        top = 0  # a bit for every word that is not 0
+
+        def push(rank: int, position: int) -> None:
+            nonlocal top
+            held = buckets.get(rank)
+            if held is None:
+                buckets[rank] = position  # most buckets hold one position only
+                words[rank >> WORD_BITS] |= bits[rank & 255]
+                top |= 1 << (rank >> WORD_BITS)
+            elif type(held) is int:
+                buckets[rank] = [held, position] if held < position else [position, held]
+            else:
+                heappush(held, position)
+
         for i, rank in enumerate(pair):
             if rank >= 0:
-                push(rank, i)
-        while (entry := queue.pop_bucket()) is not None:
-            rank, bucket = entry
-            while bucket:
-                i = heappop(bucket)
-                if pair[i] != rank:
-                    continue  # stale
-                j = after[i]
-                k = after[j]
-                ids[i], ids[j] = rank, -1
-                pair[i] = pair[j] = -1
-                after[i] = k
-                lowest = rank
-                if k < n:
-                    before[k] = i
-                    if (joined := rank_of.get(tokens[rank] + tokens[ids[k]])) is not None:
-                        pair[i] = joined
-                        if joined == rank:
-                            heappush(bucket, i)
-                        else:
-                            push(joined, i)
-                            lowest = min(lowest, joined)
-                if (h := before[i]) >= 0:
-                    if (joined := rank_of.get(tokens[ids[h]] + tokens[rank])) is None:
-                        pair[h] = -1
-                    elif pair[h] != joined:
-                        pair[h] = joined
-                        if joined == rank:
-                            heappush(bucket, h)
-                        else:
-                            push(joined, h)
-                            lowest = min(lowest, joined)
-                if lowest < rank:  # a lower rank came up: it goes first, the rest of this bucket waits
-                    for i in bucket:
-                        push(rank, i)
-                    break
-        return tuple(i for i in ids if i >= 0)
+                if rank in buckets:
+                    push(rank, i)
+                else:
+                    buckets[rank] = i
+                    words[rank >> WORD_BITS] |= bits[rank & 255]
+                    top |= 1 << (rank >> WORD_BITS)
+        while top:
+            # find first set, level by level, and the leftmost position there
+            word = (top & -top).bit_length() - 1
+            here = words[word]
+            low = here & -here
+            rank = (word << WORD_BITS) + low.bit_length() - 1
+            held = buckets[rank]
+            if type(held) is int:
+                i, held = held, None
+            else:
+                i = heappop(held)
+            if not held:
+                del buckets[rank]
+                words[word] = here = here ^ low
+                if not here:
+                    top ^= 1 << word
+            if pair[i] != rank:
+                continue  # stale
+            j = after[i]
+            k = after[j]
+            ids[i], ids[j] = rank, -1
+            pair[i] = pair[j] = -1
+            after[i] = k
+            token = tokens[rank]
+            if k < n:
+                before[k] = i
+                joined = rank_of.get(token + tokens[ids[k]])
+                if joined is not None:
+                    pair[i] = joined
+                    push(joined, i)
+            h = before[i]
+            if h >= 0:
+                joined = rank_of.get(tokens[ids[h]] + token)
+                if joined is None:
+                    pair[h] = -1
+                elif pair[h] != joined:
+                    pair[h] = joined
+                    push(joined, h)
+        kept = [i for i in ids if i >= 0]
+        return struct.pack(f"={len(kept)}i", *kept)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text; special tokens are ordinary text here."""
-        return np.fromiter(chain.from_iterable(map(self.memory.__getitem__, self.runs(text))), np.int32)
+        return np.frombuffer(b"".join(map(self.memory.__getitem__, self.runs(text))), np.int32)
 
     def decode(self, ids: Iterable[int]) -> bytes:
         """Bytes of token ids."""
