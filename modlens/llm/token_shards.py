@@ -77,13 +77,13 @@ class Tokenizer:
 def _packed(batches, tokenizer: Tokenizer, length: int, end: int):
     """Sequences of a task: ids, number of real ids, documents in it."""
     rest, owners = [], []  # ids not yet given out, and (documents, how many of them)
-    size = 0
+    size, last = 0, np.array([end], np.uint32)
     for batch in batches:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids = np.array([*tokenizer.encode(text.as_py() or ""), end], np.uint32)
-            rest.append(ids)
-            owners.append((key, len(ids)))
-            size += len(ids)
+            ids = np.array(tokenizer.encode(text.as_py() or ""), np.uint32)
+            rest += [ids, last]
+            owners.append((key, len(ids) + 1))
+            size += len(ids) + 1
             if size >= length:
                 flat = np.concatenate(rest)
                 for at in range(0, size - length + 1, length):
@@ -126,10 +126,11 @@ def write_shards(docs: DataFrame, tokenizer: Tokenizer, folder: str | None = Non
     source = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
 
     def count(batches):
-        n = sum(1 for _ in _packed(batches, shared.value, length, end))
+        ids = sum(len(shared.value.encode(t.as_py() or "")) + 1 for batch in batches for t in batch.column(0))
+        n = -(-ids // length)
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], ["part", "n"])
 
-    counts = {r["part"]: r["n"] for r in source.mapInArrow(count, "part int, n bigint").collect()}  # a row per task
+    counts = {r["part"]: r["n"] for r in source.select("text").mapInArrow(count, "part int, n bigint").collect()}  # a row per task
     starts, total = {}, 0
     for part in sorted(counts):
         starts[part] = total
