@@ -40,6 +40,8 @@ BAND = 4
 #: Bands whose sets are small have a part for every hash.
 SINGLE = 64
 TILE = 256
+#: Bits of a sketch at least: the more there are per element, the closer is their distance to the symmetric difference.
+LEAST_BITS = 2048
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -106,7 +108,7 @@ def join_keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def sketch_bits(hashes: np.ndarray, end: int) -> bytes:
     """Parities of the number of hashes per part."""
-    size = max(64, end)
+    size = max(LEAST_BITS, end)
     at = (hashes >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)
     return np.packbits(np.bincount(at.astype(np.int64), minlength=size) & 1).tobytes()
 
