@@ -41,7 +41,7 @@ BAND = 4
 SINGLE = 64
 TILE = 256
 #: Bits of a sketch at least: the more there are per element, the closer is their distance to the symmetric difference.
-LEAST_BITS = 2048
+LEAST_BITS = 4096
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
