@@ -43,6 +43,22 @@ def pieces(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def with_class(docs: DataFrame, text: str, class_of: Callable[[str | None], int]) -> DataFrame:
+    """(node, text): every text with its class, each class once per task at most.  Texts are found by class, as keys may be null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in pieces(batches):
+            nodes = [class_of(t.as_py()) for t in batch.column(0)]
+            keep = []
+            for node in nodes:
+                keep.append(node not in seen)
+                seen.add(node)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column(0)], ["node", "text"]).filter(pa.array(keep, pa.bool_()))
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "node bigint, text string")
+
+
 def with_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Sequence[pa.Array]], added: str) -> DataFrame:
     """Add columns computed batch by batch; ``added`` is their DDL, and they replace columns of the same name.
 

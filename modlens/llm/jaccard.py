@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modlens.llm.common import saved, with_arrow
+from modlens.llm.common import pieces, saved, with_arrow, with_class
 from modlens.llm.graph import components
 
 WORDS = 5
@@ -189,20 +189,12 @@ def _key_rows(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
 
 
 def _class_sets(texts: DataFrame) -> DataFrame:
-    """(node, elements): a class's set, packed.  Rows of one key come in one task."""
+    """(node, elements): the packed set of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
-        for batch in batches:
-            got = [shingles(t.as_py()) for t in batch.column(1)]
-            # a key that stands for several texts gives only the one whose class it is, and that once
-            keep = []
-            for node, h in zip(batch.column(0).to_pylist(), got, strict=True):
-                keep.append(node not in seen and node_of(h) == node)
-                if keep[-1]:
-                    seen.add(node)
-            whole = pa.RecordBatch.from_arrays([batch.column(0), pa.array([h.tobytes() for h in got], pa.binary())], ["node", "elements"])
-            yield whole.filter(pa.array(keep, pa.bool_()))
+        for batch in pieces(batches):
+            sets = [shingles(t.as_py()).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "elements"])
 
     return texts.mapInArrow(run, "node bigint, elements binary")
 
@@ -307,8 +299,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     bits = found.where("n > 0").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "band", "bits", "bits_below")))
 
     def sets_of(nodes: DataFrame, name: str) -> DataFrame:
-        texts = docs.select(F.col(key).alias("first"), F.col(text).alias("text")).join(first.join(nodes, "node"), "first")
-        return saved(_class_sets(texts.select("node", "text")), name)
+        texts = with_class(docs, text, lambda t: node_of(shingles(t))).join(nodes, "node")
+        return saved(_class_sets(texts.dropDuplicates(["node"]).select("node", "text")), name)
 
     size_fits = "4 * least(n, hub.n) >= 3 * greatest(n, hub.n)"
     near = saved(_near(shared.where(size_fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), bits), "star-candidates")

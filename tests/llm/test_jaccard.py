@@ -115,3 +115,19 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     joined = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: min(y for y in parent if root(y) == root(x)) for x in joined}
+
+
+def test_near_copies_without_key(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    # the row without a key is the only bridge from the first to the last, and each is a near copy of the one before
+    steps = [" ".join(base[20 * i : 170 + 20 * i]) for i in range(2)]
+    bridge = " ".join(base[10:180])
+    far = " ".join(base[:150] + ["x"])
+    rows = [(1, " ".join(base[0:150])), (None, " ".join(base[15:165])), (2, " ".join(base[30:180])), (3, far), (None, bridge + " y"), (4, steps[0])]
+    for some in (rows[:3], rows):
+        found = jaccard.near_duplicates(spark.createDataFrame(some, "doc_id bigint, text string").repartition(3)).collect()
+        assert {r["component_id"] for r in found} == {1}
+        assert len({r["root"] for r in found}) == 1
+        kept = jaccard.keep_one(spark.createDataFrame(some, "doc_id bigint, text string").repartition(3)).collect()
+        assert [r["doc_id"] for r in kept] == [1]
