@@ -18,14 +18,23 @@ from modlens.llm.common import with_arrow
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|textarea|select|head)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|template|svg|iframe|textarea|select|title)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*>"
     r"|[^<]+|<",
     re.S | re.I,
 )
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
+#: Elements whose content is no text of the page, up to their end tag.  A head is none: only its title holds text, and where
+#: </head> is left out the body begins all the same.
+ENDS = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in "script style noscript template svg iframe textarea select title".split()}
+#: Where code without an end tag stops.
+NOT_CODE = re.compile(
+    r"</?(?:address|article|aside|blockquote|body|center|details|dialog|div|dl|fieldset|figure|footer|form|h[1-6]|header|hr|main|menu|nav|ol|p|pre"
+    r"|section|table|ul)(?=[\s/>])|</(?:head|html)\b",
+    re.I,
+)
 #: Parts of class, id and role names that mark what is not the article.
 UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side|aside"
@@ -46,17 +55,53 @@ WEIGHT = {"article": 25.0, "main": 20.0, "section": 3.0, "blockquote": -1.0, "ul
 SPACE = re.compile(r"\s+")
 
 
+def attributes_of(tag: str) -> dict[str, str]:
+    """Attributes by lower-cased name, the first of a name; one without a value is empty."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(tag):
+        found.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+    return found
+
+
+def is_hidden(found: dict[str, str]) -> bool:
+    """Whether an element with these attributes is not shown."""
+    return (
+        found.get("hidden", "false").strip().lower() != "false"
+        or found.get("aria-hidden", "").strip().lower() == "true"
+        or bool(NO_DISPLAY.search(found.get("style", "")))
+    )
+
+
+def _after(html: str, tag: str, at: int, unclosed: set[str]) -> int:
+    """Where a page goes on after an element of no text whose start tag ends at ``at``.
+
+    Without an end tag, code goes on to the next tag of a block, a title to the next tag; of the others only the tag goes.
+    """
+    end = None if tag in unclosed else ENDS[tag].search(html, at)
+    if end:
+        return end.end()
+    unclosed.add(tag)  # nor has any that follows
+    if tag in ("script", "style"):
+        code = NOT_CODE.search(html, at)
+        return code.start() if code else len(html)
+    if tag == "title":
+        begin = html.find("<", at)
+        return begin if begin >= 0 else len(html)
+    return at
+
+
 class _Node:
     __slots__ = ("tag", "parent", "dropped", "points", "chars", "linked", "blocks", "bonus")
 
     def __init__(self, tag: str, parent: _Node | None, attributes: str = ""):
         self.tag, self.parent = tag, parent
-        names = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)) if attributes else ""
+        found = attributes_of(attributes) if attributes else {}
+        names = " ".join(found[k] for k in found if k in ("class", "id", "role"))
         self.dropped = bool(parent and parent.dropped) or tag in DROPPED
         if names and tag not in ("html", "body", "article", "main"):
             self.dropped |= bool(UNLIKELY.search(names))
-        if attributes and tag not in ("html", "body"):
-            self.dropped |= bool(HIDDEN.search(attributes))
+        if found and tag not in ("html", "body"):
+            self.dropped |= is_hidden(found)
         self.bonus = WEIGHT.get(tag, 0.0) + (10.0 if names and LIKELY.search(names) else 0.0)
         self.points = self.chars = self.linked = 0.0
         self.blocks: list[int] = []
@@ -92,8 +137,10 @@ def main_text(html: str) -> str:
                     at.points += points / step
                     at, step = at.parent, step * 2
 
-    for m in TOKEN.finditer(html):
-        token = m[0]
+    unclosed: set[str] = set()
+    past = 0
+    while m := TOKEN.match(html, past):
+        token, past = m[0], m.end()
         if token[0] != "<" or token == "<":
             parts.append(token)
             if link:
@@ -103,6 +150,8 @@ def main_text(html: str) -> str:
         if name is None:
             if m[1] is not None:
                 parts.append(" ")
+                if not token.endswith("/>") or m[1].lower() != "svg":
+                    past = _after(html, m[1].lower(), past, unclosed)
             continue
         name = name.lower()
         if name == "a":
@@ -124,6 +173,8 @@ def main_text(html: str) -> str:
             continue
         if name in CLOSES_P and node.tag == "p":
             node = node.parent or root
+        elif node.tag == "option":  # of a select without an end tag
+            node = node.parent or root
         elif name == node.tag and name in ("li", "dt", "dd", "tr", "td", "th", "option"):
             node = node.parent or root
         if name in ("html", "body"):

@@ -169,3 +169,30 @@ def test_likelihood_falls():
     model = quality.fit(rows, 3)
     tails = model.tails(np.array([model.score(s) for s, _ in rows]))
     assert np.mean((tails >= 0.5).sum(axis=1) == [g for _, g in rows]) > 0.95
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ['style="overflow:hidden"', 'class="overflow-hidden"', 'data-x="hidden one"', 'title="The hidden world"', "hidden=false", 'data-hidden="1"', 'style="x-display:none"', 'title="display:none"', 'title="a > b hidden"'],
+)
+def test_main_text_of_elements_that_are_shown(attributes):
+    page = f"<body><div {attributes}><article {attributes}><p>One text, that is read, by many.</p></article></div></body>"
+    assert main_text.main_text(page) == "One text, that is read, by many."
+
+
+@pytest.mark.parametrize(
+    "attributes", ["hidden", 'hidden=""', "HIDDEN=until-found", 'style="color:red; display : none"', 'style="display:none!important"', "style=display:none", "aria-hidden=true", "aria-hidden='TRUE'"]
+)
+def test_main_text_of_elements_that_are_hidden(attributes):
+    page = f"<body><article><p>One text, that is read, by many.</p><div {attributes}><p>No, no, no, no.</p></div></article></body>"
+    assert main_text.main_text(page) == "One text, that is read, by many."
+
+
+@pytest.mark.parametrize(
+    "before",
+    ["<head><title>No</title><meta charset=x><link href=y><body>", "<head><title>No</title><style>p{}</style>", "<head><title>No", "<head><script>var x = '<p>';</script></head><body>",
+     "<head><style>p{}<body>", "<body><script>var x;", "<body><svg><path d=x>", "<body><svg/>", "<body><noscript>", "<body><template>", "<body><select><option><option>", "<body><iframe src=x>", "<body><textarea>"],
+)
+def test_main_text_after_elements_without_end(before):
+    page = f"<html>{before}<article><h1>A head</h1><p>One text, that is read, by many.</p></article></html>"
+    assert main_text.main_text(page) == "A head\n\nOne text, that is read, by many."
