@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from modlens.llm import bpe, decontaminate, jaccard, main_text, neighbours, passages, quality, secrets, token_shards, url_filter
+from modlens.llm import (
+    bpe, decontaminate, jaccard, line_dedup, main_text, neighbours, passages, phrases, quality, resample, secrets, token_shards, url_filter,
+)
 from modlens.llm.common import table
 
 RULES = (
@@ -176,10 +178,63 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 closest phrases."""
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+SQL11 = r"""
+WITH p AS MATERIALIZED (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+  SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+t AS (SELECT r, lang, unnest(w) AS w1, unnest(range(len(w))) AS i FROM p),
+g AS MATERIALIZED (SELECT lang, w1, lead(w1, 1) OVER place AS w2, lead(w1, 2) OVER place AS w3 FROM t WINDOW place AS (PARTITION BY r ORDER BY i)),
+f AS MATERIALIZED (
+  SELECT lang, 1 AS k, w1 AS ph, count(*) AS a FROM g GROUP BY ALL
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM g WHERE w2 IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM g WHERE w3 IS NOT NULL GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, ph, a, string_split(ph, ' ') AS ws FROM f WHERE k > 1 AND a >= 10),
+s AS (SELECT c.lang, c.ph, c.a, j, l.a AS l, r.a AS r, ((1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f l ON l.lang = c.lang AND l.ph = array_to_string(c.ws[1 : c.j], ' ') JOIN f r ON r.lang = c.lang AND r.ph = array_to_string(c.ws[c.j + 1 : c.k], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, j) = 1),
+inner_parts AS (SELECT lang, array_to_string(ws[i : i + 1], ' ') AS ph, max(a) AS m FROM (SELECT *, unnest([1, 2]) AS i FROM c WHERE k = 3) GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.ph) AS rank, b.ph AS phrase, b.a, l, r, n, score
+FROM b JOIN n USING (lang) LEFT JOIN inner_parts USING (lang, ph) WHERE m IS NULL OR 100 * m < 50 * b.a
+QUALIFY rank <= 2000
+"""
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the benchmark's texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resample.resample(docs, table(spark, sf_dir, "benchmark").select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that stand in ten documents or more are dropped everywhere."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.drop_lines(docs)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL13 = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+x AS MATERIALIZED (SELECT r, i, ls[i] AS line, translate(regexp_replace(ls[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+bad AS (SELECT k FROM x WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10)
+SELECT d.doc_id, len(d.ls)::BIGINT AS n_lines, count(bad.k)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(x.line, chr(10) ORDER BY x.i) FILTER (WHERE bad.k IS NULL), '')) AS kept_sha256
+FROM x JOIN d USING (r) LEFT JOIN bad ON bad.k = x.k GROUP BY r, d.doc_id, d.ls
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_byte_bpe, op3_token_shards, op4_substring_dedup, op5_secret_scans, op6_nearest_neighbours, op7_ngram_jaccard_join, op8_benchmark_decontamination, op9_html_extraction, op10_quality_classifier,
+        op11_phrase_collocations, op12_importance_resampling, op13_line_dedup,
     )
 }
-ORACLES = {"op1_url_filters": SQL1, "op7_ngram_jaccard_join": SQL7, "op8_benchmark_decontamination": SQL8}
+ORACLES = {"op1_url_filters": SQL1, "op7_ngram_jaccard_join": SQL7, "op8_benchmark_decontamination": SQL8, "op11_phrase_collocations": SQL11, "op13_line_dedup": SQL13}
