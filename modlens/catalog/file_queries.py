@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from modlens import sinks
 from modlens.catalog.base import query, quoted, sql_words, table
-from modlens.catalog.corpus_queries import ANNOTATED, annotated
+from modlens.catalog.corpus_queries import ANNOTATED, annotated, cleaned
+from modlens.catalog.score_queries import ADVICE, HALF, LEVEL, PREDS, SCORED, sql_active, sql_severity, sql_toxic
+from modlens.functions import scores
 from modlens.functions.lexicon import LABELS, TOXIC_LABELS
 from modlens.operators import corpus, profile
 from modlens.schemas import RAW_TEXT
@@ -72,6 +74,22 @@ def annotator_files(spark, d):
     return annotations.read_annotators(spark, folder).drop("text_clean")
 
 
+@query("annotator_orders", f"""SELECT text_clean || chr(10) || 'second "line", ' || doc_id AS text, unnest(['al', 'bo', 'cy']) AS annotator, unnest([toxic, 1 - quality, toxic]) AS toxic,
+  unnest([slur, 1, 0]) AS slur, unnest([0, 0, not_toxic]) AS not_toxic FROM {ANNOTATED}""")
+def annotator_orders(spark, d):
+    """Each annotator's file has its columns in another order, one lacks a label, and every text has a line break."""
+    rows = annotated(spark, d).withColumn("text", F.concat("text_clean", F.lit('\nsecond "line", '), "doc_id"))
+    folder = shared_folder(spark, "orders")
+    given = {
+        "al": rows.select("text", "toxic", "slur"),
+        "bo": rows.select(F.lit(1).alias("slur"), "text", (1 - F.col("quality")).alias("toxic")),
+        "cy": rows.select("not_toxic", "toxic", "text"),
+    }
+    for name, part in given.items():
+        sinks.write_csv(part, f"{folder}/iaa_annotator_{name}.csv")
+    return annotations.read_annotators(spark, folder).select("text", "annotator", "toxic", "slur", "not_toxic")
+
+
 @query("annotated_csv", f"SELECT text_clean, {', '.join(LABELS)} FROM {ANNOTATED}")
 def annotated_csv(spark, d):
     folder = shared_folder(spark, "annotated")
@@ -159,20 +177,47 @@ def stream_ingest(spark, d):
     """Twice with one state: the second run has nothing left to do."""
     folder, out, state = _lines(spark, d), shared_folder(spark, "raw"), shared_folder(spark, "state")
     for _ in range(2):
-        for running in ingest.start_ingest(ingest.dump_stream(spark, folder), out, state, name=f"q{uuid.uuid4().hex}"):
-            running.awaitTermination()
-    good = spark.read.parquet(out).select("id", F.lit("record").alias("kind"))
-    return good.unionByName(spark.read.parquet(f"{out}_malformed").select(F.col("value").alias("id"), F.lit("malformed").alias("kind")))
+        ingest.start_ingest(ingest.dump_stream(spark, folder), out, state, name=f"q{uuid.uuid4().hex}").awaitTermination()
+    records, malformed = ingest.read_ingest(spark, out)
+    good = records.select("id", F.lit("record").alias("kind"))
+    return good.unionByName(malformed.select(F.col("value").alias("id"), F.lit("malformed").alias("kind")))
+
+
+@query("stream_ingest_rows", f"""SELECT 'comment_' || doc_id AS id, t AS text, 'VALORANT' AS subreddit, '' AS post_title, doc_id AS upvotes, 1700000000 AS created,
+  'pushshift' AS source, 'comment' AS kind FROM (SELECT doc_id, {_SAFE} AS t FROM documents WHERE doc_id % 10 <> 0) WHERE {sql_words('t')} >= 4""")
+def stream_ingest_rows(spark, d):
+    """Whole rows; after a restart every record comes again with another score, and none of these passes."""
+    folder, out, state = _lines(spark, d), shared_folder(spark, "raw"), shared_folder(spark, "state")
+
+    def run():
+        ingest.start_ingest(ingest.dump_stream(spark, folder), out, state, name=f"q{uuid.uuid4().hex}").awaitTermination()
+
+    run()
+    again = spark.read.text(folder).select(F.regexp_replace("value", '"score":', '"score":9').alias("value"))
+    later = shared_folder(spark, "lines-again")
+    again.write.text(later)
+    spark.read.text(later).write.mode("append").text(folder)
+    run()
+    created = F.unix_timestamp("created_utc").alias("created")
+    return ingest.read_ingest(spark, out)[0].select("id", "text", "subreddit", "post_title", "upvotes", created, "source", "kind")
 
 
-@query("stream_moderation", f"SELECT doc_id, regexp_matches(text, {quoted('(?i)' + 'noob')}) AS has_word FROM documents")
+@query("stream_moderation", f"""WITH {SCORED}, s AS (SELECT *, {sql_severity()} AS severity, {sql_toxic(HALF)} AS is_toxic FROM scored)
+  SELECT doc_id, {PREDS}, {sql_active(HALF)} AS active, is_toxic, severity, {LEVEL} AS severity_level, {ADVICE} AS recommendation, is_toxic AS alerted FROM s""")
 def stream_moderation(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    """Every text in several micro-batches: scores, labels, severity and advice, and whether it is among the alerts."""
+    docs = cleaned(spark, d).select("doc_id", "text_clean")
     folder, out = shared_folder(spark, "texts"), shared_folder(spark, "moderated")
-    docs.write.parquet(folder)
-    stream = live.moderated(spark.readStream.schema(docs.schema).parquet(folder))
-    live.start_moderation(stream, f"{out}/all", f"{out}/alerts", f"{out}/state", name=f"q{uuid.uuid4().hex}").awaitTermination()
-    return spark.read.parquet(f"{out}/all").select("doc_id", F.col("text").rlike("(?i)noob").alias("has_word"))
+    docs.repartition(3).write.parquet(folder)
+    source = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream = live.moderated(source, "text_clean")
+    live.start_moderation(stream, out, f"{out}-state", name=f"q{uuid.uuid4().hex}").awaitTermination()
+    rows, alerts = live.read_moderation(spark, out, stream.schema)
+    told = alerts.select("doc_id", F.lit(True).alias("alerted"))
+    return rows.join(told, "doc_id", "left").select(
+        "doc_id", *[scores.PRED[x] for x in LABELS], F.array_join("active_labels", ",").alias("active"), "is_toxic", "severity",
+        "severity_level", "recommendation", F.coalesce("alerted", F.lit(False)).alias("alerted"),
+    )
 
 
 @query("stream_trend", """WITH e AS (SELECT date_trunc('week', ts) AS week, event_type FROM events)
@@ -183,7 +228,24 @@ def stream_trend(spark, d):
     events = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("created_utc"), (F.col("event_type") == "click").cast("int").alias(TOXIC_LABELS[0]))
     folder, out = shared_folder(spark, "events"), shared_folder(spark, "trend")
     events.write.parquet(folder)
-    stream = live.weekly_trend(spark.readStream.schema(events.schema).parquet(folder))
+    stream = live.closed_weeks(spark.readStream.schema(events.schema).parquet(folder))
     running = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start(f"{out}/weeks")
     running.awaitTermination()
     return spark.read.parquet(f"{out}/weeks")
+
+
+@query("stream_trend_corrected", """WITH r AS (SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS week, event_type FROM events WHERE extract(month FROM ts) % 2 = 1),
+  w AS (SELECT week, count(*) AS n_rows, round(avg(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END), 6) AS toxic FROM r GROUP BY week),
+  c AS (SELECT CAST(unnest(range((SELECT min(week) FROM w)::TIMESTAMP, (SELECT max(week) FROM w)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 7 DAY)) AS DATE) AS week)
+  SELECT c.week, coalesce(n_rows, 0) AS n_rows, toxic FROM c LEFT JOIN w USING (week)""")
+def stream_trend_corrected(spark, d):
+    """Every second month's events, the newest first: later batches correct weeks long past, and empty weeks are there."""
+    stamp = F.col("ts").cast("timestamp")
+    events = table(spark, d, "events").filter(F.month("ts") % 2 == 1).select(stamp.alias("created_utc"), (F.col("event_type") == "click").cast("int").alias(TOXIC_LABELS[0]))
+    folder, out = shared_folder(spark, "events"), shared_folder(spark, "trend")
+    newest = F.date_trunc("month", "created_utc") == events.agg(F.max(F.date_trunc("month", "created_utc"))).scalar()
+    for part in (events.filter(newest), events.filter(~newest)):
+        part.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(events.schema).parquet(folder)
+        live.start_trend(stream, out, f"{out}-state", name=f"q{uuid.uuid4().hex}").awaitTermination()
+    return live.read_trend(spark, out, TOXIC_LABELS[:1])

@@ -40,17 +40,17 @@ def scored(spark, d):
     return scoring.heuristic_scores(cleaned(spark, d), "text_clean")
 
 
-def _sql_active(thresholds: dict) -> str:
+def sql_active(thresholds: dict) -> str:
     cases = ", ".join(f"CASE WHEN {PRED[x]} >= {thresholds[x]} THEN '{x}' END" for x in TOXIC_LABELS)
-    return f"""CASE WHEN {_sql_toxic(thresholds)} THEN array_to_string(list_filter([{cases}], lambda v: v IS NOT NULL), ',')
+    return f"""CASE WHEN {sql_toxic(thresholds)} THEN array_to_string(list_filter([{cases}], lambda v: v IS NOT NULL), ',')
       WHEN pred_not_toxic >= {thresholds['not_toxic']} THEN 'not_toxic' ELSE '' END"""
 
 
-def _sql_toxic(thresholds: dict) -> str:
+def sql_toxic(thresholds: dict) -> str:
     return "(" + " OR ".join(f"{PRED[x]} >= {thresholds[x]}" for x in TOXIC_LABELS) + ")"
 
 
-def _sql_severity(t: float = 0.5) -> str:
+def sql_severity(t: float = 0.5) -> str:
     return f"""CASE WHEN pred_slur >= {t} THEN 'slur' WHEN pred_gender_attack >= {t} OR pred_harassment >= {t} THEN 'severe'
       WHEN pred_toxic >= {t} THEN 'moderate' WHEN pred_passive_toxic >= {t} THEN 'passive' ELSE 'none' END"""
 
@@ -67,8 +67,8 @@ def heuristic_scores(spark, d):
 
 @query(
     "score_corpus",
-    f"""WITH {SCORED}, s AS (SELECT *, {_sql_severity()} AS severity FROM scored)
-      SELECT doc_id, {PREDS}, {_sql_active(HALF)} AS active, {_sql_toxic(HALF)} AS is_toxic, severity,
+    f"""WITH {SCORED}, s AS (SELECT *, {sql_severity()} AS severity FROM scored)
+      SELECT doc_id, {PREDS}, {sql_active(HALF)} AS active, {sql_toxic(HALF)} AS is_toxic, severity,
         {LEVEL} AS severity_level, {ADVICE} AS recommendation FROM s""",
 )
 def score_corpus(spark, d):
@@ -79,7 +79,7 @@ def score_corpus(spark, d):
     )
 
 
-@query("active_labels", f"WITH {SCORED} SELECT doc_id, {_sql_active(dict.fromkeys(LABELS, 0.7))} AS active, {_sql_toxic(dict.fromkeys(LABELS, 0.7))} AS is_toxic FROM scored")
+@query("active_labels", f"WITH {SCORED} SELECT doc_id, {sql_active(dict.fromkeys(LABELS, 0.7))} AS active, {sql_toxic(dict.fromkeys(LABELS, 0.7))} AS is_toxic FROM scored")
 def active_labels(spark, d):
     chosen = scores.choose_thresholds(0.7)
     return scored(spark, d).select(
@@ -93,8 +93,8 @@ CALIBRATED = {**HALF, "toxic": 0.8, "passive_toxic": 0.6}
 
 @query(
     "thresholds",
-    f"""WITH {SCORED} SELECT doc_id, {_sql_active(CALIBRATED)} AS at_default,
-      {_sql_active(dict.fromkeys(LABELS, 0.6))} AS at_caller FROM scored""",
+    f"""WITH {SCORED} SELECT doc_id, {sql_active(CALIBRATED)} AS at_default,
+      {sql_active(dict.fromkeys(LABELS, 0.6))} AS at_caller FROM scored""",
 )
 def thresholds(spark, d):
     default, caller = scores.choose_thresholds(0.5, CONFIG), scores.choose_thresholds(0.6, CONFIG)
@@ -105,7 +105,7 @@ def thresholds(spark, d):
     )
 
 
-@query("severity", f"WITH {SCORED}, s AS (SELECT doc_id, {_sql_severity(0.6)} AS severity FROM scored) SELECT doc_id, severity, {LEVEL} AS severity_level FROM s")
+@query("severity", f"WITH {SCORED}, s AS (SELECT doc_id, {sql_severity(0.6)} AS severity FROM scored) SELECT doc_id, severity, {LEVEL} AS severity_level FROM s")
 def severity(spark, d):
     rows = scored(spark, d).select("doc_id", scores.severity(scores.choose_thresholds(0.6)).alias("severity"))
     return rows.withColumn("severity_level", scores.severity_level(F.col("severity")))
@@ -113,7 +113,7 @@ def severity(spark, d):
 
 @query(
     "recommendation",
-    f"""WITH {SCORED}, s AS (SELECT doc_id, CASE WHEN lang = 'de' THEN 'unknown' ELSE {_sql_severity()} END AS severity FROM scored)
+    f"""WITH {SCORED}, s AS (SELECT doc_id, CASE WHEN lang = 'de' THEN 'unknown' ELSE {sql_severity()} END AS severity FROM scored)
       SELECT doc_id, severity, {ADVICE} AS recommendation FROM s""",
 )
 def recommendation(spark, d):
@@ -149,9 +149,9 @@ def merge_scores(spark, d):
     "moderate",
     f"""WITH {SCORED}, n AS (SELECT *, pred_passive_toxic > 0.3 AS needs_context FROM scored),
       a AS (SELECT * REPLACE (CASE WHEN needs_context AND lang = 'en' THEN greatest(pred_passive_toxic, 0.9::DOUBLE) ELSE pred_passive_toxic END AS pred_passive_toxic) FROM n),
-      s AS (SELECT *, {_sql_severity(0.6)} AS severity FROM a)
+      s AS (SELECT *, {sql_severity(0.6)} AS severity FROM a)
       SELECT doc_id, needs_context, pred_passive_toxic, severity, {LEVEL} AS severity_level, {ADVICE} AS recommendation,
-        {_sql_toxic(dict.fromkeys(LABELS, 0.6))} AS is_toxic FROM s""",
+        {sql_toxic(dict.fromkeys(LABELS, 0.6))} AS is_toxic FROM s""",
 )
 def moderate(spark, d):
     checks = table(spark, d, "documents").filter("lang <> 'de'").select(

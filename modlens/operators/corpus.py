@@ -20,14 +20,19 @@ DEFAULT_COMMUNITIES = ("VALORANT", "ValorantMemes", "ValorantCompetitive", "Agen
 LITERAL_LIST_LIMIT = 10_000
 
 
-def in_communities(df: DataFrame, column: str = "subreddit", names: Iterable[str] | None = None) -> DataFrame:
-    """Keep rows of the named communities, ignoring case and outer blanks; blank ones never match."""
+def in_communities(
+    df: DataFrame, column: str = "subreddit", names: Iterable[str] | None = None, besides: Column | None = None
+) -> DataFrame:
+    """Keep rows of the named communities, ignoring case and outer blanks; blank ones never match.  Rows where ``besides`` holds stay too."""
     wanted = sorted({n.lower() for n in (names or DEFAULT_COMMUNITIES)})
     key = F.lower(F.trim(F.col(column)))
     if len(wanted) <= LITERAL_LIST_LIMIT:
-        return df.filter(key.isin(*wanted) & (key != ""))
-    table = df.sparkSession.createDataFrame([(n,) for n in wanted if n], "name string")
-    return df.join(table, key == table["name"], "left_semi")
+        match = key.isin(*wanted) & (key != "")
+        return df.filter(match if besides is None else besides | match)
+    table = df.sparkSession.createDataFrame([(n,) for n in wanted if n], "_name string")
+    if besides is None:
+        return df.join(table, key == table["_name"], "left_semi")
+    return df.join(table, key == table["_name"], "left").filter(besides | F.col("_name").isNotNull()).drop("_name")
 
 
 def in_word_bounds(df: DataFrame, column: str = "word_count", least: int = 4, most: int | None = 512) -> DataFrame:

@@ -170,7 +170,11 @@ def weekly_trend(df: DataFrame, stamp: str = "created_utc", parse: bool = True)
         .groupBy("week")
         .agg(F.count("*").alias("n_rows"), *[F.round(F.avg(x), 6).alias(x) for x in labels])
     )
-    # one row per week from here on
+    return with_empty_weeks(weekly)
+
+
+def with_empty_weeks(weekly: DataFrame) -> DataFrame:
+    """A table of one row per ``week``, with rows of their own for the weeks in between that it lacks."""
     span = weekly.agg(F.min("week").alias("lo"), F.max("week").alias("hi")).filter("lo is not null")
     calendar = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 7 days"))).alias("week"))
     return calendar.join(weekly, "week", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "modlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,3 +42,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
     return found
+
+
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the folder all executors share, and read again: its lineage ends there."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from modlens.functions.lexicon import LABELS
 from modlens.schemas import EXPORT, coerce_labels
 from modlens.sources.comments import matching_paths
+from modlens.sources.delimited import read_csv
 
 # File name of one annotator's table.
 ANNOTATOR_FILES = "iaa_annotator_*.csv"
@@ -15,15 +16,17 @@ ANNOTATOR_NAME = r"iaa_annotator_([^/]*)\.csv(?:/[^/]*)?$"
 # End of fixed values.
 
 
-def read_annotators(spark: SparkSession, folder: str, multi_line: bool = True) -> DataFrame:
-    """All annotators' tables as one, with the ``annotator`` taken from the name of its file, or folder of files; needs two or more."""
+def read_annotators(spark: SparkSession, folder: str) -> DataFrame:
+    """All annotators' tables as one, each read by its own header, with the ``annotator`` taken from the name of its file, or folder of files.
+
+    Needs two annotators or more.  Labels that a table lacks are 0.
+    """
     files = matching_paths(spark, f"{folder}/{ANNOTATOR_FILES}")
     if len(files) < 2:
         raise ValueError(f"need two or more annotator files in {folder}, found {len(files)}")
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    name = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), ANNOTATOR_NAME, 1)
-    rows = reader.csv(files)
-    return coerce_labels(rows.select(*rows.columns, name.alias("annotator")))
+    rows = read_csv(spark, files, path_column="_path")
+    name = F.regexp_extract(F.url_decode("_path"), ANNOTATOR_NAME, 1)
+    return coerce_labels(rows.withColumn("annotator", name).drop("_path"))
 
 
 def read_agreement(spark: SparkSession, path: str) -> DataFrame:
@@ -31,7 +34,7 @@ def read_agreement(spark: SparkSession, path: str) -> DataFrame:
 
     A value that is missing, ``nan`` or not a number is null.
     """
-    rows = spark.read.option("header", True).option("escape", '"').csv(path)
+    rows = read_csv(spark, path)
     values = [c for c in ("kappa", "fleiss_kappa") if c in rows.columns]
     if not values:
         raise ValueError(f"no kappa column in {path}: {rows.columns}")

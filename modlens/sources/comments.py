@@ -6,21 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from modlens.schemas import coerce_labels, require_columns
+from modlens.sources.delimited import read_csv
 
 #: cell texts a data-frame library would read as missing, kept as text unless asked for
 MISSING_WORDS = ("NA", "N/A", "n/a", "nan", "NaN", "None", "null", "NULL", "<NA>", "#N/A")
 
 
-def read_text_csv(
-    spark: SparkSession, path: str | list[str], multi_line: bool = True, missing_words: bool = False
-) -> DataFrame:
-    """A CSV with a header, every column as text and nulls as ``""``.
-
-    Quoted line breaks need ``multi_line``, and such files cannot be split: at scale
-    give many files, or turn it off where texts hold no line breaks.
-    """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    df = reader.csv(path)
+def read_text_csv(spark: SparkSession, path: str | list[str], missing_words: bool = False) -> DataFrame:
+    """A CSV with headers, every column as text and nulls as ``""``; files may differ in their columns (see :func:`read_csv`)."""
+    df = read_csv(spark, path)
     if missing_words:
         df = df.replace({w: None for w in MISSING_WORDS})
     return df.na.fill("")
@@ -60,10 +54,9 @@ def read_posts(spark: SparkSession, csv_path: str, jsonl_path: str, schema) -> D
     raise FileNotFoundError(f"neither {csv_path} nor {jsonl_path} exists")
 
 
-def read_annotated(spark: SparkSession, path, multi_line: bool = True) -> DataFrame:
+def read_annotated(spark: SparkSession, path) -> DataFrame:
     """Annotated CSV: labels as ints (bad or missing values 0), ``text_clean`` falling back to ``text``."""
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-    return coerce_labels(reader.csv(path))
+    return coerce_labels(read_csv(spark, path))
 
 
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:

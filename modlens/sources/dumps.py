@@ -94,23 +94,36 @@ def dump_records(
     min_words: int = 4,
     lexicon: Lexicon = DEFAULT_LEXICON,
     source: str = "pushshift",
+    with_malformed: bool = False,
 ) -> DataFrame:
     """Raw comment rows (and their ``kind``) from dump lines, repeats still in.
 
-    Cheap tests run first: community, then kind, then length, then keywords.
+    Cheap tests run first: community, then kind, then length, then keywords.  ``with_malformed`` also keeps the lines that do
+    not parse, as rows that have only a ``malformed`` column, so that one pass serves both.
     """
     check_kinds(include_comments, include_submissions)
 
     def text_field(name: str) -> Column:
         return F.coalesce(F.try_variant_get("doc", f"$.{name}", "string"), F.lit(""))
 
-    parsed = parse_lines(lines).filter("doc is not null")
-    placed = in_communities(parsed.withColumn("subreddit", F.trim(text_field("subreddit"))), "subreddit", communities)
+    parsed = parse_lines(lines)
+    if with_malformed:
+        bad = F.col("malformed").isNotNull()
+        parsed = parsed.withColumn("malformed", F.when(F.col("doc").isNull(), F.col("value")))
+        also = ["malformed"]
+    else:
+        bad, also = None, []
+        parsed = parsed.filter("doc is not null")
+
+    def kept(df: DataFrame, test: Column) -> DataFrame:
+        return df.filter(test if bad is None else bad | test)
+
+    placed = in_communities(parsed.withColumn("subreddit", F.trim(text_field("subreddit"))), "subreddit", communities, bad)
     kinds = placed.withColumn("kind", record_kind(F.col("doc")))
     if not include_comments:
-        kinds = kinds.filter("kind = 'submission'")
+        kinds = kept(kinds, F.col("kind") == "submission")
     if not include_submissions:
-        kinds = kinds.filter("kind = 'comment'")
+        kinds = kept(kinds, F.col("kind") == "comment")
     fields = kinds.select(
         "kind",
         "subreddit",
@@ -120,22 +133,26 @@ def dump_records(
         F.when(F.col("kind") == "submission", tx.safe_text(text_field("selftext"))).alias("selftext"),
         text_field("score").alias("score"),
         text_field("created_utc").alias("created"),
+        *also,
     )
     text = compose_text(F.col("kind"), F.col("body"), F.col("title"), F.col("selftext"))
-    rows = evaluate_once(fields.filter(F.col("raw_id") != ""), {"text": text}).filter(F.col("text") != "")
-    rows = rows.filter(tx.word_count(F.col("text"), collapsed=True) >= min_words)
+    rows = kept(evaluate_once(kept(fields, F.col("raw_id") != ""), {"text": text}), F.col("text") != "")
+    rows = kept(rows, tx.word_count(F.col("text"), collapsed=True) >= min_words)
     if keyword_only:
-        rows = rows.filter(keyword_flag(F.col("text"), lexicon))
-    return rows.select(
-        F.concat_ws("_", "kind", "raw_id").alias("id"),
-        "text",
-        "subreddit",
-        F.coalesce("title", F.lit("")).alias("post_title"),
-        tx.long_or_zero(F.col("score")).alias("upvotes"),
-        tx.epoch_to_timestamp(F.col("created")).alias("created_utc"),
-        F.lit(source).alias("source"),
-        "kind",
-    )
+        rows = kept(rows, keyword_flag(F.col("text"), lexicon))
+    columns = {
+        "id": F.concat_ws("_", "kind", "raw_id"),
+        "text": F.col("text"),
+        "subreddit": F.col("subreddit"),
+        "post_title": F.coalesce("title", F.lit("")),
+        "upvotes": tx.long_or_zero(F.col("score")),
+        "created_utc": tx.epoch_to_timestamp(F.col("created")),
+        "source": F.lit(source),
+        "kind": F.col("kind"),
+    }
+    if bad is None:
+        return rows.select(*(c.alias(n) for n, c in columns.items()))
+    return rows.select(*(F.when(~bad, c).alias(n) for n, c in columns.items()), "malformed")
 
 
 def first_records(records: DataFrame) -> DataFrame:
