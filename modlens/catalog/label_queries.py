@@ -178,7 +178,20 @@ def panel_confusion(spark, d):
         (SELECT count(DISTINCT item) FROM items) - n_items AS n_rejected FROM f""",
 )
 def panel_fleiss(spark, d):
-    return agreement.fleiss_kappa(panel(spark, d), order_by=["nth"])
+    return agreement.fleiss_kappa(panel(spark, d), raters="most", order_by=["nth"])
+
+
+@query(
+    "fleiss_by_raters",
+    f"""WITH {PANEL_SQL}, items AS (SELECT item, label, sum(value) AS n1, count(*) AS n FROM long WHERE item % 3 > 0 OR annotator = 'r29' GROUP BY ALL),
+      f AS (SELECT n, label, count(*) AS n_items, avg(CASE WHEN n > 1 THEN (n1 * n1 + (n - n1) * (n - n1) - n) / (n * (n - 1)) END) AS pb, sum(n1) / sum(n) AS q,
+        q * q + (1 - q) * (1 - q) AS pe FROM items GROUP BY n, label)
+      SELECT n AS n_raters, label, CASE WHEN pe = 1 THEN 1.0::DOUBLE ELSE round((pb - pe) / (1 - pe), 4) END AS fleiss_kappa, n_items FROM f""",
+)
+def fleiss_by_raters(spark, d):
+    """A panel where every third item has one rating at most."""
+    rows = panel(spark, d).filter((F.col("item") % 3 > 0) | (F.col("annotator") == "r29"))
+    return agreement.fleiss_by_raters(rows, order_by=["nth"])
 
 
 @query(

@@ -126,39 +126,63 @@ def _rated_items(df: DataFrame, item: str, annotator: str, order_by) -> DataFram
     return rated.groupBy(item).agg(F.count("*").alias("_n"), *[F.sum(x).alias(x) for x in label_names(df)])
 
 
-def fleiss_kappa(df: DataFrame, item: str = "item", annotator: str = "annotator", raters: int | None = None, order_by=()) -> DataFrame:
-    """Fleiss' kappa per label over the items that ``raters`` annotators rated; 1 where all ratings are the same.
-
-    ``raters`` defaults to the most that any item has; with a fixed panel those are the items everyone rated.
-    ``n_items`` counts them and ``n_rejected`` the items with another number of raters.  Of several ratings by one annotator
-    the first by ``order_by`` counts.
-    """
-    labels = label_names(df)
+def _by_size(df: DataFrame, item: str, annotator: str, order_by) -> DataFrame:
+    """A row per number of raters: ``_n``, how many items have it, and each label's mean agreement and share."""
     n = F.col("_n")
     sums = [F.count("*").alias("_items")]
-    for x in labels:
+    for x in label_names(df):
         ones = F.col(x)
         agree = F.try_divide(ones * ones + (n - ones) * (n - ones) - n, n * (n - 1))  # null for a single rater
         sums += [F.avg(agree).alias(f"_p_{x}"), (F.sum(ones) / F.sum(n)).alias(f"_q_{x}")]
-    by_size = _rated_items(df, item, annotator, order_by).groupBy("_n").agg(*sums)  # a row per number of raters
+    return _rated_items(df, item, annotator, order_by).groupBy("_n").agg(*sums)
+
+
+def _fleiss(x: str) -> Column:
+    share = F.col(f"_q_{x}")
+    expected = share * share + (1 - share) * (1 - share)
+    value = F.when(expected == 1, 1.0).otherwise(F.try_divide(F.col(f"_p_{x}") - expected, 1 - expected))
+    return F.struct(F.lit(x).alias("label"), F.round(value, 4).alias("fleiss_kappa"))
+
+
+def _wanted(raters: int | str | None, n: Column, items: Column) -> Column:
+    """The number of raters that is asked for; of two that are equally frequent the larger."""
+    if raters is None:
+        return F.max_by(n, F.struct(items, n))
+    return F.max(n) if raters == "most" else F.lit(raters)
+
+
+def fleiss_kappa(df: DataFrame, item: str = "item", annotator: str = "annotator", raters: int | str | None = None, order_by=()) -> DataFrame:
+    """Fleiss' kappa per label over the items that ``raters`` annotators rated; 1 where all ratings are the same.
+
+    ``raters`` defaults to the number that most items have; ``"most"`` takes the largest that any item has.  ``n_items`` counts
+    the items and ``n_rejected`` those with another number of raters, for which see :func:`fleiss_by_raters`.  Of several ratings
+    by one annotator the first by ``order_by`` counts.
+    """
+    by_size = _by_size(df, item, annotator, order_by)  # a row per number of raters
     everything = W.partitionBy(F.lit(1))
-    wanted = F.lit(raters) if raters else F.max("_n").over(everything)
+    wanted = _wanted(raters, F.col("_n"), F.col("_items"))
+    wanted = wanted if isinstance(raters, int) else wanted.over(everything)
     totals = by_size.select("*", wanted.alias("_wanted"), F.sum("_items").over(everything).alias("_all")).filter("_n = _wanted")
+    labels = F.array(*[_fleiss(x) for x in label_names(df)])
+    found = totals.select(F.explode(labels).alias("k"), "_items", (F.col("_all") - F.col("_items")).alias("_others"))
+    return found.select("k.*", F.col("_items").alias("n_items"), F.col("_others").alias("n_rejected"))
 
-    def kappa(x: str) -> Column:
-        share = F.col(f"_q_{x}")
-        expected = share * share + (1 - share) * (1 - share)
-        value = F.when(expected == 1, 1.0).otherwise(F.try_divide(F.col(f"_p_{x}") - expected, 1 - expected))
-        return F.struct(F.lit(x).alias("label"), F.round(value, 4).alias("fleiss_kappa"))
 
-    found = totals.select(F.explode(F.array(*[kappa(x) for x in labels])).alias("k"), "_items", (F.col("_all") - F.col("_items")).alias("_others"))
-    return found.select("k.*", F.col("_items").alias("n_items"), F.col("_others").alias("n_rejected"))
+def fleiss_by_raters(df: DataFrame, item: str = "item", annotator: str = "annotator", order_by=()) -> DataFrame:
+    """Fleiss' kappa per number of raters and label, with the number of items: every item counts in one row, none is left out.
+
+    Items with a single rating agree with nobody; their kappa is null, but where all ratings are the same.
+    """
+    labels = F.array(*[_fleiss(x) for x in label_names(df)])
+    found = _by_size(df, item, annotator, order_by).select(F.col("_n").alias("n_raters"), F.explode(labels).alias("k"), F.col("_items").alias("n_items"))
+    return found.select("n_raters", "k.*", "n_items")
 
 
-def incomplete_items(df: DataFrame, item: str = "item", annotator: str = "annotator", raters: int | None = None, order_by=()) -> DataFrame:
+def incomplete_items(df: DataFrame, item: str = "item", annotator: str = "annotator", raters: int | str | None = None, order_by=()) -> DataFrame:
     """Items that another number of annotators than ``raters`` rated (default as in :func:`fleiss_kappa`), with that number."""
     items = _rated_items(df, item, annotator, order_by).select(item, F.col("_n").alias("n_ratings"))
-    wanted = F.lit(raters) if raters else items.agg(F.max("n_ratings")).scalar()
+    sizes = items.groupBy("n_ratings").agg(F.count("*").alias("_items"))
+    wanted = F.lit(raters) if isinstance(raters, int) else sizes.agg(_wanted(raters, F.col("n_ratings"), F.col("_items"))).scalar()
     return items.filter(F.col("n_ratings") != wanted)
 
 

@@ -116,6 +116,20 @@ def moderate(
     return classify(out, threshold, configured)
 
 
+def _replies(ask: Callable[[pd.Series], Iterable[str | None]], texts: pd.Series) -> list[str | None]:
+    """A reply per text, None where asking for it alone raises; failed calls are recorded, not raised."""
+    try:
+        found = list(ask(texts))
+        if len(found) == len(texts):
+            return found
+    except Exception:  # noqa: S110
+        pass
+    if len(texts) == 1:
+        return [None]
+    half = len(texts) // 2
+    return _replies(ask, texts.iloc[:half]) + _replies(ask, texts.iloc[half:])
+
+
 def annotate(
     df: DataFrame,
     text: str = "text_clean",
@@ -129,7 +143,8 @@ def annotate(
     """Machine annotation: text, annotator, six labels and a ``failed`` flag.
 
     ``load_annotator`` returns a function from a batch of texts to as many JSON replies; it runs inside the tasks and gets
-    no blank texts.  A null reply counts as failed, with all labels 0, and so does a batch that raises.  Without one the
+    no blank texts.  A null reply counts as failed, with all labels 0.  A batch that raises, or has another number of replies
+    than texts, is asked again in halves until the texts at fault are alone: only these count as failed.  Without a function the
     lexicon annotates.  ``annotator`` is the tag: ``gpt-4o`` for a model, ``lexicon`` otherwise, unless given.
     """
     annotator = annotator or ("gpt-4o" if load_annotator else "lexicon")
@@ -153,10 +168,7 @@ def annotate(
                 answers = pd.Series("{}", index=batch.index, dtype=object)
                 full = batch[text].fillna("").str.strip() != ""
                 if full.any():
-                    try:
-                        answers[full] = list(ask(batch.loc[full, text]))
-                    except Exception:  # a failed call is recorded, not raised
-                        answers[full] = None
+                    answers[full] = _replies(ask, batch.loc[full, text])
                 yield batch.assign(_reply=answers)
 
         asked = rows.mapInPandas(run, schema)

@@ -46,6 +46,7 @@ def agreement_report(ratings: DataFrame, item: str = "item", annotator: str = "a
     return {
         "cohens_kappa": agreement.cohen_kappa(ratings, item, annotator),
         "fleiss_kappa": fleiss,
+        "fleiss_by_raters": agreement.fleiss_by_raters(ratings, item, annotator),
         "kappa_bands": bands,
         "low_agreement": bands.filter(F.col("low_agreement")).select("label", "fleiss_kappa"),
         "incomplete_items": agreement.incomplete_items(ratings, item, annotator),

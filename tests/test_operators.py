@@ -157,10 +157,22 @@ def test_fleiss_counts_raters_and_rejects(spark):
     df = spark.createDataFrame(rows, "item string, annotator string, toxic int")
     out = agreement.fleiss_kappa(df).first()
     assert (out.n_items, out.n_rejected) == (3, 1) and out.fleiss_kappa is not None
+    sizes = {r.n_raters: (r.fleiss_kappa, r.n_items) for r in agreement.fleiss_by_raters(df).collect()}
+    assert sizes == {1: (1.0, 1), 2: (out.fleiss_kappa, 3)}
     assert [(r.item, r.n_ratings) for r in agreement.incomplete_items(df).collect()] == [("i1", 1)]
     assert agreement.fleiss_kappa(df, raters=3).count() == 0
 
 
+def test_one_item_rated_once_more_does_not_move_fleiss(spark):
+    rows = spark.range(1000).select(F.col("id").alias("item"), F.explode(F.array(F.lit("a"), F.lit("b"))).alias("annotator"), (F.col("id") % 2).cast("int").alias("toxic"))
+    odd = spark.createDataFrame([(5000, "a", 1), (5000, "b", 0), (5000, "c", 1)], "item bigint, annotator string, toxic int")
+    df = rows.unionByName(odd)
+    assert tuple(agreement.fleiss_kappa(df).first()) == ("toxic", 1.0, 1000, 1)
+    assert tuple(agreement.fleiss_kappa(df, raters="most").first()) == ("toxic", -0.5, 1, 1000)
+    assert [r.item for r in agreement.incomplete_items(df).collect()] == [5000]
+    assert {(r.n_raters, r.fleiss_kappa, r.n_items) for r in agreement.fleiss_by_raters(df).collect()} == {(2, 1.0, 1000), (3, -0.5, 1)}
+
+
 def test_a_text_seen_very_often(spark, monkeypatch):
     monkeypatch.setattr(agreement, "REPEAT_BLOCK", 7)
     df = spark.range(500).select(F.lit("gg").alias("text"), F.when(F.col("id") < 300, "a").otherwise("b").alias("annotator"), (F.col("id") % 2).cast("int").alias("toxic"))
@@ -333,6 +345,22 @@ def test_model_and_annotator_plug_ins(spark):
     assert rows_of(scoring.annotate(df, load_annotator=load_broken), "id", "failed") == [(1, True), (2, True), (3, False), (4, True)]
 
 
+def test_one_bad_text_fails_alone(spark):
+    df = spark.range(100).select("id", F.when(F.col("id") == 37, "boom").when(F.col("id") == 38, "short").otherwise("Bad text").alias("text_clean")).coalesce(1)
+
+    def load_annotator():
+        def ask(texts):
+            if (texts == "boom").any():
+                raise RuntimeError
+            return ['{"toxic": 1}'] * (len(texts) - int((texts == "short").any()))
+
+        return ask
+
+    rows = scoring.annotate(df, load_annotator=load_annotator).collect()
+    assert {r.id for r in rows if r.failed} == {37, 38}
+    assert sum(r.toxic for r in rows) == 98
+
+
 def test_envelope_and_moderation(spark):
     df = spark.createDataFrame([(1, "ggez you bot"), (2, "hello there")], "id int, text string")
     out = scoring.result_envelopes(scoring.score_corpus(df)).select("result").collect()
