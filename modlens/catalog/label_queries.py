@@ -299,7 +299,7 @@ def term_freq(spark, d):
 
 @query("vocab", f"WITH {TERMS} SELECT term, cf, df FROM vocab")
 def vocab(spark, d):
-    return terms.vocabulary(terms.term_counts(cleaned(spark, d), "doc_id"))
+    return terms.corpus_vocabulary(cleaned(spark, d), "doc_id")
 
 
 def _tfidf(spark, d):

@@ -20,6 +20,7 @@ from modlens.catalog.base import (
 )
 from modlens.functions import lexicon as lx
 from modlens.functions import text as tx
+from modlens.operators import matching
 
 LEX = lx.DEFAULT_LEXICON
 
@@ -199,6 +200,28 @@ def lexicon_hits(spark, d):
     )
 
 
+_BIG = r"""SELECT keyword, true AS whole_word FROM (SELECT DISTINCT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z]{4,}')) AS keyword FROM benchmark)
+  UNION ALL SELECT DISTINCT substr(k, 2, 5), false FROM (SELECT unnest(regexp_extract_all(text, '[a-z]{9,}')) AS k FROM benchmark)"""
+
+
+@query(
+    "lexicon_matches",
+    rf"""WITH l AS ({_BIG}), d AS (SELECT doc_id, lower(text) AS t,
+        list_distinct(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS ws FROM documents)
+      SELECT doc_id, keyword, whole_word FROM (SELECT doc_id, unnest(ws) AS w FROM d) JOIN l ON w = keyword WHERE whole_word
+      UNION ALL SELECT doc_id, keyword, whole_word FROM d JOIN l ON contains(t, keyword) WHERE NOT whole_word""",
+)
+def lexicon_matches(spark, d):
+    """Every word of the benchmark as a word of its own, and a piece of each of its long words anywhere."""
+    items = table(spark, d, "benchmark")
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    whole = items.select(F.explode(F.regexp_extract_all(low, F.lit("[a-z]{4,}"), F.lit(0))).alias("keyword")).distinct()
+    inner = items.select(F.explode(F.regexp_extract_all("text", F.lit("[a-z]{9,}"), F.lit(0))).alias("k")).select(F.substring("k", 2, 5).alias("keyword")).distinct()
+    words = whole.withColumn("whole_word", F.lit(True)).unionByName(inner.withColumn("whole_word", F.lit(False)))
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return matching.match_lexicon(docs, words).select("doc_id", "keyword", "whole_word")
+
+
 def _values(rows) -> str:
     return ", ".join("(" + ", ".join(quoted(v) if isinstance(v, str) else str(v).lower() for v in r) + ")" for r in rows)
 

@@ -1,7 +1,16 @@
-"""Distinctive terms: counts, vocabulary, tf-idf per label."""
+"""Distinctive terms: counts, vocabulary, tf-idf per label.
+
+Most different terms of a corpus stand in one document only, and are not wanted.  A table of counters of fixed size, one per
+hash of a term, is filled first: it may count too much, where terms share a counter, but never too little.  What it shows to
+stand in too few documents is dropped before the shuffle by term; what it lets through is counted exactly.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,16 +20,65 @@ from modlens.functions.lexicon import TOXIC_LABELS
 from modlens.session import checkpoint_dir
 
 
+#: counters of the table, as a power of two; its bits are sent to all tasks, 1 MB
+COUNTER_BITS = 23
+#: counters that are merged as one row
+PAGE_BITS = 15
+
+
 def _words(df: DataFrame, doc: str, text: str, stop_words, extra=()) -> DataFrame:
     return df.select(F.col(doc).alias("doc"), *extra, tx.tokens(F.col(text), stop_words).alias("words"))
 
 
-def _counts(words: DataFrame, extra=()) -> DataFrame:
+def _counts(words: DataFrame, extra=(), pages: DataFrame | None = None) -> DataFrame:
     placed = words.select("doc", *extra, "words").repartition("doc")
     terms = placed.select("doc", *extra, F.explode(tx.unigrams_and_bigrams(F.col("words"))).alias("term"))
+    if pages is not None:
+        place = F.pmod(F.xxhash64("term"), F.lit(1 << COUNTER_BITS))
+        placed_terms = terms.withColumn("_h", place).withColumn("page", F.shiftright("_h", PAGE_BITS))
+        word = F.get("bits", F.shiftright("_h", 6).bitwiseAND((1 << (PAGE_BITS - 6)) - 1).cast("int"))
+        # a fixed number of pages of 4 KB
+        terms = placed_terms.join(F.broadcast(pages), "page").where(F.getbit(word, F.col("_h").bitwiseAND(63)) == 1).drop("_h", "page", "bits")
     return terms.groupBy("doc", *extra, "term").agg(F.count("*").alias("tf"))
 
 
+def frequent_pages(words: DataFrame, min_df: int) -> DataFrame:
+    """(page, bits): which counters reach ``min_df`` over all rows, 32,768 to a page; pages without any are absent.
+
+    Each row counts each of its different terms once.  A counter stops at 255, or at ``min_df`` where that is more.
+    """
+    kind = np.uint8 if min_df <= 255 else np.uint32
+    size = 1 << PAGE_BITS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(1 << COUNTER_BITS, kind)
+        for batch in batches:
+            at, found = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            counters[at] = np.minimum(counters[at].astype(np.int64) + found, min_df)
+        for page in np.unique(np.flatnonzero(counters) >> PAGE_BITS).tolist():
+            yield _page(page, counters[page * size : (page + 1) * size].tobytes())
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pages: dict[int, np.ndarray] = {}  # of fixed number and size
+        for batch in batches:
+            for page, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = np.frombuffer(packed, kind).astype(np.int64)
+                pages[page] = np.minimum(pages[page] + found, min_df) if page in pages else found
+        for page, counters in pages.items():
+            bits = np.packbits(counters >= min_df, bitorder="little").view(np.int64)
+            if bits.any():
+                yield pa.RecordBatch.from_arrays([pa.array([page], pa.int64()), pa.array([bits.tolist()], pa.list_(pa.int64()))], ["page", "bits"])
+
+    terms = F.array_distinct(tx.unigrams_and_bigrams(F.col("words")))
+    hashed = words.select(F.transform(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(1 << COUNTER_BITS)).cast("int")).alias("at"))
+    counted = hashed.where(F.size("at") > 0).mapInArrow(count, "page bigint, counters binary")
+    return counted.repartition("page").mapInArrow(merge, "page bigint, bits array<bigint>")
+
+
+def _page(page: int, counters: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([page], pa.int64()), pa.array([counters], pa.binary())], ["page", "counters"])
+
+
 def term_counts(df: DataFrame, doc: str, text: str = "text_clean", stop_words=tx.STOP_WORDS) -> DataFrame:
     """(doc, term, tf) over words and adjacent word pairs.
 
@@ -31,6 +89,17 @@ def term_counts(df: DataFrame, doc: str, text: str = "text_clean", stop_words=tx
     return _counts(_words(df, doc, text, stop_words))
 
 
+def corpus_vocabulary(
+    df: DataFrame, doc: str, text: str = "text_clean", min_df: int = 3, max_terms: int = 10_000, stop_words=tx.STOP_WORDS
+) -> DataFrame:
+    """:func:`vocabulary` of a corpus, without a shuffle of the terms that are surely too rare; ``doc`` must not be null.
+
+    The texts are cut into words twice, once to fill the counters.
+    """
+    words = _words(df, doc, text, stop_words)
+    return vocabulary(_counts(words, pages=frequent_pages(words, min_df)), min_df, max_terms)
+
+
 def vocabulary(counts: DataFrame, min_df: int = 3, max_terms: int = 10_000) -> DataFrame:
     """Terms in at least ``min_df`` documents, the ``max_terms`` most frequent ones; ties by term."""
     totals = counts.groupBy("term").agg(F.sum("tf").alias("cf"), F.count("*").alias("df"))
@@ -57,7 +126,8 @@ def tfidf_by_label(
     n_docs = words.agg(F.count("*")).scalar()
     idf = F.ln((1 + n_docs) / (1 + F.col("df"))) + 1
     # at most max_terms rows, by construction
-    vocab = F.broadcast(vocabulary(_counts(words), min_df, max_terms).select("term", idf.alias("idf")))
+    pages = frequent_pages(words, min_df)
+    vocab = F.broadcast(vocabulary(_counts(words, pages=pages), min_df, max_terms).select("term", idf.alias("idf")))
     active = F.lit(False)
     for x in used:
         active = active | (F.col(x) == 1)

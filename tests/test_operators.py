@@ -316,6 +316,21 @@ def test_terms_need_no_shuffle_after_explode(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_rare_terms_are_not_shuffled(spark, monkeypatch):
+    """The vocabulary is the same with and without the counters, also where very many terms share one."""
+    df = spark.range(400).select("id", F.expr("concat('common pair ', id % 7, ' rare', id, ' once', id * 31, ' pair')").alias("text_clean")).repartition(5)
+    want = sorted(map(tuple, terms.vocabulary(terms.term_counts(df, "id"), 3, 50).collect()))
+    for bits, page in ((23, 15), (16, 15), (6, 6)):
+        monkeypatch.setattr(terms, "COUNTER_BITS", bits)
+        monkeypatch.setattr(terms, "PAGE_BITS", page)
+        assert sorted(map(tuple, terms.corpus_vocabulary(df, "id", min_df=3, max_terms=50).collect())) == want
+        words = terms._words(df, "id", "text_clean", ())
+        left = terms._counts(words, pages=terms.frequent_pages(words, 3)).count()
+        if bits == 23:
+            assert left < terms._counts(words).count() / 2 and left >= terms._counts(words).join(spark.createDataFrame(want, "term string, cf bigint, df bigint"), "term").count()
+    assert terms.corpus_vocabulary(df.limit(0), "id").count() == 0
+
+
 def test_model_and_annotator_plug_ins(spark):
     df = spark.createDataFrame([(1, "Bad text"), (2, "fine"), (3, " "), (4, "boom")], "id int, text_clean string")
 
