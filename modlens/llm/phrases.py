@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from modlens.llm.common import pieces, saved, whole_text
 
 #: a shard is closed when its texts reach so many bytes
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 8 << 20
 #: least and most bits of the bitmap of candidates, as powers of two
 LEAST_BITS, MOST_BITS = 16, 28
 PAGE_BITS = 15
