@@ -1,8 +1,8 @@
 """Phrases whose words stand together more often than by chance, found by partitioning (SON) and counted exactly.
 
 The corpus is read in shards of bounded size, a task's texts in order.  A phrase with ``min_count`` occurrences in all must
-have its proportional part in one shard at least, so each shard is mined completely at that lowered support, length by length:
-a phrase is counted only if both phrases it is made of, one word shorter, passed the length before.  What is frequent in some
+have its proportional part in one shard at least, so each shard is mined completely at that lowered support, length by length from
+pairs of words: a longer phrase is counted only if both phrases it is made of, one word shorter, passed the length before.  What is frequent in some
 shard is united over all shards; where no shard can hide an occurrence (support 1, as on any corpus of more than ``min_count``
 shards) the sums are exact already and prune the union.  The union becomes a bitmap of fixed size that is sent to all tasks:
 phrases it lets through by chance cost a row and change nothing.  A last pass counts what passed by its words, not by hashes.
@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -113,28 +114,34 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def levels(seq: np.ndarray, word_hashes: np.ndarray, passed: list[Bitmap], longest: int):
-    """(length, first place, count, hash) of the different phrases of each length whose parts passed the lengths before."""
-    at = np.flatnonzero(seq)
-    number, hashes = seq[at].astype(np.int64), word_hashes
-    for n in range(1, longest + 1):
-        if n == 1:
-            counts = np.bincount(number, minlength=len(word_hashes))
-            first = np.zeros(len(word_hashes), np.int64)
-            first[number[::-1]] = at[::-1]
-            index = number
+    """(length, first place, count, hash) of the different phrases of each length whose parts passed the lengths before.
+
+    ``passed`` holds the bitmaps of two words, three words and so on; a length with a bitmap gives only what passes it itself.
+    """
+    at = np.flatnonzero(seq).astype(np.int32)
+    number, hashes = seq[at], word_hashes
+    counts = np.bincount(number, minlength=len(word_hashes))
+    first = np.zeros(len(word_hashes), np.int32)
+    first[number[::-1]] = at[::-1]
+    there = np.flatnonzero(counts)
+    yield 1, first[there], counts[there], hashes[there]
+    for n in range(2, longest + 1):
+        # a phrase stands where its beginning does and its end stands one word on
+        on = np.flatnonzero(at[1:] == at[:-1] + 1)
+        at, number = at[on], number[on]
+        last = seq[at + (n - 1)]
+        if n - 2 < len(passed):
+            stays = passed[n - 2].holds(mixed(hashes[number], word_hashes[last]))
+            at, number, last = at[stays], number[stays], last[stays]
+        if n < longest:
+            keys, where, index, counts = np.unique(number.astype(np.int64) << 32 | last, return_index=True, return_inverse=True, return_counts=True)
+            number_now = index.astype(np.int32)
         else:
-            # a phrase stands where its beginning does and its end stands one word on
-            on = np.flatnonzero(at[1:] == at[:-1] + 1)
-            begin, last = number[on], seq[at[on] + n - 1].astype(np.int64)
-            keys, where, index, counts = np.unique(begin << 32 | last, return_index=True, return_inverse=True, return_counts=True)
-            at = at[on]
-            first = at[where]
-            hashes = mixed(hashes[keys >> 32], word_hashes[keys & 0xFFFFFFFF])
-        yield n, first, counts, hashes
-        if n <= len(passed):
-            good = passed[n - 1].holds(hashes) & (counts > 0)
-            stays = good[index]
-            at, number = at[stays], index[stays]
+            keys, where, counts = np.unique(number.astype(np.int64) << 32 | last, return_index=True, return_counts=True)
+            number_now = None
+        hashes = mixed(hashes[keys >> 32], word_hashes[keys & 0xFFFFFFFF])
+        yield n, at[where], counts, hashes
+        number = number_now
 
 
 def local_support(min_count: int, size: int, total: int) -> int:
@@ -152,7 +159,7 @@ def _mined(docs: DataFrame, passed: list, longest: int, min_count: int, total: i
             for n, _, counts, hashes in levels(shard.sequence(), shard.hashes(), bitmaps, longest):
                 if n == longest:
                     frequent = counts >= support
-                    columns = [pa.array(hashes[frequent].view(np.int64)), pa.array(counts[frequent])]
+                    columns = [pa.array(hashes[frequent].view(np.int64)), pa.array(counts[frequent].astype(np.int64))]
                     yield from pieces([pa.RecordBatch.from_arrays(columns, ["h", "n"])], 65536)
 
     found = docs.mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
@@ -198,36 +205,35 @@ def phrase_counts(
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), whole_text(text).cast("binary").alias("raw"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("raw")), F.lit(0)).alias("n")).first()["n"]
     passed: list = []
-    for n in range(1, longest + 1):
+    for n in range(2, longest + 1):
         passed.append(spark.sparkContext.broadcast(_bitmap(_mined(rows, passed[:], n, min_count, total, shard_bytes))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmaps = [Bitmap(np.frombuffer(b.value, np.uint8)) for b in passed]
         for shard in shards(batches, shard_bytes):
             seq, word_hashes = shard.sequence(), shard.hashes()
+            words = pa.array([w for _, w in shard.words], pa.binary()).cast(pa.string())
+            names = pa.array([lang for lang, _ in shard.words], pa.string())
             per_word = np.bincount(seq, minlength=len(word_hashes))
-            langs = np.array([x[0] for x in shard.words], object)
             for name, numbers in shard.numbers.items():
                 own = np.fromiter(numbers.values(), np.int64)
                 n = int(per_word[own[own > 0]].sum())
                 if n:
-                    yield _counted([name], 0, [""], [n])
-            for n, first, counts, hashes in levels(seq, word_hashes, bitmaps, longest):
-                good = np.flatnonzero(bitmaps[n - 1].holds(hashes) & (counts > 0))
-                for at in range(0, len(good), 16384):
-                    some = good[at : at + 16384]
-                    starts = first[some]
-                    parts = seq[starts[:, None] + np.arange(n)]
-                    made = [b" ".join([shard.words[i][1] for i in p]).decode() for p in parts.tolist()]
-                    yield _counted(langs[parts[:, 0]].tolist(), n, made, counts[some])
+                    yield _counted(pa.array([name]), 0, pa.array([""]), np.array([n]))
+            for n, first, counts, _ in levels(seq, word_hashes, bitmaps, longest):
+                for at in range(0, len(first), 65536):
+                    starts = first[at : at + 65536]
+                    parts = [words.take(pa.array(seq[starts + i])) for i in range(n)]
+                    made = pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0]
+                    yield _counted(names.take(pa.array(seq[starts])), n, made, counts[at : at + 65536])
 
     found = rows.mapInArrow(run, "lang string, size int, phrase string, n bigint").groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     return found.where((F.col("size") == 0) | (F.col("n") >= min_count))
 
 
-def _counted(langs: list, size: int, made: list, counts) -> pa.RecordBatch:
-    columns = [pa.array(langs, pa.string()), pa.array([size] * len(made), pa.int32()), pa.array(made, pa.string()), pa.array(counts, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n"])
+def _counted(langs: pa.Array, size: int, made: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    sizes = pa.array(np.full(len(made), size, np.int32))
+    return pa.RecordBatch.from_arrays([langs, sizes, made, pa.array(counts.astype(np.int64))], ["lang", "size", "phrase", "n"])
 
 
 def collocations(
