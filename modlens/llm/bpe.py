@@ -22,7 +22,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from modlens.llm.common import with_arrow
+from modlens.llm.common import forget_others, memory_of, with_arrow
 
 #: Runs remembered by one Python worker in each of two generations; what falls out is merged again, which changes no result.
 REMEMBERED = 250_000
@@ -195,16 +195,14 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_codecs: dict[tuple, Codec] = {}
-
-
 def _codec(vocabulary: Broadcast, pattern: str, runs: str | None) -> Codec:
-    """One codec per Python worker, kept from task to task with what it remembers."""
-    key = (len(vocabulary.value), hash(vocabulary.value[-1]), pattern, runs)
-    if key not in _codecs or _codecs[key].tokens != vocabulary.value:
-        _codecs.clear()
-        _codecs[key] = Codec(vocabulary.value, pattern, runs)
-    return _codecs[key]
+    """One codec per Python worker, kept from task to task with what it remembers until another operator's task comes."""
+    tokens = vocabulary.value
+    codec = memory_of(__name__, (len(tokens), hash(tokens[-1]), pattern, runs), lambda: Codec(tokens, pattern, runs))
+    if codec.tokens != tokens:
+        forget_others("")
+        return _codec(vocabulary, pattern, runs)
+    return codec
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids", runs: str | None = None) -> DataFrame:

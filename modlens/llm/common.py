@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,6 +60,26 @@ def with_class(docs: DataFrame, text: str, class_of: Callable[[str | None], int]
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "node bigint, text string")
 
 
+_memories: dict[str, tuple[Any, Any]] = {}
+
+
+def memory_of(operator: str, key: Any, make: Callable[[], Any]) -> Any:
+    """What an operator remembers from task to task in one Python worker; only one operator's memory is kept at a time.
+
+    Workers serve one stage after another: what each of them remembered would add up otherwise.
+    """
+    if operator not in _memories or _memories[operator][0] != key:
+        _memories.clear()
+        _memories[operator] = key, make()
+    return _memories[operator][1]
+
+
+def forget_others(operator: str) -> None:
+    """Drop what other operators remembered in this worker."""
+    for other in [x for x in _memories if x != operator]:
+        del _memories[other]
+
+
 def with_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Sequence[pa.Array]], added: str) -> DataFrame:
     """Add columns computed batch by batch; ``added`` is their DDL, and they replace columns of the same name.
 
@@ -70,6 +91,7 @@ def with_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Sequence[pa.Array]]
     at = [df.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(fn.__module__)
         for batch in pieces(batches):
             columns = [*(batch.column(i) for i in at), *fn(batch)]
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names])

@@ -17,13 +17,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from modlens.llm.common import with_arrow
+from modlens.llm.common import memory_of, with_arrow
 
 #: Hash slots of the weights.
 SLOTS = 1 << 18
 #: Labelled documents a model is fitted on at most: those with the smallest digests of their ids.
 MAX_TRAIN = 16_000
-REMEMBERED = 400_000
+#: Words remembered by one Python worker, about 300 bytes each.
+REMEMBERED = 200_000
 _SHAPE = str.maketrans(
     {**{c: "A" for c in map(chr, range(0x41, 0x5B))}, **{c: "a" for c in map(chr, range(0x61, 0x7B))},
      **{c: "0" for c in "0123456789"}, **{chr(c): "a" for c in range(0xC0, 0x250)}}
@@ -54,13 +55,11 @@ class _Slots(dict):
         return found
 
 
-_slots = _Slots()
-
-
 def features(text: str | None) -> np.ndarray:
     """Distinct slots of a text's features, sorted."""
     found = set()
-    for pair in map(_slots.__getitem__, set((text or "").split())):
+    slots = memory_of(__name__, None, _Slots)
+    for pair in map(slots.__getitem__, set((text or "").split())):
         found.update(pair)
     return np.array(sorted(found), np.int64)
 
