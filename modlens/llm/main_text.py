@@ -3,7 +3,8 @@
 Paragraphs earn points for their length and their commas.  They pass them to the elements that
 enclose them, all to the parent and less to each further ancestor; an element's points are
 discounted by the share of its text that stands in links.  The element with most points is the
-article; siblings of it that earn enough are kept with it.
+article; siblings of it that earn enough are kept with it.  Elements whose name says outright that they are
+something else are left out; a name with such a word in it only if most of the page's points lie elsewhere.
 """
 
 from __future__ import annotations
@@ -16,14 +17,8 @@ from pyspark.sql import DataFrame
 
 from modlens.llm.common import with_arrow
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|textarea|select|title)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>"
-    r"|[^<]+|<",
-    re.S | re.I,
-)
+NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 #: Elements whose content is no text of the page, up to their end tag.  A head is none: only its title holds text, and where
@@ -35,8 +30,19 @@ NOT_CODE = re.compile(
     r"|section|table|ul)(?=[\s/>])|</(?:head|html)\b",
     re.I,
 )
-#: Parts of class, id and role names that mark what is not the article.
-UNLIKELY = re.compile(
+_PART = (
+    r"(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side|aside"
+    r"|related|recommend\w*|share|sharing|social|cookies?|consent|gdpr|notices?|newsletter|subscri\w*|popup|modal|comments?|replies|disqus"
+    r"|respond|toolbar|pagination|pager|login|search|complementary|contentinfo|navigation|skip)"
+)
+_WHERE = r"(?:site|page|main|top|bottom|left|right|global|primary|secondary|sub|user|reader|cookie|ad|email|sticky|mobile|desktop)"
+_PIECE = r"(?:list|section|area|wrap|wrapper|container|box|bar|block|widget|form|thread|item|inner|links?|buttons?|icons?|panel|slot|unit|message|overlay|left|right|top|bottom|\d+)"
+#: Names that say outright that an element is not the article: ``sidebar``, ``site-footer``, ``comment-list``.
+NEVER = re.compile(rf"(?:(?:{_WHERE}[_-])*{_PART}(?:[_-]{_PIECE})*|(?:post|article|entry|story)[_-]comments?(?:[_-]{_PIECE})*)", re.I)
+#: Names that have such a word in them: ``has-sidebar``, ``comments-open``.  These go unless most of the page's prose stands there.
+UNLIKELY = re.compile(rf"(?:^|.*[_-]){_PART}(?:$|[_-].*)", re.I)
+ARTICLE_NAMES = frozenset("article body content entry main post story text".split())
+LIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|header|masthead|footer|sidebar|side|aside"
     r"|related|recommend\w*|share|sharing|social|cookies?|consent|gdpr|notices?|newsletter|subscri\w*|popup|modal|comments?|replies|disqus"
     r"|respond|toolbar|pagination|pager|login|search|complementary|contentinfo|navigation|skip)(?:$|[\s_-])",
@@ -48,6 +54,7 @@ BLOCKS = frozenset(
     "address article blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup "
     "hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul aside dialog menu button".split()
 )
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 CONTAINERS = frozenset("article body center dd details div dl figure html main ol section table tbody td tr ul li blockquote".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CLOSES_P = BLOCKS - {"html", "body"}
@@ -91,117 +98,242 @@ def _after(html: str, tag: str, at: int, unclosed: set[str]) -> int:
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "dropped", "points", "chars", "linked", "blocks", "bonus")
+    __slots__ = ("tag", "parent", "dropped", "doubtful", "headings", "points", "prose", "chars", "linked", "begin", "end", "bonus")
 
-    def __init__(self, tag: str, parent: _Node | None, attributes: str = ""):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: _Node | None, attributes: str = "", begin: int = 0):
+        self.tag, self.parent, self.begin, self.end = tag, parent, begin, None
         found = attributes_of(attributes) if attributes else {}
-        names = " ".join(found[k] for k in found if k in ("class", "id", "role"))
-        self.dropped = bool(parent and parent.dropped) or tag in DROPPED
+        names = names_of(found)
+        inside = bool(parent and parent.tag in ("article", "main"))
+        #: of an article's own header only the headings are text
+        self.headings = bool(parent and parent.headings) or (tag == "header" and inside)
+        self.dropped = bool(parent and parent.dropped) or (tag in DROPPED and not (tag == "header" and inside))
+        self.doubtful = False
         if names and tag not in ("html", "body", "article", "main"):
-            self.dropped |= bool(UNLIKELY.search(names))
+            if not ARTICLE_NAMES.isdisjoint(n.lower() for n in names):
+                pass
+            elif any(NEVER.fullmatch(n) for n in names):
+                self.dropped = True
+            else:
+                self.doubtful = any(UNLIKELY.fullmatch(n) for n in names)
         if found and tag not in ("html", "body"):
             self.dropped |= is_hidden(found)
-        self.bonus = WEIGHT.get(tag, 0.0) + (10.0 if names and LIKELY.search(names) else 0.0)
-        self.points = self.chars = self.linked = 0.0
-        self.blocks: list[int] = []
+        self.bonus = WEIGHT.get(tag, 0.0) + (10.0 if any(LIKELY.search(n) for n in names) else 0.0)
+        self.points = self.prose = self.chars = self.linked = 0.0
 
 
-def main_text(html: str) -> str:
-    """The article's blocks, in page order, joined by blank lines; empty if the page has none."""
-    root = _Node("html", None)
-    node, link = root, 0
-    order = [root]
-    texts: list[tuple[_Node, str]] = []  # a block: its element and its text
-    parts: list[str] = []
-    in_link = 0
-
-    def flush() -> None:
-        nonlocal in_link
-        text = SPACE.sub(" ", unescape("".join(parts))).strip()
-        parts.clear()
-        chars, in_link = in_link, 0
-        if text and not node.dropped:
-            texts.append((node, text))
-            at: _Node | None = node
-            while at is not None:
-                at.chars += len(text)
-                at.linked += min(chars, len(text))
-                at.blocks.append(len(texts) - 1)
-                at = at.parent
-            if len(text) >= 2:
-                share = 1.0 - min(1.0, chars / len(text))
-                points = (1.0 + text.count(",") + text.count("，") + min(len(text) / 100.0, 3.0)) * share
-                at, step = (node if node.tag in CONTAINERS else node.parent) or root, 1
-                while at is not None and step <= 4:
-                    at.points += points / step
-                    at, step = at.parent, step * 2
-
-    unclosed: set[str] = set()
-    past = 0
-    while m := TOKEN.match(html, past):
-        token, past = m[0], m.end()
-        if token[0] != "<" or token == "<":
-            parts.append(token)
-            if link:
-                in_link += len(token.strip())
-            continue
-        name = m[3]
-        if name is None:
-            if m[1] is not None:
-                parts.append(" ")
-                if not token.endswith("/>") or m[1].lower() != "svg":
-                    past = _after(html, m[1].lower(), past, unclosed)
-            continue
-        name = name.lower()
+def names_of(found: dict[str, str]) -> list[str]:
+    """An element's class, id and role names."""
+    return " ".join(found[k] for k in ("class", "id", "role") if k in found).split()
+
+
+class _Tags:
+    """Ends of tags, each character looked at a bounded number of times however broken the page is."""
+
+    def __init__(self, html: str):
+        self.html, self.quotes, self.last = html, True, html.rfind(">")
+
+    def end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag, -1 if nothing does.
+
+        A quoted value may hold a ``>``; a quote that is not closed is a character.  Once a tag is found to run to the end of
+        the page that way, quotes count no more.
+        """
+        html = self.html
+        if at > self.last:
+            return -1
+        here = at
+        while self.quotes and (stop := STOP.search(html, here)):
+            if stop[0] == ">":
+                return stop.start()
+            close = html.find(stop[0], stop.end())
+            here = stop.end() if close < 0 else close + 1
+            if close < 0:
+                break
+        self.quotes = False
+        return html.find(">", here if here <= self.last else at)
+
+
+class _Page:
+    """A page's elements and blocks of text, in page order."""
+
+    def __init__(self, html: str):
+        self.root = self.node = _Node("html", None)
+        self.order = [self.root]
+        self.open = {"html": 1}
+        self.texts: list[tuple[_Node, str, int]] = []  # a block: its element, its text, how much of it is link text
+        self.parts: list[str] = []
+        self.in_link = self.link = 0
+        self.skipped: tuple[_Node, str, int] | None = None  # inside an inline element that is no text: where, which, how deep
+        self._read(html)
+        self._flush()
+        for n in self.order:
+            if n.end is None:
+                n.end = len(self.texts)
+
+    def _flush(self) -> None:
+        text = SPACE.sub(" ", unescape("".join(self.parts))).strip()
+        self.parts.clear()
+        chars, self.in_link = self.in_link, 0
+        node = self.node
+        if text and not node.dropped and (not node.headings or node.tag in HEADINGS):
+            self.texts.append((node, text, min(chars, len(text))))
+
+    def _close(self, node: _Node) -> None:
+        """End an element and what is open in it."""
+        at = self.node
+        while True:
+            at.end = len(self.texts)
+            self.open[at.tag] -= 1
+            if at is node:
+                break
+            at = at.parent
+        self.node = node.parent or self.root
+        if self.skipped and self.skipped[0].end is not None:
+            self.skipped = None
+
+    def _inline(self, name: str, closing: bool, attributes: str) -> None:
+        if self.skipped:
+            holder, tag, depth = self.skipped
+            if name == tag:
+                depth += -1 if closing else 1
+                self.skipped = (holder, tag, depth) if depth else None
+            return
+        if not closing and attributes and name not in VOID:
+            found = attributes_of(attributes)
+            if is_hidden(found) or any(NEVER.fullmatch(n) for n in names_of(found)):
+                self.skipped = self.node, name, 1
+                return
         if name == "a":
-            link = 0 if m[2] else 1
-            continue
-        if name not in BLOCKS and name not in DROPPED:
-            if name == "br":
-                parts.append("\n")
-            continue
-        flush()
-        if m[2]:
-            at: _Node | None = node
-            while at is not None and at.tag != name:
-                at = at.parent
-            if at is not None and at.parent is not None:
-                node, link = at.parent, 0
-            continue
+            self.link = 0 if closing else 1
+        elif name == "br":
+            self.parts.append("\n")
+
+    def _block(self, name: str, closing: bool, attributes: str) -> None:
+        self._flush()
+        if closing:
+            if self.open.get(name) and name != "html":
+                at = self.node
+                while at.tag != name:
+                    at = at.parent
+                self._close(at)
+                self.link = 0
+            return
         if name in VOID:
-            continue
-        if name in CLOSES_P and node.tag == "p":
-            node = node.parent or root
-        elif node.tag == "option":  # of a select without an end tag
-            node = node.parent or root
-        elif name == node.tag and name in ("li", "dt", "dd", "tr", "td", "th", "option"):
-            node = node.parent or root
+            return
+        tag = self.node.tag
+        if tag == "option" or (tag == "p" and name in CLOSES_P) or (name == tag and name in ("li", "dt", "dd", "tr", "td", "th")):
+            self._close(self.node)
         if name in ("html", "body"):
-            continue
-        node = _Node(name, node, m[4] or "")
-        order.append(node)
-    flush()
-    if not texts:
+            return
+        self.node = _Node(name, self.node, attributes, len(self.texts))
+        self.node.dropped |= self.skipped is not None
+        self.open[name] = self.open.get(name, 0) + 1
+        self.order.append(self.node)
+
+    def _read(self, html: str) -> None:
+        tags, unclosed, past = _Tags(html), set(), 0
+        while past < len(html):
+            begin = html.find("<", past)
+            if begin != past:
+                text = html[past : begin if begin >= 0 else len(html)]
+                self._text(text)
+                past += len(text)
+                continue
+            if html.startswith("<!--", past):
+                end = html.find("-->", past + 4)
+                past = end + 3 if end >= 0 else len(html)
+                continue
+            name = NAME.match(html, past + 1)
+            end = tags.end(name.end()) if name else html.find(">", past) if html[past + 1 : past + 2] in ("!", "?") and past < tags.last else -1
+            if end < 0:
+                self._text("<")
+                past += 1
+                continue
+            past = end + 1
+            if name is None:
+                continue
+            low, closing = name[2].lower(), bool(name[1])
+            if low in ENDS:
+                if not closing:
+                    self.parts.append(" ")
+                    if low != "svg" or html[end - 1] != "/":
+                        past = _after(html, low, past, unclosed)
+            elif low in BLOCKS or low in DROPPED:
+                self._block(low, closing, html[name.end() : end])
+            else:
+                self._inline(low, closing, html[name.end() : end])
+
+    def _text(self, text: str) -> None:
+        if not self.skipped:
+            self.parts.append(text)
+            if self.link:
+                self.in_link += len(text.strip())
+
+
+def _points(text: str, linked: int) -> float:
+    """Points of one paragraph, less the share of it that is links."""
+    if len(text) < 2:
+        return 0.0
+    return (1.0 + text.count(",") + text.count("\uff0c") + min(len(text) / 100.0, 3.0)) * (1.0 - min(1.0, linked / len(text)))
+
+
+def _drop_doubtful(page: _Page) -> set[int]:
+    """Blocks in elements with an unlikely name, but for those that hold at least half of the page's points."""
+    for node, text, linked in page.texts:
+        node.prose += _points(text, linked)
+    for n in reversed(page.order):
+        if n.parent is not None:
+            n.parent.prose += n.prose
+    gone: set[int] = set()
+    for n in page.order:
+        if n.doubtful and not n.dropped and 2 * n.prose < page.root.prose:
+            n.dropped = True
+        if n.parent is not None and n.parent.dropped:
+            n.dropped = True
+        elif n.dropped:
+            gone.update(range(n.begin, n.end))
+    return gone
+
+
+def main_text(html: str) -> str:
+    """The article's blocks, in page order, joined by blank lines; empty if the page has none."""
+    page = _Page(html)
+    gone = _drop_doubtful(page)
+    kept = [i for i in range(len(page.texts)) if i not in gone]
+    if not kept:
         return ""
+    for i in kept:
+        node, text, linked = page.texts[i]
+        node.chars += len(text)
+        node.linked += linked
+        at, step = (node if node.tag in CONTAINERS else node.parent) or page.root, 1
+        while at is not None and step <= 4:
+            at.points += _points(text, linked) / step
+            at, step = at.parent, step * 2
+    for n in reversed(page.order):
+        if n.parent is not None:
+            n.parent.chars += n.chars
+            n.parent.linked += n.linked
 
     def value(n: _Node) -> float:
         return (n.points + (n.bonus if n.points else 0.0)) * (1.0 - n.linked / n.chars) if n.chars else 0.0
 
-    best = max((n for n in order if n.tag in CONTAINERS and not n.dropped), key=value)
+    best = max((n for n in page.order if n.tag in CONTAINERS and not n.dropped), key=value)
     while best.parent is not None and best.tag in ("li", "tr", "td", "tbody", "dd"):
         best = best.parent
-    wanted = set(best.blocks)
+    wanted = set(range(best.begin, best.end))
     if best.parent is not None:
         least = max(10.0, 0.2 * value(best))
-        for n in order:
+        for n in page.order:
             if n.parent is best.parent and n is not best and n.chars and not n.dropped:
                 near = 1.0 - n.linked / n.chars
-                prose = n.tag == "p" and near > 0.75 and (n.chars > 80 or n.chars and texts[n.blocks[-1]][1][-1:] in ".!?")
+                last = next(i for i in range(n.end - 1, -1, -1) if i not in gone)
+                prose = n.tag == "p" and near > 0.75 and (n.chars > 80 or page.texts[last][1][-1:] in ".!?")
                 heading = n.tag in ("h1", "h2", "h3") and near > 0.75
                 if prose or heading or (n.tag in CONTAINERS and value(n) >= least):
-                    wanted.update(n.blocks)
-    return "\n\n".join(texts[i][1] for i in sorted(wanted))
+                    wanted.update(range(n.begin, n.end))
+    return "\n\n".join(page.texts[i][1] for i in sorted(wanted - gone))
 
 
 def extract_main_text(df: DataFrame, html: str = "html", out: str = "text") -> DataFrame:

@@ -196,3 +196,115 @@ def test_main_text_of_elements_that_are_hidden(attributes):
 def test_main_text_after_elements_without_end(before):
     page = f"<html>{before}<article><h1>A head</h1><p>One text, that is read, by many.</p></article></html>"
     assert main_text.main_text(page) == "A head\n\nOne text, that is read, by many."
+
+
+ARTICLE = "".join(f"<p>Paragraph {i} of the story, which has some length, a few commas, and an end.</p>" for i in range(4))
+ARTICLE_TEXT = "\n\n".join(f"Paragraph {i} of the story, which has some length, a few commas, and an end." for i in range(4))
+
+
+@pytest.mark.parametrize(
+    "names",
+    ["content has-sidebar", "no-sidebar", "layout-with-sidebar", "post comments-open", "page-with-header", "entry share-enabled", "article-body nav-open",
+     "search-result article", "with-cookies", "menu-hidden", "ads-disabled story"],
+)
+@pytest.mark.parametrize("kind", ["class", "id"])
+def test_main_text_in_layouts_named_after_their_parts(names, kind):
+    page = f"<body><div {kind}='{names}'><div>{ARTICLE}</div><div class=sidebar><p>Other, things, to, read, here.</p></div></div><div class=footer-links><p>About, us.</p></div></body>"
+    assert main_text.main_text(page) == ARTICLE_TEXT
+
+
+@pytest.mark.parametrize("names", ["sidebar", "site-footer", "comment-list", "comments", "cookie-banner", "main-nav", "post-comments", "related-box", "share-buttons", "page has-newsletter", "x-popup-y"])
+def test_main_text_without_other_parts(names):
+    page = f"<body><div>{ARTICLE}<div class='{names}'><p>Many, words, that, are, not, of, the, story.</p></div></div></body>"
+    assert main_text.main_text(page) == ARTICLE_TEXT
+
+
+def test_main_text_without_more_comments_than_article():
+    comments = "<p>I think, as a reader, that this, and that, is so, and so on, and so forth.</p>" * 50
+    assert main_text.main_text(f"<body><div class=post>{ARTICLE}</div><div id=comments>{comments}</div></body>") == ARTICLE_TEXT
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "style='display:none'", "class=advert", "class='x ad-slot'", "aria-hidden=true"])
+@pytest.mark.parametrize("tag", ["span", "a", "b"])
+def test_main_text_without_hidden_inline_parts(attributes, tag):
+    page = f"<body><article><p>One text, <{tag} {attributes}>no <{tag}>no</{tag}> <i>no</i></{tag}>that is read, by many.</p><p>Then <{tag} {attributes}>not closed</p>{ARTICLE}</article></body>"
+    assert main_text.main_text(page) == f"One text, that is read, by many.\n\nThen\n\n{ARTICLE_TEXT}"
+
+
+def test_main_text_of_an_article_with_a_header_of_its_own():
+    page = f"<body><header><h1>Site</h1></header><article><header><h1>Title</h1><p>by someone, on a day</p></header>{ARTICLE}</article></body>"
+    assert main_text.main_text(page) == f"Title\n\n{ARTICLE_TEXT}"
+
+
+@pytest.mark.parametrize(
+    "broken", ['<p class="x ', "<a ", "<!x ", '<a ">" ', "<p class='", "<", "</section>", "<div>x", "<div>", "<script ", "<span hidden>x", '<p title="a>b', "<!--", "&#", "<li>a, b"]
+)
+def test_main_text_of_broken_pages_takes_linear_time(broken):
+    import time
+
+    start = time.perf_counter()
+    main_text.main_text(broken * (1_000_000 // len(broken)))
+    main_text.main_text("<div>" * 20_000 + "<article><p>One, two.</p>" + broken * (100_000 // len(broken)) + ">" + "</section>" * 20_000)
+    assert time.perf_counter() - start < 12
+
+
+def scored_by_hand(tree):
+    """The scoring written once more, on a tree of (tag, children or text): the paragraphs of the best container."""
+    found = {}
+
+    def walk(node, above):
+        tag, inner = node
+        if isinstance(inner, str):
+            points = 1 + inner.count(",") + min(len(inner) / 100, 3) if len(inner) > 1 else 0
+            for share, at in zip((1, 2, 4), reversed(above), strict=False):
+                found[at] = found.get(at, 0) + points / share
+            return
+        for child in inner:
+            walk(child, [*above, id(node)])
+
+    walk(tree, [])
+    order = []
+
+    def nodes(node):
+        order.append(node)
+        if not isinstance(node[1], str):
+            for child in node[1]:
+                nodes(child)
+
+    nodes(tree)
+    best = max((n for n in order if not isinstance(n[1], str)), key=lambda n: found.get(id(n), 0) and found[id(n)] + {"section": 3}.get(n[0], 0))
+    value = lambda n: found.get(id(n), 0) and found[id(n)] + {"section": 3}.get(n[0], 0)
+    parent = next((n for n in order if not isinstance(n[1], str) and any(c is best for c in n[1])), None)
+    kept = []
+
+    def texts(node):
+        return [node[1]] if isinstance(node[1], str) else [t for c in node[1] for t in texts(c)]
+
+    if parent is None:
+        return texts(best)
+    for child in parent[1]:
+        if child is best:
+            kept += texts(child)
+        elif isinstance(child[1], str):
+            if len(child[1]) > 80 or child[1][-1:] in ".!?":
+                kept += texts(child)
+        elif value(child) >= max(10, 0.2 * value(best)):
+            kept += texts(child)
+    return kept
+
+
+def test_main_text_of_random_trees():
+    rng = random.Random(12)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.4:
+            return ("p", " ".join(rng.choice(["word", "and,", "so", "end."]) for _ in range(rng.choice([1, 3, 12, 40]))))
+        return (rng.choice(["div", "section"]), [tree(depth - 1) for _ in range(rng.randint(1, 4))])
+
+    def markup(node):
+        return f"<{node[0]}>{node[1] if isinstance(node[1], str) else ''.join(map(markup, node[1]))}</{node[0]}>"
+
+    for _ in range(300):
+        body = ("html", [tree(5) for _ in range(rng.randint(1, 3))])
+        page = "".join(markup(c) for c in body[1])
+        assert main_text.main_text(page) == "\n\n".join(scored_by_hand(body)), page
