@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from modlens.catalog.base import ALL_WORDS, query, sql_clean, sql_flag, sql_list, sql_word_flag, table
 from modlens.catalog.corpus_queries import ANNOTATED, CLEAN, annotated, cleaned
 from modlens.functions.lexicon import DEFAULT_LEXICON, LABELS, TOXIC_LABELS, keyword_flag
-from modlens.operators import agreement, profile, sampling, terms
+from modlens.operators import agreement, profile, sampling, sketches, terms
+from modlens.plans import reports
+from modlens.session import checkpoint_dir
 
 LEX = DEFAULT_LEXICON
 
@@ -335,3 +339,54 @@ def top_terms(spark, d):
 )
 def token_heatmap(spark, d):
     return terms.term_matrix(_tfidf(spark, d))
+
+
+_WEEKLY = "make_timestamp(2024, 1, 1, 0, 0, 0) + to_days(CAST(doc_id % 40 + CASE WHEN doc_id % 40 > 20 THEN 21 ELSE 0 END AS INTEGER))"
+
+
+@query(
+    "profile_bundle",
+    f"""WITH a AS (SELECT * FROM {ANNOTATED}), l AS (SELECT unnest({list(LABELS)!r}) AS label, unnest([{', '.join(LABELS)}]) AS v, word_count FROM a),
+      w AS (SELECT CAST(date_trunc('week', {_WEEKLY}) AS DATE) + 6 AS week, toxic FROM a),
+      c AS (SELECT CAST(unnest(range((SELECT min(week) FROM w)::TIMESTAMP, (SELECT max(week) FROM w)::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 7 DAY)) AS DATE) AS week)
+      SELECT 'label_counts' AS report, label AS key, sum(v)::DOUBLE AS value FROM l GROUP BY label
+      UNION ALL SELECT 'subreddit_counts', subreddit, count(*) FROM a GROUP BY subreddit
+      UNION ALL SELECT 'label_by_subreddit', subreddit, round(avg(toxic), 6) FROM a GROUP BY subreddit
+      UNION ALL SELECT 'length_by_label', label, quantile_cont(word_count, 0.5) FROM l WHERE v = 1 GROUP BY label
+      UNION ALL SELECT 'weekly_trend', c.week::VARCHAR, round(avg(toxic), 6) FROM c LEFT JOIN w USING (week) GROUP BY c.week
+      UNION ALL SELECT 'unique_texts', 'all', count(DISTINCT text_clean) FROM a""",
+)
+def profile_bundle(spark, d):
+    """One column of each table that the bundle makes in one scan of the corpus."""
+    day = F.col("doc_id") % 40
+    stamp = F.timestamp_seconds(F.lit(1704067200) + 86400 * (day + F.when(day > 20, 21).otherwise(0)))
+    rows = annotated(spark, d).withColumn("created_utc", F.unix_seconds(stamp).cast("string"))
+    made = reports.corpus_profile(rows.drop("source"), "doc_id")
+    value = {"label_counts": ("label", "n"), "subreddit_counts": ("subreddit", "n"), "label_by_subreddit": ("subreddit", "toxic"), "length_by_label": ("label", "median"), "weekly_trend": ("week", "toxic")}
+    parts = [made[r].select(F.lit(r).alias("report"), F.col(k).cast("string").alias("key"), F.col(v).cast("double").alias("value")) for r, (k, v) in value.items()]
+    parts.append(made["dataset_summary"].select(F.lit("unique_texts").alias("report"), F.lit("all").alias("key"), F.col("unique_texts").cast("double").alias("value")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@query(
+    "profile_loads",
+    f"""SELECT subreddit, count(*) AS total_samples, sum(toxic)::BIGINT AS toxic_count, round(100 * avg(toxic), 2) AS toxic_pct, true AS texts_near, true AS median_near
+      FROM {ANNOTATED} GROUP BY subreddit""",
+)
+def profile_loads(spark, d):
+    """Five loads' states merged; the estimates are held against the exact figures within the sketches' stated error."""
+    rows = annotated(spark, d)
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/loads-{uuid.uuid4().hex}"
+    for load in range(5):
+        sketches.add_load(rows.filter(F.col("doc_id") % 5 == load), folder, str(load))
+    merged = sketches.summary_of(sketches.merge_states(sketches.read_loads(spark, folder), "subreddit"))
+    lengths = F.percentile("word_count", F.array(F.lit(0.45), F.lit(0.55)))
+    exact = rows.groupBy("subreddit").agg(F.count_distinct("text_clean").alias("n"), lengths.alias("q"))
+    near = F.abs(F.col("unique_texts") - F.col("n")) <= 2 + 0.04 * F.col("n")
+    return merged.join(exact, "subreddit").select(
+        "subreddit", "total_samples", "toxic_count", "toxic_pct", near.alias("texts_near"),
+        F.col("median_word_count").between(F.floor(F.col("q")[0]) - 1, F.ceil(F.col("q")[1]) + 1).alias("median_near"),
+    )

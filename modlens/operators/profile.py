@@ -11,6 +11,7 @@ from modlens.functions import text as tx
 from modlens.functions.lexicon import LABELS, TOXIC_LABELS
 from modlens.functions.scores import PRED, known_score
 from modlens.schemas import label_names
+from modlens.session import stored_table
 
 
 def prediction_proxy(df: DataFrame, threshold: float = 0.5, enabled: bool = True) -> DataFrame:
@@ -65,9 +66,12 @@ def length_by_label(df: DataFrame, text: str = "text_clean") -> DataFrame:
     counts; quartiles, whiskers and outliers come exactly from that small table.
     """
     labels = label_names(df)
-    counted = (
-        df.select(tx.word_count(F.col(text)).alias("wc"), *labels).groupBy("wc", *labels).agg(F.count("*").alias("n"))
-    )
+    counted = df.select(tx.word_count(F.col(text)).alias("wc"), *labels).groupBy("wc", *labels).agg(F.count("*").alias("n"))
+    return _lengths(counted, labels)
+
+
+def _lengths(counted: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Box-plot numbers from rows per (word count, labels)."""
     long = (
         counted.unpivot(["wc", "n"], labels, "label", "active")
         .filter("active = 1")
@@ -117,12 +121,13 @@ def dataset_summary(df: DataFrame, text: str = "text_clean", label_source: Colum
     weighted median one pass with one shuffle of digests and small numbers.
     """
     labels = label_names(df)
-    body = df.select(F.col(text).alias("_t"), *labels)
-    per_text = body.groupBy(F.unhex(F.sha2("_t", 256)).alias("_d")).agg(
-        F.count("*").alias("_n"),
-        F.min(tx.word_count(F.col("_t"))).alias("_wc"),
-        *[F.sum(x).alias(x) for x in labels],
-    )
+    body = df.select(F.unhex(F.sha2(F.col(text), 256)).alias("_d"), tx.word_count(F.col(text)).alias("_wc"), *labels)
+    return _summary(body, labels, label_source)
+
+
+def _summary(body: DataFrame, labels: Sequence[str], label_source: Column | str | None) -> DataFrame:
+    """The summary row from each row's text digest, word count and labels."""
+    per_text = body.groupBy("_d").agg(F.count("*").alias("_n"), F.min("_wc").alias("_wc"), *[F.sum(x).alias(x) for x in labels])
     n = F.sum("_n")
     columns = [n.alias("total_samples"), F.count("_d").alias("unique_texts")]
     for x in labels:
@@ -178,3 +183,65 @@ def with_empty_weeks(weekly: DataFrame) -> DataFrame:
     span = weekly.agg(F.min("week").alias("lo"), F.max("week").alias("hi")).filter("lo is not null")
     calendar = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 7 days"))).alias("week"))
     return calendar.join(weekly, "week", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
+#: columns of :func:`prepared` that stand for the text
+DIGEST, LENGTH, WORDS = "_digest", "_length", "_words"
+
+
+def prepared(df: DataFrame, doc: str, text: str = "text_clean", stop_words=tx.STOP_WORDS) -> DataFrame:
+    """What all reports need of a corpus, stored in one scan: digest, length and words of each text, and the small columns.
+
+    Word arrays are a column of their own in the stored table, which only the terms read.
+    """
+    given = [c for c in (doc, *label_names(df), *PRED.values(), "source", "subreddit", "created_utc") if c in df.columns]
+    made = {
+        DIGEST: F.unhex(F.sha2(F.col(text), 256)), LENGTH: tx.word_count(F.col(text)), WORDS: tx.tokens(F.col(text), stop_words),
+    }
+    return stored_table(df.select(*dict.fromkeys(given), *(c.alias(n) for n, c in made.items())), "profile")
+
+
+def profile_tables(df: DataFrame, label_source: Column | str | None = None) -> dict[str, DataFrame]:
+    """Summary, counts, lengths, prevalence and trend of a :func:`prepared` corpus, as their own functions give them.
+
+    All counts come from one pass: its grouping sets are (length, labels), each community column and the week.  Their result,
+    a row per group, is stored; only the number of different texts needs a pass over the digests.
+    """
+    labels = label_names(df)
+    tables = {"dataset_summary": _summary(df.select(F.col(DIGEST).alias("_d"), F.col(LENGTH).alias("_wc"), *labels), labels, label_source)}
+    sets = {"lengths": ["_wc", *(f"_by_{x}" for x in labels)]} if labels else {}
+    sets |= {c: [c] for c in ("source", "subreddit") if c in df.columns}
+    trend = [x for x in TOXIC_LABELS if x in labels]
+    rows = df.withColumn("_wc", F.col(LENGTH)).withColumns({f"_by_{x}": F.col(x) for x in labels})
+    if trend and "created_utc" in df.columns:
+        sets["week"] = ["week"]
+        rows = rows.withColumn("week", week_end(tx.epoch_to_timestamp(F.col("created_utc"))))
+    if not sets:
+        return tables
+    keys = [c for s in sets.values() for c in s]
+    sums = [f(x).alias(f"{p}_{x}") for x in labels for p, f in (("sum", F.sum), ("n", F.count))]
+    grouped = rows.groupingSets([[F.col(c) for c in s] for s in sets.values()], *(F.col(c) for c in keys))
+    found = stored_table(grouped.agg(F.grouping_id().alias("_set"), F.count("*").alias("n_rows"), *sums), "profile-groups")
+
+    def of(name: str) -> DataFrame:
+        # a bit is set for every key that is not grouped by
+        bits = sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in sets[name])
+        return found.filter(F.col("_set") == bits)
+
+    def mean(x: str) -> Column:
+        return F.round(F.try_divide(f"sum_{x}", F.col(f"n_{x}")), 6).alias(x)
+
+    if labels:
+        counted = of("lengths").select(F.col("_wc").alias("wc"), *(F.col(f"_by_{x}").alias(x) for x in labels), F.col("n_rows").alias("n"))
+        tables["length_by_label"] = _lengths(counted, labels)
+        totals = of("lengths").agg(*(F.coalesce(F.sum(f"sum_{x}"), F.lit(0)).cast("bigint").alias(x) for x in labels))
+        tables["label_counts"] = totals.unpivot([], labels, "label", "n").orderBy(F.desc("n"), "label")
+    for column in ("source", "subreddit"):
+        if column in sets:
+            known = of(column).filter(F.col(column).isNotNull())
+            tables[f"{column}_counts"] = known.select(column, F.col("n_rows").alias("n")).orderBy(F.desc("n"), column)
+            if column == "subreddit" and labels:
+                tables["label_by_subreddit"] = known.select(column, *(mean(x) for x in labels))
+    if "week" in sets:
+        tables["weekly_trend"] = with_empty_weeks(of("week").filter("week IS NOT NULL").select("week", "n_rows", *(mean(x) for x in trend)))
+    return tables

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from modlens.functions import text as tx
 from modlens.functions.lexicon import TOXIC_LABELS
-from modlens.session import checkpoint_dir
+from modlens.session import stored_table
 
 
 #: counters of the table, as a power of two; its bits are sent to all tasks, 1 MB
@@ -114,15 +114,19 @@ def tfidf_by_label(
     min_df: int = 3,
     max_terms: int = 10_000,
     stop_words=tx.STOP_WORDS,
+    words_column: str | None = None,
 ) -> DataFrame:
     """(label, term, score): mean over a label's rows of the L2-normalised tf-idf weight.
 
-    Rows without the term count as 0, labels without rows are left out.
+    Rows without the term count as 0, labels without rows are left out.  ``words_column`` names the words where a stored table
+    has them already; the text is not read then.
     """
     used = [x for x in labels if x in df.columns]
-    # read four times below: cut the texts into words only once
-    checkpoint_dir(df.sparkSession)
-    words = _words(df, doc, text, stop_words, used).checkpoint()
+    if words_column:
+        words = df.select(F.col(doc).alias("doc"), *used, F.col(words_column).alias("words"))
+    else:
+        # read five times below: cut the texts into words only once
+        words = stored_table(_words(df, doc, text, stop_words, used), "words")
     n_docs = words.agg(F.count("*")).scalar()
     idf = F.ln((1 + n_docs) / (1 + F.col("df"))) + 1
     # at most max_terms rows, by construction

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from modlens.functions.lexicon import TOXIC_LABELS
 from modlens.operators import agreement, profile, terms
-from modlens.schemas import coerce_labels, label_names
+from modlens.schemas import coerce_labels
 
 
 def corpus_profile(
@@ -17,25 +17,18 @@ def corpus_profile(
     pred_threshold: float = 0.5,
     use_prediction_proxy: bool = True,
 ) -> dict[str, DataFrame]:
-    """Every profile table of an annotated corpus, by name; parts whose columns are absent are left out."""
-    coerced = coerce_labels(annotated)
-    df = profile.prediction_proxy(coerced, pred_threshold, use_prediction_proxy)
+    """Every profile table of an annotated corpus, by name; parts whose columns are absent are left out.
+
+    The corpus itself is scanned once, into a stored table of what the reports need (see :func:`profile.prepared`).
+    """
+    stored = profile.prepared(coerce_labels(annotated), doc, text)
+    df = profile.prediction_proxy(stored, pred_threshold, use_prediction_proxy)
     source = df.select("label_source").limit(1).scalar()
-    reports = {"dataset_summary": profile.dataset_summary(df, text, source)}
-    if label_names(df):
-        reports["label_counts"] = profile.label_counts(df)
-        reports["length_by_label"] = profile.length_by_label(df, text)
-    for column in ("source", "subreddit"):
-        if column in df.columns:
-            reports[f"{column}_counts"] = profile.value_counts(df, column)
-    if "subreddit" in df.columns and label_names(df):
-        reports["label_by_subreddit"] = profile.label_prevalence(df)
+    reports = profile.profile_tables(df, source)
     if any(x in df.columns for x in TOXIC_LABELS):
-        scores = terms.tfidf_by_label(df, doc, text)
+        scores = terms.tfidf_by_label(df, doc, words_column=profile.WORDS)
         reports["top_terms"] = terms.top_terms(scores)
         reports["term_matrix"] = terms.term_matrix(scores)
-        if "created_utc" in df.columns:
-            reports["weekly_trend"] = profile.weekly_trend(df)
     return reports
 
 

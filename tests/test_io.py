@@ -268,3 +268,32 @@ def test_comment_pages(spark):
     }
     assert out["b"].post_title == "The & title"
     assert df.select(pages.next_cursor(F.col("html")).alias("c")).first().c == "t3_zz"
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for write, read in ((sinks.write_table, spark.read.parquet), (sinks.write_csv, lambda p: spark.read.option("header", True).csv(p))):
+        good = spark.range(5).select(F.col("id").cast("string").alias("id"))
+        write(good, path)
+        write(good, path)  # over itself
+        bad = spark.range(1000).repartition(8).select(F.when(F.col("id") == 900, F.raise_error(F.lit("half-way"))).otherwise(F.col("id").cast("string")).alias("id"))
+        with pytest.raises(Exception, match="half-way"):
+            write(bad, path)
+        assert sorted(r.id for r in read(path).collect()) == list("01234")
+        assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    sinks.write_table(spark.read.option("header", True).csv(path).where("id < 3"), path)  # a table may be written over itself
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_a_swap_that_was_cut_off_is_taken_back(spark, tmp_path):
+    path = tmp_path / "t"
+    sinks.write_table(spark.range(3), str(path))
+    path.rename(tmp_path / ".t.old")  # the moment between the two renames
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_folder(spark, str(path), lambda to: (_ for _ in ()).throw(OSError("no")))
+    assert spark.read.parquet(str(path)).count() == 3
+    sinks.write_table(spark.range(4), str(path))
+    assert spark.read.parquet(str(path)).count() == 4 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    sinks.write_table(spark.range(1), str(tmp_path / "deep" / "er"))
+    sinks.write_table(spark.range(1), str(tmp_path / "deep" / "er"), mode="append")
+    assert spark.read.parquet(str(tmp_path / "deep" / "er")).count() == 2

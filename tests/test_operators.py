@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from modlens.functions.lexicon import LABELS, TOXIC_LABELS, Lexicon
-from modlens.operators import agreement, corpus, evaluate, profile, sampling, scoring, terms
+from modlens.operators import agreement, corpus, evaluate, profile, sampling, scoring, sketches, terms
 from modlens.plans import corpus as plans
 from modlens.plans import reports
 from modlens.schemas import coerce_labels, require_columns
@@ -416,3 +416,71 @@ def test_profile_bundle(spark):
     assert all(r.count() > 0 for r in out.values())
     assert out["dataset_summary"].first().label_eda_source == "gold"
     assert set(out["term_matrix"].toPandas()["label"]) == {"toxic"} <= set(TOXIC_LABELS)
+
+
+def test_profile_in_one_scan_equals_each_report(spark, tmp_path):
+    rows = [
+        (i, ["cat dog bird", "a b", "", None, f"word {i % 5} x"][i % 5], ["a", "b", None][i % 3], "s" if i % 2 else "t", ["2024-01-01T00:00:00+00:00", "1704900000", "no", None][i % 4], str(i % 2), "1" if i % 7 == 0 else "x")
+        for i in range(60)
+    ]
+    schema = "id int, text_clean string, subreddit string, source string, created_utc string, toxic string, slur string"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "in"))
+    given = spark.read.parquet(str(tmp_path / "in"))
+    scans = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            scans.add(batch.num_rows)
+            yield batch
+
+    out = reports.corpus_profile(given.mapInArrow(seen, given.schema), "id")
+    got = {k: sorted(map(repr, v.collect())) for k, v in out.items()}
+    assert scans.value == 60  # every row of the input was read once for all reports
+    from modlens.schemas import coerce_labels
+
+    df = coerce_labels(given)
+    scores = terms.tfidf_by_label(df, "id")
+    want = {
+        "dataset_summary": profile.dataset_summary(df, label_source="gold"), "label_counts": profile.label_counts(df),
+        "length_by_label": profile.length_by_label(df), "source_counts": profile.value_counts(df, "source"),
+        "subreddit_counts": profile.value_counts(df, "subreddit"), "label_by_subreddit": profile.label_prevalence(df),
+        "top_terms": terms.top_terms(scores), "term_matrix": terms.term_matrix(scores), "weekly_trend": profile.weekly_trend(df),
+    }
+    assert set(got) == set(want)
+    for name, table in want.items():
+        assert got[name] == sorted(map(repr, table.collect())), name
+
+
+def test_loads_merge_to_the_whole(spark, tmp_path):
+    """Ten loads as states against one pass over their union, and both against the exact figures."""
+    df = spark.range(40_000).select(
+        F.concat(F.lit("text "), F.repeat(F.lit("w "), (F.col("id") % 90).cast("int")), F.col("id") % 12_000).alias("text_clean"),
+        F.when(F.col("id") % 7 > 0, F.concat(F.lit("c"), F.col("id") % 3)).alias("subreddit"), (F.col("id") % 4 == 0).cast("int").alias("toxic"), (F.col("id") % 10).alias("load"),
+    )
+    for load in range(10):
+        for _ in range(1 + load % 2):  # a load that is given again replaces itself
+            sketches.add_load(df.where(F.col("load") == load), str(tmp_path / "state"), str(load))
+    loads = sketches.read_loads(spark, str(tmp_path / "state"))
+    assert loads.count() == 40
+    for by in ((), ("subreddit",)):
+        merged = {r[0] if by else None: r for r in sketches.summary_of(sketches.merge_states(loads, *by)).collect()}
+        once = {r[0] if by else None: r for r in sketches.summary_of(sketches.merge_states(sketches.load_state(df), *by)).collect()}
+        assert set(merged) == set(once) == ({None} if not by else {None, "c0", "c1", "c2"})
+        for key, m in merged.items():
+            part = df if not by else df.where(F.col("subreddit").eqNullSafe(F.lit(key)))
+            lengths = sorted(r[0] for r in part.select(tx_words("text_clean")).collect())
+            n = part.select("text_clean").distinct().count()
+            assert (m.total_samples, m.toxic_count, m.toxic_pct) == (once[key].total_samples, once[key].toxic_count, once[key].toxic_pct)
+            assert m.total_samples == len(lengths) and m.toxic_count == part.where("toxic = 1").count()
+            # a sketch of one pass keeps a better estimate than a merged one; both are within the bound
+            assert abs(m.unique_texts - n) <= 0.04 * n and abs(once[key].unique_texts - n) <= 0.04 * n
+            for name, q in (("q1_word_count", 0.25), ("median_word_count", 0.5), ("q3_word_count", 0.75)):
+                below, upto = sum(x < m[name] for x in lengths) / len(lengths), sum(x <= m[name] for x in lengths) / len(lengths)
+                assert below - 0.03 <= q <= upto + 0.03
+    assert sketches.summary_of(sketches.merge_states(sketches.load_state(df.limit(0)), "subreddit")).count() == 0
+
+
+def tx_words(column):
+    from modlens.functions import text as tx
+
+    return tx.word_count(F.col(column))
