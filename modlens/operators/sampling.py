@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from modlens.functions.lexicon import DEFAULT_LEXICON, Lexicon, keyword_flag
 from modlens.functions.once import evaluate_once
+from modlens.session import stored_table
 
 #: 4 digits: at most 65 536 buckets per stratum, the proven bound of the broadcast below
 BUCKET_DIGITS = 4
@@ -119,7 +120,8 @@ def annotation_splits(
     """
     pool = _flagged(df, text, flag, lexicon)
     half = iaa_size // 2
-    iaa = first_by_hash(pool, keys, {True: half, False: half}, seed, stratum=flag)
+    # a few hundred rows that are read three times: stored, so that the corpus is not searched again each time
+    iaa = stored_table(first_by_hash(pool, keys, {True: half, False: half}, seed, stratum=flag), "agreement-batch")
     # at most iaa_size keys, which is the caller's number and not the data's
     taken = iaa.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
     same = F.lit(True)

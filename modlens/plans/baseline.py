@@ -61,7 +61,8 @@ def fit_baseline(
     Terms are hashed, so no vocabulary is gathered on the driver; what an iteration
     sends there is one vector of ``n_features`` doubles, summed in a tree.
     """
-    rows = _with_terms(train.select(F.col(text), *labels), text)
+    # cut into terms once, for the document frequencies and for the features
+    rows = _with_terms(train.select(F.col(text), *labels), text).select("_terms", *labels).persist(StorageLevel.MEMORY_AND_DISK)
     features = Pipeline(
         stages=[
             HashingTF(inputCol="_terms", outputCol="_tf", numFeatures=n_features),
@@ -81,4 +82,5 @@ def fit_baseline(
         }
     finally:
         ready.unpersist()
+        rows.unpersist()
     return BaselineModel(features, classifiers, text)
