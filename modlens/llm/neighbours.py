@@ -25,8 +25,11 @@ SAMPLE = 32_768
 TREES = 8
 #: Vectors of the sample in a leaf at least.
 LEAF = 256
-#: Leaves a query visits, over all trees.
-VISITS = 80
+#: Leaves a query visits, over all trees: the first of these by which so many of the sample's own neighbours are found.
+VISITS = (16, 24, 32, 48, 64, 80, 96, 112, 128, 160, 192, 256, 320, 384, 512, 768, 1024)
+RECALL = 0.93
+#: Vectors of the sample that are searched for among all of it to measure that.
+PROBES = 200
 BLOCK = 8192
 
 
@@ -87,6 +90,30 @@ def fit_forest(sample: np.ndarray, scale: float, trees: int = TREES, leaf: int =
     return forest
 
 
+def choose_visits(forest: Forest, sample: np.ndarray, k: int = 20, target: float = RECALL, probes: int = PROBES) -> int:
+    """The least number of leaves by which ``target`` of the ``k`` nearest in the sample are found, over ``probes`` of its vectors.
+
+    Leaves hold more of a larger table, and its nearest are nearer, so what is found there is not less.
+    """
+    n_leaves = len(forest.cuts) << forest.depth
+    some = np.random.default_rng(5).permutation(len(sample))[:probes]
+    held = forest.leaves(sample)
+    tried = [v for v in VISITS if v < n_leaves]
+    found = np.zeros(len(tried) + 1)
+    for i in some.tolist():
+        near = np.argsort(-(sample @ sample[i]), kind="stable")[: k + 1]
+        near = near[near != i][:k]
+        place = np.full(n_leaves, n_leaves)
+        path = forest.visit(sample[i], tried[-1] if tried else 0)
+        place[path] = np.arange(len(path))
+        first = place[held[near]].min(axis=1)  # how many leaves come before the first that holds it
+        found[:-1] += [np.mean(first < v) if len(near) else 1.0 for v in tried]
+    for v, share in zip(tried, found / max(1, len(some)), strict=False):
+        if share >= target:
+            return v
+    return n_leaves
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Vectors of one length as rows, in double precision."""
     if not len(column):
@@ -95,11 +122,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def nearest(df: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding", every: int = 20, sample: int = SAMPLE,
-            trees: int = TREES, visits: int = VISITS) -> DataFrame:
+            trees: int = TREES, visits: int | None = None) -> DataFrame:
     """For every row whose key is divisible by ``every``: query_id, rank (from 1), vec_id, score of the ``k`` nearest other rows found.
 
     Nearness is the inner product in double precision, ties go to the smaller key; all other rows, if there are
-    fewer than ``k``.  Rows take no part with a null key, or a vector that is null, zero, holds null or non-finite components,
+    fewer than ``k``.  ``visits`` leaves are looked into for each, by default as many as :func:`choose_visits` finds enough.  Rows take no part with a null key, or a vector that is null, zero, holds null or non-finite components,
     or has another number of components than most.  Repeated rows count as one.  Nothing comes of an empty table.
     """
     spark = df.sparkSession
@@ -117,7 +144,9 @@ def nearest(df: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embe
     copies = Window.partitionBy("v").orderBy("id")
     index = rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
     chosen = index.where("copy = 1").orderBy(F.xxhash64("v"), "id").limit(sample).select("v").toArrow()
-    forest = fit_forest(_matrix(chosen["v"].combine_chunks()), scale, trees)
+    fitted_on = _matrix(chosen["v"].combine_chunks())
+    forest = fit_forest(fitted_on, scale, trees)
+    visits = visits or choose_visits(forest, fitted_on, k)
     shared = spark.sparkContext.broadcast(forest)  # grows with the sample, not with the data
 
     def indexed(batches):

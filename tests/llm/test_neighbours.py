@@ -1,6 +1,7 @@
 """Nearest neighbours against brute force."""
 
 import numpy as np
+import pytest
 
 from modlens.llm import neighbours, queries
 
@@ -57,18 +58,28 @@ def test_recall(spark):
     assert all(abs(s - score[q, j]) < 1e-12 for q in got for j, s in got[q] if (q, j) in score)
 
 
-def test_recall_with_more_leaves_than_visits():
-    rng = np.random.default_rng(2)
-    vectors = rng.normal(size=(20_000, 16))
+@pytest.mark.parametrize("width, kind", [(16, "uniform"), (64, "uniform"), (128, "uniform"), (64, "clustered")])
+def test_recall_with_more_vectors_than_the_sample(width, kind):
+    """Visits are chosen on the sample; recall is measured on a table that is larger, and holds for it."""
+    rng = np.random.default_rng(width)
+    vectors = rng.normal(size=(40_000, width))
+    if kind == "clustered":
+        vectors = 0.3 * vectors + rng.normal(size=(200, width))[rng.integers(0, 200, len(vectors))]
     vectors /= np.linalg.norm(vectors, axis=1)[:, None]
-    forest = neighbours.fit_forest(vectors, 1.0 + 1e-9, leaf=64)
-    held = {}
-    for i, row in enumerate(forest.leaves(vectors)):
-        for leaf in row.tolist():
-            held.setdefault(leaf, []).append(i)
-    assert len(held) > 4 * neighbours.VISITS
+    sample = vectors[rng.permutation(len(vectors))[:16_384]]
+    forest = neighbours.fit_forest(sample, 1.0 + 1e-9)
+    visits = neighbours.choose_visits(forest, sample)
+    leaves = forest.leaves(vectors)
+    assert visits < len(np.unique(leaves)) and (kind == "uniform" or visits <= 96)
     hit = []
     for q in vectors[:60]:
-        seen = {i for leaf in forest.visit(q, neighbours.VISITS) for i in held[leaf]}
-        hit.append(len(seen & set(np.argsort(-(vectors @ q))[:20].tolist())) / 20)
-    assert np.mean(hit) > 0.9
+        seen = np.isin(leaves, forest.visit(q, visits)).any(axis=1)
+        hit.append(seen[np.argsort(-(vectors @ q))[:20]].mean())
+    assert np.mean(hit) >= 0.9
+
+
+def test_few_vectors_are_all_looked_at():
+    vectors = np.random.default_rng(1).normal(size=(600, 8))
+    forest = neighbours.fit_forest(vectors, float(np.linalg.norm(vectors, axis=1).max()) * 1.001)
+    assert neighbours.choose_visits(forest, vectors, target=1.1) == len(np.unique(forest.leaves(vectors)))
+    assert neighbours.choose_visits(neighbours.fit_forest(vectors[:1], 99.0), vectors[:1]) == 8
