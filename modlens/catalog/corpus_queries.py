@@ -159,6 +159,20 @@ def uid_build(spark, d):
     return chat.select("conv_id", "turn", ops.chat_uid(chat, "Id").alias("uid"))
 
 
+@query(
+    "uid_repeats",
+    """WITH c AS (SELECT CASE WHEN turn % 3 = 0 THEN concat(conv_id, '-', turn) ELSE ' ' END AS id, role FROM conversations),
+      n AS (SELECT *, row_number() OVER (PARTITION BY id, role) AS copy FROM c)
+      SELECT role, CASE WHEN id = ' ' THEN concat('conda:idx_', sha256(concat('{"Id":" ","role":"', role, '"}')), CASE WHEN copy > 1 THEN '#' || copy ELSE '' END)
+        ELSE 'conda:' || id END AS uid FROM n""",
+)
+def uid_repeats(spark, d):
+    """Very many equal rows without an id: each gets one of its own."""
+    given = F.when(F.col("turn") % 3 == 0, F.concat_ws("-", "conv_id", "turn")).otherwise(" ")
+    chat = table(spark, d, "conversations").select(given.alias("Id"), "role")
+    return ops.with_chat_uid(chat, "Id").select("role", "uid")
+
+
 @query(
     "canonical_cols",
     """SELECT concat('d', doc_id) AS uid, text, source AS subreddit, '' AS source_type, '' AS created_utc FROM documents

@@ -284,3 +284,41 @@ def baseline_split(spark, d):
     """Support of every label on both sides of the split."""
     rows = annotated(spark, d).withColumn("held_out", baseline.held_out("doc_id"))
     return rows.groupBy("lang", "held_out").agg(F.count("*").alias("n"), *[F.sum(x).alias(x) for x in LABELS])
+
+
+_GOLD = f"""g AS MATERIALIZED (SELECT doc_id, unnest(['toxic', 'passive_toxic']) AS label, unnest([pred_toxic, pred_passive_toxic]) AS s, unnest([toxic, 1 - quality]) AS v
+    FROM {_sql_scores(CLEAN, WIDE)} JOIN labels USING (doc_id)), half AS (SELECT *, substr(sha256(doc_id::VARCHAR), 1, 1) < '8' AS first_half FROM g)"""
+
+
+def _sql_best(rows: str) -> str:
+    return f"""(SELECT * FROM (SELECT t.label, t.step / 100 AS threshold, count(*) FILTER (v = 1 AND s >= t.step / 100 - 1e-9) AS tp, count(*) FILTER (v = 0 AND s >= t.step / 100 - 1e-9) AS fp,
+        count(*) FILTER (v = 1 AND s < t.step / 100 - 1e-9) AS fn, count(*) FILTER (v = 1) AS support
+      FROM (SELECT DISTINCT label, floor(round(s * 100, 6))::INTEGER AS step FROM {rows}) t JOIN {rows} r ON r.label = t.label GROUP BY t.label, t.step)
+      WHERE tp > 0 QUALIFY row_number() OVER (PARTITION BY label ORDER BY 2 * tp / (2 * tp + fp + fn) DESC, threshold DESC) = 1)"""
+
+
+_RATES = """round(tp / (tp + fp), 4) AS precision, round(tp / (tp + fn), 4) AS recall, round(2 * tp / (2 * tp + fp + fn), 4) AS f1"""
+
+
+def _gold_scores(spark, d):
+    rows = scoring.heuristic_scores(cleaned(spark, d), "text_clean", WIDE).join(table(spark, d, "labels"), "doc_id")
+    return rows.withColumns({"gold_toxic": F.col("toxic"), "gold_passive_toxic": 1 - F.col("quality")})
+
+
+@query("calibrated_thresholds", f"WITH {_GOLD} SELECT label, threshold, tp, fp, fn, support, {_RATES} FROM {_sql_best('half')}")
+def calibrated_thresholds(spark, d):
+    return evaluate.calibrate(_gold_scores(spark, d), ["toxic", "passive_toxic"])
+
+
+@query(
+    "calibrated_report",
+    f"""WITH {_GOLD}, a AS (SELECT * FROM half WHERE first_half), t AS (SELECT label, threshold FROM {_sql_best('a')}),
+      l AS (SELECT unnest(['toxic', 'passive_toxic']) AS label), w AS (SELECT label, coalesce(threshold, 0.5::DOUBLE) AS threshold FROM l LEFT JOIN t USING (label)),
+      c AS (SELECT label, threshold, count(*) FILTER (v = 1 AND s >= threshold) AS tp, count(*) FILTER (v = 0 AND s >= threshold) AS fp,
+        count(*) FILTER (v = 1 AND s < threshold) AS fn, count(*) FILTER (v = 1) AS support FROM half JOIN w USING (label) WHERE NOT first_half GROUP BY ALL)
+      SELECT label, threshold, tp, fp, fn, support, coalesce(round(tp / nullif(tp + fp, 0), 4), 0) AS precision, coalesce(round(tp / nullif(tp + fn, 0), 4), 0) AS recall,
+        coalesce(round(2 * tp / nullif(2 * tp + fp + fn, 0), 4), 0) AS f1 FROM c""",
+)
+def calibrated_report(spark, d):
+    """Thresholds of one half of the labelled documents, measured on the other."""
+    return evaluate.calibrated_report(_gold_scores(spark, d), ["toxic", "passive_toxic"], baseline.held_out("doc_id", 8))

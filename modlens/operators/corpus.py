@@ -70,6 +70,31 @@ def chat_uid(df: DataFrame, id_column: str | None) -> Column:
     return F.when(F.trim(given) == "", fallback).otherwise(F.concat(F.lit("conda:"), given))
 
 
+#: copies of one equal row that are numbered in one task
+REPEAT_BLOCK = 10_000
+
+
+def number_equal_rows(df: DataFrame, out: str = "copy") -> DataFrame:
+    """All rows with ``out``: 1, 2, 3, ... among rows that are equal in every column.
+
+    Equal rows are counted before the shuffle and spread again by block, so a row that stands very often is not one task's.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    blocks = counted.withColumn("_at", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(REPEAT_BLOCK))))
+    spread = blocks.repartition(F.xxhash64(*df.columns, "_at"))
+    last = F.least(F.col("_copies"), F.col("_at") + REPEAT_BLOCK) - 1
+    return spread.select(*df.columns, F.explode(F.sequence("_at", last)).alias("_i")).select(*df.columns, (F.col("_i") + 1).alias(out))
+
+
+def with_chat_uid(df: DataFrame, id_column: str | None, out: str = "uid") -> DataFrame:
+    """All rows with an id of their own: :func:`chat_uid`, and ``#2``, ``#3``, ... for further equal rows that carry none."""
+    blank = F.lit(True) if id_column is None else F.trim(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) == ""
+    uid = chat_uid(df, id_column)
+    repeat = F.when(F.col("_copy") > 1, F.concat(F.lit("#"), F.col("_copy").cast("string"))).otherwise("")
+    nameless = number_equal_rows(df.filter(blank), "_copy").select(*df.columns, F.concat(uid, repeat).alias(out))
+    return nameless if id_column is None else df.filter(~blank).withColumn(out, uid).unionByName(nameless)
+
+
 def post_uid(df: DataFrame) -> Column:
     """``reddit_row:<digest of the row>`` for posts that carry no id of their own."""
     digest = F.sha2(F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)])), 256)

@@ -65,11 +65,12 @@ def merge_posts_and_chat(
         }
     )
     id_column = "Id" if "Id" in chat.columns else chat.columns[0]
-    c = chat.withColumns(
+    # of equal texts only one stays if repeats go: then equal rows need no ids of their own
+    named = chat.withColumn("uid", ops.chat_uid(chat, id_column)) if dedupe else ops.with_chat_uid(chat, id_column)
+    c = named.withColumns(
         {
             "source_origin": F.lit("conda"),
             "text": F.col("utterance"),
-            "uid": ops.chat_uid(chat, id_column),
             "subreddit": F.lit(""),
             "source_type": F.lit("in_game_chat"),
             "conda_match_id": F.col("matchId").cast("string") if "matchId" in chat.columns else F.lit(""),

@@ -484,3 +484,38 @@ def tx_words(column):
     from modlens.functions import text as tx
 
     return tx.word_count(F.col(column))
+
+
+def test_equal_rows_get_ids_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(corpus, "REPEAT_BLOCK", 7)
+    df = spark.range(300).select(F.when(F.col("id") < 100, F.col("id").cast("string")).when(F.col("id") < 200, " ").alias("Id"), F.lit("gg").alias("utterance"))
+    out = corpus.with_chat_uid(df, "Id")
+    assert out.columns == ["Id", "utterance", "uid"] and out.count() == 300 and out.select("uid").distinct().count() == 300
+    first = {r.uid for r in df.select(corpus.chat_uid(df, "Id").alias("uid")).collect()}
+    assert first < {r.uid for r in out.collect()} and len(first) == 102
+    assert corpus.with_chat_uid(df.select("utterance"), None).select("uid").distinct().count() == 300
+    both = plans.merge_posts_and_chat(spark.createDataFrame([("p", "one two three four")], "uid string, text string"), df, dedupe=False)
+    assert both.count() == 301 and both.select("uid").distinct().count() == 301
+    assert plans.merge_posts_and_chat(spark.createDataFrame([("p", "one two three four")], "uid string, text string"), df).count() == 2
+
+
+def test_calibration_against_every_threshold(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(int(rng.random() < 0.3), round(rng.random() * 0.7, rng.choice([1, 2, 9])), 0, 0.5) for _ in range(400)]
+    rows = [(g, min(1.0, s + 0.25 * g), *rest) for g, s, *rest in rows] + [(None, 0.9, None, None), (1, None, 0, float("nan")), (0, 2.0, 0, -1.0)]
+    df = spark.createDataFrame(rows, "gold_toxic int, pred_toxic double, gold_slur int, pred_slur double")
+    got = evaluate.calibrate(df, ["toxic", "slur"]).collect()
+    assert [r.label for r in got] == ["toxic"]  # nothing is a slur: no threshold
+    known = [(g, s if s is not None else 0.0) for g, s, *_ in rows if g is not None]
+
+    def f1(t):
+        tp = sum(g and s >= t - 1e-9 for g, s in known)
+        return 2 * tp / (2 * tp + sum((not g) and s >= t - 1e-9 for g, s in known) + sum(g and s < t - 1e-9 for g, s in known))
+
+    best = max((f1(t / 100) for t in range(101)))
+    assert abs(f1(got[0].threshold) - best) < 1e-12 and got[0].f1 == round(best, 4)
+    assert evaluate.thresholds_of(evaluate.calibrate(df, ["toxic"])) == {"toxic": got[0].threshold}
+    report = evaluate.calibrated_report(df, ["toxic", "slur"], F.col("gold_toxic").isNotNull() & (F.crc32(F.col("pred_toxic").cast("string")) % 2 == 0)).collect()
+    assert {r.label: r.threshold for r in report}["slur"] == 0.5 and len(report) == 2
