@@ -3,8 +3,8 @@
 Each batch of documents is a shard.  A shard's words become the numbers they have in the test
 items' vocabulary (0: in none of them); suffixes that begin with enough known words are sorted
 into a suffix array by as many words as the windows have.  Every test suffix is then looked up by
-binary search, all of them at once.  Matches are extended to their full length, and every document
-gets the words that are hit, the items found and its longest verbatim match.
+binary search, all of them at once.  Matches are extended to their full length, along all places of the test items at once
+by a suffix array of these, and every document gets the words that are hit, the items found and its longest verbatim match.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from modlens.llm.common import others, whole_text, with_arrow
 
 #: Bytes to the lower-case word bytes (digits, letters, everything beyond ASCII) or to a space.
 FOLD = bytes(b | 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: Test text in one index, in characters; larger test sets are searched in several indexes, one after the other.
-BLOCK_CHARS = 32_000_000
+#: Test text in one index, in characters; larger test sets are searched in several indexes, one after the other.  An index of
+#: this size takes about 300 MB to build and 50 MB to send.
+BLOCK_CHARS = 2_000_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -52,9 +53,8 @@ class TestSuffixes:
         self.flat = np.array([*flat, *[0] * (window + 1)], np.int64)
         self.windows = list(found)
         self.sizes = np.array([len(w) for w in self.windows], np.int64)
-        self.first = np.array([at[0][0] for at in found.values()], np.int64)  # an occurrence in flat
-        self.first_item = np.array([at[0][1] for at in found.values()], np.int64)
-        self.first_start = np.array([at[0][2] for at in found.values()], np.int64)
+        self.begins = np.cumsum([0, *(len(w) + 1 for _, w in split)])[:-1]  # of the items in flat
+        self.order = suffix_order(self.flat[: len(flat)])
         held = [sorted({item for _, item, _ in at}) for at in found.values()]
         self.items = np.array([i for h in held for i in h], np.int64)
         self.item_ends = np.cumsum([len(h) for h in held]) if held else np.zeros(0, np.int64)
@@ -64,6 +64,12 @@ class TestSuffixes:
         high = np.full((len(self.windows), full), (1 << self.bits) - 1, np.int64)
         for row, w in enumerate(self.windows):
             low[row, : len(w)] = high[row, : len(w)] = w
+        # where the suffixes that begin with each window lie in the order
+        begin, end = np.zeros(len(self.windows), np.int64), np.full(len(self.windows), len(self.order))
+        for at in range(max(self.sizes, default=0)):
+            some = np.flatnonzero(self.sizes > at)
+            begin[some], end[some] = self.narrowed(begin[some], end[some], np.full(len(some), at), low[some, at])
+        self.begin, self.end = begin, end
         self.low, self.high = self.pack(low), self.pack(high)
         self.least = int(min(self.sizes, default=0))
 
@@ -123,17 +129,59 @@ class TestSuffixes:
         rank = np.arange(len(window)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
         return window, at[rank]
 
-    def extended(self, text: np.ndarray, window: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Length of each match, followed as far as test and text agree."""
-        size = self.sizes[window].copy()
+    def narrowed(self, begin: np.ndarray, end: np.ndarray, offset: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of suffixes that agree in ``offset`` words, ranges of the order, those that go on with a word."""
+
+        def bound(below) -> np.ndarray:
+            low, high = begin.copy(), end.copy()
+            while (open_ := low < high).any():
+                middle = (low + high) >> 1
+                there = self.flat[self.order[np.minimum(middle, len(self.order) - 1)] + offset]
+                less = below(there)
+                low = np.where(open_ & less, middle + 1, low)
+                high = np.where(open_ & ~less, middle, high)
+            return low
+
+        return bound(lambda there: there < word), bound(lambda there: there <= word)
+
+    def extended(self, text: np.ndarray, window: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Length of each match, as far as the text agrees with any test item, and a place of it in the items."""
+        size, begin, end = self.sizes[window].copy(), self.begin[window].copy(), self.end[window].copy()
         text = np.concatenate([text, [0]])
         going = np.arange(len(size))
         while len(going):
             mine = text[place[going] + size[going]]
-            theirs = self.flat[self.first[window[going]] + size[going]]
-            going = going[(mine == theirs) & (mine > 0)]
+            low, high = self.narrowed(begin[going], end[going], size[going], mine)
+            on = (low < high) & (mine > 0)
+            going = going[on]
+            begin[going], end[going] = low[on], high[on]
             size[going] += 1
-        return size
+        return size, self.order[begin] if len(begin) else begin
+
+
+def suffix_order(flat: np.ndarray) -> np.ndarray:
+    """Suffix array of numbered words in which 0 ends an item: places of all words, by prefix doubling."""
+    if not len(flat):
+        return np.zeros(0, np.int64)
+    rank = flat.copy()
+    step = 1
+    while True:
+        # a suffix ends at the first 0: what follows it does not count
+        after = np.zeros(len(flat), np.int64)
+        after[:-step] = rank[step:]
+        after[rank == 0] = 0
+        order = np.lexsort((after, rank))
+        fresh = np.concatenate([[0], np.cumsum((np.diff(rank[order]) != 0) | (np.diff(after[order]) != 0))])
+        new = np.empty(len(flat), np.int64)
+        new[order] = fresh + (0 if (flat == 0).any() else 1)
+        new[flat == 0] = 0
+        longest = np.diff(np.concatenate([[-1], np.flatnonzero(flat == 0), [len(flat)]])).max()
+        step *= 2
+        rank = new
+        if step >= max(2, longest) or step >= len(flat):
+            break
+    places = np.flatnonzero(flat)
+    return places[np.lexsort((places, rank[places]))]
 
 
 FOUND = "`__spans` array<int>, `__items` array<string>, `__longest` struct<size:int,start:int,item:string,item_start:int>"
@@ -157,18 +205,16 @@ def _search(df: DataFrame, text: str, shared) -> DataFrame:
         flat = np.concatenate(pieces) if pieces else np.zeros(0, np.int64)
         starts = np.array([0, *[e + 1 for e in ends[:-1]]], np.int64)
         window, place = tests.matches(flat)
-        size = tests.extended(flat, window, place)
+        size, there = tests.extended(flat, window, place)
         doc = np.searchsorted(starts, place, side="right") - 1
         order = np.lexsort((place, -size, doc))
         firsts = np.unique(doc[order], return_index=True)[1] if len(doc) else []
         for k in (order[i] for i in firsts):
-            d, w = int(doc[k]), window[k]
+            d = int(doc[k])
             best = longest[d]
             if best is None or best["size"] < size[k]:
-                longest[d] = {
-                    "size": int(size[k]), "start": int(place[k] - starts[d]),
-                    "item": tests.names[tests.first_item[w]], "item_start": int(tests.first_start[w]),
-                }
+                item = int(np.searchsorted(tests.begins, there[k], side="right")) - 1
+                longest[d] = {"size": int(size[k]), "start": int(place[k] - starts[d]), "item": tests.names[item], "item_start": int(there[k] - tests.begins[item])}
         edge = np.zeros(len(flat) + 1, np.int64)
         np.add.at(edge, place, 1)
         np.add.at(edge, place + tests.sizes[window], -1)

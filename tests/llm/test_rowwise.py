@@ -101,6 +101,39 @@ def hits_by_hand(text, items, window=13):
     return len(words), len(hit), sorted(found)
 
 
+def longest_by_hand(text, items, window=13):
+    """The longest run of words that begins with a window and stands in one item."""
+    w = [x.decode() for x in decontaminate.words(text)]
+    split = [[x.decode() for x in decontaminate.words(t)] for _, t in items]
+    most = 0
+    windows = {tuple(x[i : i + min(window, len(x))]) for x in split if x for i in range(len(x) - min(window, len(x)) + 1)}
+    for p in range(len(w)):
+        if any(tuple(w[p : p + len(k)]) == k for k in windows):
+            for x in split:
+                for q in range(len(x)):
+                    n = 0
+                    while p + n < len(w) and q + n < len(x) and w[p + n] == x[q + n]:
+                        n += 1
+                    most = max(most, n)
+    return most
+
+
+def test_longest_match_is_followed_in_every_item():
+    tests = decontaminate.TestSuffixes([("a", "w1 w2 w3 zz"), ("b", "w1 w2 w3 w4 w5 w6"), ("c", "w3 w4")], 3)
+    text = np.array([tests.number[f"w{i}".encode()] for i in range(1, 7)])
+    window, place = tests.matches(text)
+    size, there = tests.extended(text, window, place)
+    found = sorted(zip(place.tolist(), size.tolist(), strict=True))
+    assert found == [(0, 6), (1, 5), (2, 4), (2, 4), (3, 3)]
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        flat = rng.integers(0, 3, rng.integers(1, 40))
+        order = decontaminate.suffix_order(flat)
+        ends = [next((j for j in range(i, len(flat)) if flat[j] == 0), len(flat)) for i in range(len(flat))]
+        suffixes = [tuple(flat[i : ends[i]]) for i in order.tolist()]
+        assert suffixes == sorted(suffixes) and len(order) == (flat > 0).sum()
+
+
 @pytest.mark.parametrize("block_chars", [10**9, 60])
 def test_contamination_against_brute_force(spark, block_chars):
     rng = random.Random(9)
@@ -120,6 +153,8 @@ def test_contamination_against_brute_force(spark, block_chars):
     for i, t in enumerate(docs):
         assert (got[i]["n_words"], got[i]["n_hit"], got[i]["items"]) == hits_by_hand(t, items), t
         assert (got[i]["longest"] is None) == (got[i]["n_hit"] == 0)
+        if block_chars > 60:
+            assert (got[i]["longest"]["size"] if got[i]["longest"] else 0) == longest_by_hand(t, items)
         if got[i]["longest"]:
             m, w = got[i]["longest"], decontaminate.words(t)
             texts = [decontaminate.words(x) for k, x in items if (m["item"] == "null") == (k is None) and (k is None or str(k) == m["item"])]
