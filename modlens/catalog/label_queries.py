@@ -383,10 +383,11 @@ def profile_loads(spark, d):
     for load in range(5):
         sketches.add_load(rows.filter(F.col("doc_id") % 5 == load), folder, str(load))
     merged = sketches.summary_of(sketches.merge_states(sketches.read_loads(spark, folder), "subreddit"))
-    lengths = F.percentile("word_count", F.array(F.lit(0.45), F.lit(0.55)))
-    exact = rows.groupBy("subreddit").agg(F.count_distinct("text_clean").alias("n"), lengths.alias("q"))
-    near = F.abs(F.col("unique_texts") - F.col("n")) <= 2 + 0.04 * F.col("n")
-    return merged.join(exact, "subreddit").select(
-        "subreddit", "total_samples", "toxic_count", "toxic_pct", near.alias("texts_near"),
-        F.col("median_word_count").between(F.floor(F.col("q")[0]) - 1, F.ceil(F.col("q")[1]) + 1).alias("median_near"),
+    # the share of texts that are shorter, and that are no longer, than the median found
+    both = rows.join(F.broadcast(merged), "subreddit")  # one row per community
+    shorter, upto = F.count_if(F.col("word_count") < F.col("median_word_count")), F.count_if(F.col("word_count") <= F.col("median_word_count"))
+    exact = both.groupBy(*merged.columns).agg(F.count_distinct("text_clean").alias("n"), (shorter / F.count("*")).alias("a"), (upto / F.count("*")).alias("b"))
+    return exact.select(
+        "subreddit", "total_samples", "toxic_count", "toxic_pct", (F.abs(F.col("unique_texts") - F.col("n")) <= 0.04 * F.col("n")).alias("texts_near"),
+        ((F.col("a") <= 0.53) & (F.col("b") >= 0.47)).alias("median_near"),
     )
