@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from modlens.llm.common import pieces, saved, with_arrow, with_class
+from modlens.llm.common import forget_others, pieces, saved, with_arrow, with_class
 from modlens.llm.graph import components
 
 WORDS = 5
@@ -121,9 +121,10 @@ def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(__name__)
         counts = np.zeros(COUNTERS, np.int64)
         keys = None
-        for batch in batches:
+        for batch in pieces(batches):
             keys = batch.column(0)
             sizes, nodes, own, below, at, seen = [], [], [], [], [], []
             for t in batch.column(1):
@@ -158,8 +159,9 @@ def _key_rows(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(__name__)
         counts, seen = shared.value, set()
-        for batch in batches:
+        for batch in pieces(batches):
             words, sizes, nodes, n_words = [], [], [], 0
 
             def made() -> pa.RecordBatch:
@@ -179,7 +181,7 @@ def _key_rows(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
                 sizes.append(len(h))
                 nodes.append(node)
                 n_words += len(words[-1])
-                if n_words > 500_000:
+                if n_words > 200_000:
                     yield made()
                     words, sizes, nodes, n_words = [], [], [], 0
             if words:
@@ -208,7 +210,7 @@ def _near(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     y = F.when(F.expr("band_b <= band_a"), F.col("bits_b")).otherwise(F.col("bits_below_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             most = batch.column(2).to_pylist()
             keep = [
                 7 * (int.from_bytes(p, "little") ^ int.from_bytes(q, "little")).bit_count() <= n
@@ -226,7 +228,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = pairs.join(own, "b").join(hub, "a")  # as in _near: the hub is met where its pairs are
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 256):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
