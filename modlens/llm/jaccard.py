@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from modlens.llm.common import forget_others, pieces, saved, with_arrow, with_class
@@ -39,7 +39,8 @@ COUNTERS = 1 << 18
 BAND = 4
 #: Bands whose sets are small have a part for every hash.
 SINGLE = 64
-TILE = 256
+#: Sets in a tile, about; a tile is compared in one task.
+TILE = 1024
 #: Bits of a sketch at least: the more there are per element, the closer is their distance to the symmetric difference.
 LEAST_BITS = 4096
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -242,18 +243,37 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _across(mixed: DataFrame) -> DataFrame:
     """Pairs of members of a word's different components whose bits are close enough; compared tile by tile.
 
-    Tiles are dealt by the member's hash; a member meets every tile of its word.
+    Members are dealt by set size, in steps of more than 4 / 3, and within a step by hash into tiles: linked sets lie in the same
+    step or in neighbouring ones, so a member meets the tiles of these only.
     """
-    size = mixed.groupBy("word").agg(F.count(F.lit(1)).alias("k")).select("word", F.greatest(F.lit(1), F.ceil(F.col("k") / TILE)).cast("int").alias("tiles"))
-    tiled = mixed.join(size, "word").withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    # tile t meets every tile u: as (t, u) with t <= u
-    placed = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")).select(
-        "word", "node", "root", "n", "band", "bits", "bits_below", "tile", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y")
+    # the step is a little longer than 4 / 3, so no rounding of the logarithm parts linked sets by two steps
+    steps = mixed.withColumn("step", F.floor(F.ln("n") / F.lit(float(np.log(1.35)))).cast("int"))
+    sizes = steps.groupBy("word", "step").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    shape = sizes.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("step", "tiles"))).alias("tiles"))  # some sixty steps at most
+    own = F.element_at("tiles", F.col("step"))
+    tiled = steps.join(shape, "word").withColumn("tile", F.pmod(F.xxhash64("node"), own).cast("int"))
+
+    def against(step: Column, place) -> Column:
+        """A pair of tiles for every tile of a step, none where the word has no such step."""
+        there = F.coalesce(F.try_element_at("tiles", step), F.lit(0))
+        return F.transform(F.when(there > 0, F.sequence(F.lit(0), there - 1)).otherwise(F.array().cast("array<int>")), place)
+
+    def pair(a: Column, x: Column, b: Column, y: Column) -> Column:
+        return F.struct(a.cast("int").alias("a"), x.cast("int").alias("x"), b.cast("int").alias("b"), y.cast("int").alias("y"))
+
+    step, tile = F.col("step"), F.col("tile")
+    meets = F.concat(
+        against(step, lambda o: pair(step, F.least(tile, o), step, F.greatest(tile, o))),
+        against(step + 1, lambda o: pair(step, tile, step + 1, o)),
+        against(step - 1, lambda o: pair(step - 1, o, step, tile)),
     )
+    placed = tiled.select("word", "node", "root", "n", "band", "bits", "bits_below", "step", "tile", F.explode(meets).alias("p"))
+    placed = placed.select("*", "p.*").drop("p")
 
     def run(key, rows):
-        x, y = key[1].as_py(), key[2].as_py()
-        tile, root, n, node, band = (rows[c].to_numpy() for c in ("tile", "root", "n", "node", "band"))
+        first, second = (key[1].as_py(), key[2].as_py()), (key[3].as_py(), key[4].as_py())
+        step, tile, root, n, node, band = (rows[c].to_numpy() for c in ("step", "tile", "root", "n", "node", "band"))
+        left, right = ((step == s) & (tile == t) for s, t in (first, second))
         own, below = rows["bits"].to_pylist(), rows["bits_below"].to_pylist()
         found = []
         for b in np.unique(band).tolist():
@@ -261,10 +281,10 @@ def _across(mixed: DataFrame) -> DataFrame:
             at = np.array([i for i, _ in has])
             packed = np.stack([np.frombuffer(v, np.uint8) for _, v in has])
             for p, i in enumerate(at.tolist()):
-                if tile[i] != x:
+                if not left[i]:
                     continue
-                theirs = (tile[at] == y) & (root[at] != root[i])
-                if x == y:
+                theirs = right[at] & (root[at] != root[i])
+                if first == second:
                     theirs &= at > i
                 theirs &= (4 * n[at] >= 3 * n[i]) & (3 * n[at] <= 4 * n[i])
                 q = np.flatnonzero(theirs)
@@ -274,7 +294,7 @@ def _across(mixed: DataFrame) -> DataFrame:
                         found.append((min(node[i], node[j]), max(node[i], node[j])))
         return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
 
-    return placed.groupBy("word", "x", "y").applyInArrow(run, "a bigint, b bigint")
+    return placed.groupBy("word", "a", "x", "b", "y").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -131,3 +131,31 @@ def test_near_copies_without_key(spark):
         assert len({r["root"] for r in found}) == 1
         kept = jaccard.keep_one(spark.createDataFrame(some, "doc_id bigint, text string").repartition(3)).collect()
         assert [r["doc_id"] for r in kept] == [1]
+
+
+def test_tiles_lose_no_pair_of_a_word(spark, monkeypatch):
+    """Members of one word in very many small tiles: every pair whose sizes and bits allow a link comes out, and no other."""
+    rng = random.Random(21)
+    monkeypatch.setattr(jaccard, "TILE", 3)
+    import numpy as np
+
+    base = np.random.default_rng(5).integers(0, 2**64, 4000, np.uint64)
+    sets = []
+    for i in range(90):
+        n = rng.choice([1, 2, 3, 4, 5, 7, 8, 12, 15, 16, 17, 60, 64, 80, 300])
+        start = rng.randrange(3) * 400
+        own = np.unique(np.concatenate([base[start : start + n], np.random.default_rng(i).integers(0, 2**64, n // 6, np.uint64)]))
+        bands = jaccard.bands(len(own))
+        sets.append((1, i, i % 40, len(own), bands[0][0], jaccard.sketch_bits(own, bands[0][1]), jaccard.sketch_bits(own, bands[1][1]) if len(bands) > 1 else None))
+    mixed = spark.createDataFrame(sets, "word bigint, node bigint, root bigint, n bigint, band int, bits binary, bits_below binary")
+    got = {tuple(r) for r in jaccard._across(mixed).distinct().collect()}
+    want = set()
+    for x in sets:
+        for y in sets:
+            if x[1] < y[1] and x[2] != y[2] and 4 * min(x[3], y[3]) >= 3 * max(x[3], y[3]):
+                for p, q in ((x, y), (y, x)):
+                    ours, theirs = (p[5], q[5]) if p[4] == q[4] else (p[5], q[6]) if p[4] + 1 == q[4] else (None, None)
+                    if ours and theirs and 7 * (int.from_bytes(ours, "little") ^ int.from_bytes(theirs, "little")).bit_count() <= x[3] + y[3]:
+                        want.add((x[1], y[1]))
+    assert want <= got and len(want) > 20
+    assert all(4 * min(sets[a][3], sets[b][3]) >= 3 * max(sets[a][3], sets[b][3]) and sets[a][2] != sets[b][2] for a, b in got)
