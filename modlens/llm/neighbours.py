@@ -26,7 +26,7 @@ TREES = 8
 #: Vectors of the sample in a leaf at least.
 LEAF = 256
 #: Leaves a query visits, over all trees: the first of these by which so many of the sample's own neighbours are found.
-VISITS = (16, 24, 32, 48, 64, 80, 96, 112, 128, 160, 192, 256, 320, 384, 512, 768, 1024)
+VISITS = (80, 96, 112, 128, 160, 192, 256, 320, 384, 512, 768, 1024)
 RECALL = 0.93
 #: Vectors of the sample that are searched for among all of it to measure that.
 PROBES = 200
