@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from modlens.functions.lexicon import WORD_CLASS
 
-# Unicode white space and the emoji ranges removed from text.
+# A link with its text, Unicode white space, and the emoji ranges removed from text.
+MARKDOWN_LINK = r"\[([^\]]+)\]\([^)]+\)"
 SPACE_CHARS = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
@@ -31,7 +32,6 @@ EMOJI_RANGES = {
 SPACES = f"[{SPACE_CHARS}]+"
 URL = f"https?://[^{SPACE_CHARS}]+"
 MENTION = f"@{WORD_CLASS}+"
-MARKDOWN_LINK = r"\[([^\]]+)\]\([^)]+\)"
 TOKEN = f"{WORD_CLASS}{{2,}}"
 
 # A short list of English function words; callers pass another for other needs.

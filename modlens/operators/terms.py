@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,6 +20,12 @@ from modlens.functions.lexicon import TOXIC_LABELS
 from modlens.session import stored_table
 
 
+def read_stop_words(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Stop words from a text file of one word per line, in lower case; blank lines and lines that begin with ``#`` are left out."""
+    lines = spark.read.text(path).select(F.lower(F.trim("value")).alias("word")).filter("word <> '' AND NOT startswith(word, '#')")
+    return tuple(r["word"] for r in lines.distinct().orderBy("word").collect())  # a word list, not data
+
+
 #: counters of the table, as a power of two; its bits are sent to all tasks, 1 MB
 COUNTER_BITS = 23
 #: counters that are merged as one row

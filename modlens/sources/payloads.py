@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from modlens.functions import text as tx
 from modlens.functions.once import evaluate_once
 from modlens.operators.corpus import keep_first
+from modlens.session import stored_table
 
 # Keys under which services put their record list, in order of trust.
 LIST_KEYS = ("posts", "comments", "results", "items")
@@ -115,7 +116,7 @@ def posts_with_comments(
     Posts without a ``link`` are left out, with their comments.  An id counts once: of a repeated comment id the first row is
     taken and then measured, of repeated posts without comments the first that has ``min_words``.  "First" follows the
     order columns, then the row's digest.  ``comments`` points to its post by ``post_id``.  A busy post may own a large part of
-    all comments: adaptive execution splits its side of the join.
+    all comments: the posts are stored first, so that both sides of the join are plain shuffles and adaptive execution can split it.
     """
 
     def first(df: DataFrame, key: str, order) -> DataFrame:
@@ -124,9 +125,10 @@ def posts_with_comments(
     linked = posts.filter((F.coalesce("link", F.lit("")) != "") & (F.coalesce("post_id", F.lit("")) != ""))
     named = comments.filter(F.coalesce("comment_id", F.lit("")) != "")
     own = linked.select("post_id", "title", "subreddit")
+    owners = stored_table(first(linked, "post_id", post_order).select(own.columns), "posts")
     talk = (
         first(named, "comment_id", comment_order)
-        .join(first(linked, "post_id", post_order).select(own.columns), "post_id")
+        .join(owners, "post_id")
         .select(F.col("comment_id").alias("id"), F.col("body").alias("_text"), "subreddit", "title", "score", "created_utc")
     )
     alone = linked.join(comments.select("post_id").distinct(), "post_id", "left_anti").select(

@@ -316,6 +316,14 @@ def test_terms_need_no_shuffle_after_explode(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_stop_words_from_a_file(spark, tmp_path):
+    (tmp_path / "words.txt").write_text("# a list\nThe\n\n  cat \nthe\n")
+    assert terms.read_stop_words(spark, str(tmp_path / "words.txt")) == ("cat", "the")
+    df = spark.createDataFrame([(1, "The cat sat")], "id int, text_clean string")
+    found = terms.term_counts(df, "id", stop_words=terms.read_stop_words(spark, str(tmp_path / "words.txt")))
+    assert [r.term for r in found.collect()] == ["sat"]
+
+
 def test_rare_terms_are_not_shuffled(spark, monkeypatch):
     """The vocabulary is the same with and without the counters, also where very many terms share one."""
     df = spark.range(400).select("id", F.expr("concat('common pair ', id % 7, ' rare', id, ' once', id * 31, ' pair')").alias("text_clean")).repartition(5)
