@@ -77,7 +77,8 @@ def frequent_pages(words: DataFrame, min_df: int) -> DataFrame:
 
     terms = F.array_distinct(tx.unigrams_and_bigrams(F.col("words")))
     hashed = words.select(F.transform(terms, lambda t: F.pmod(F.xxhash64(t), F.lit(1 << COUNTER_BITS)).cast("int")).alias("at"))
-    counted = hashed.where(F.size("at") > 0).mapInArrow(count, "page bigint, counters binary")
+    # no filter here: it would be pushed below, and the terms made twice
+    counted = hashed.mapInArrow(count, "page bigint, counters binary")
     return counted.repartition("page").mapInArrow(merge, "page bigint, bits array<bigint>")
 
 
@@ -98,11 +99,11 @@ def term_counts(df: DataFrame, doc: str, text: str = "text_clean", stop_words=tx
 def corpus_vocabulary(
     df: DataFrame, doc: str, text: str = "text_clean", min_df: int = 3, max_terms: int = 10_000, stop_words=tx.STOP_WORDS
 ) -> DataFrame:
-    """:func:`vocabulary` of a corpus, without a shuffle of the terms that are surely too rare; ``doc`` must not be null.
+    """:func:`vocabulary` of a corpus, without a shuffle of the terms that are surely too rare.
 
-    The texts are cut into words twice, once to fill the counters.
+    The words are stored: they are read twice, once to fill the counters.
     """
-    words = _words(df, doc, text, stop_words)
+    words = stored_table(_words(df, doc, text, stop_words), "words")
     return vocabulary(_counts(words, pages=frequent_pages(words, min_df)), min_df, max_terms)
 
 
