@@ -26,6 +26,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a :func:`saved` table that nothing reads any more."""
+    spark = df.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    root = checkpoint_dir(spark).rstrip("/").removeprefix("file://").removeprefix("file:")
+    for folder in folders:
+        if root in folder:  # only what lies in the folder for working tables
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole_text(column: str) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modlens.llm.common import forget_others, pieces, saved, with_arrow, with_class
+from modlens.llm.common import discard, forget_others, pieces, saved, with_arrow, with_class
 from modlens.llm.graph import components
 
 WORDS = 5
@@ -327,7 +327,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     size_fits = "4 * least(n, hub.n) >= 3 * greatest(n, hub.n)"
     near = saved(_near(shared.where(size_fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), bits), "star-candidates")
     ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    links = saved(_linked(near, sets_of(ends, "star-sets")), "star-links")
+    star_sets = sets_of(ends, "star-sets")
+    links = saved(_linked(near, star_sets), "star-links")
+    discard(star_sets)
+    discard(near)
     root = components(links)
 
     def apart(members: DataFrame) -> DataFrame:
@@ -338,6 +341,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     # the hubs are compared with everyone; other hubs follow, as long as that joins components, and then the rest in tiles
     members = apart(shared.select("word", "n", "node"))
+    discard(shared)
     left = members.count()
     if left:
         sets = sets_of(members.select("node").distinct(), "member-sets")
@@ -347,17 +351,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             pick = F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).over(word)
             dealt = members.withColumn("hub", pick).where("node <> hub.node")
             pairs = dealt.where(f"root <> hub.root AND {size_fits}").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
+            past = links, members
             links = saved(links.unionByName(_linked(_near(pairs.distinct(), bits), sets)), "links")
             root = components(links)
             members = apart(dealt.select("word", "n", "node"))
+            for table in past:
+                discard(table)
             before, left = left, members.count()
             if left > 0.8 * before:
                 break
         alike = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("node").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", F.lit(1))))
         words = members.groupBy("word").agg(alike.alias("members")).groupBy("members").agg(F.min("word").alias("word")).select("word")
         mixed = members.join(words, "word").join(bits.drop("n"), "node")
+        past = links, members, sets
         links = saved(links.unionByName(_linked(_across(mixed).distinct(), sets)), "links")
         root = components(links)
+        for table in past:
+            discard(table)
 
     least = root.join(first, "node").groupBy("root").agg(F.min("first").alias("component"))
     named = root.join(least, "root").select("node", "root", "component")
