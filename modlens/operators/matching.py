@@ -2,7 +2,8 @@
 
 A pattern made of all words (see :mod:`modlens.functions.lexicon`) gets slower with every word.  Here each word is filed under
 the rarest of its short character runs; a text's own runs, each taken once, fetch the words filed under them, and only these are
-looked for in the text.  The time goes with the texts' length, hardly with the number of words.
+looked for in the text.  Words that must stand alone are fetched by the text's own words.  The time goes with the texts' length,
+hardly with the number of words.
 """
 
 from __future__ import annotations
@@ -23,17 +24,9 @@ BLOCK_WORDS = 1_000_000
 
 
 def _runs(text: Column, sizes: list[int]) -> Column:
-    """Different runs of the given sizes, of a text without a line of its characters being read twice."""
-    chars = F.split(text, "")
-
-    def of(size: int) -> Column:
-        made = chars
-        for i in range(1, size):
-            rest = F.slice(chars, F.lit(i + 1), F.greatest(F.size(chars) - i, F.lit(0)))
-            made = F.zip_with(F.slice(made, F.lit(1), F.greatest(F.size(chars) - i, F.lit(0))), rest, lambda a, b: F.concat(a, b))
-        return made
-
-    return F.array_distinct(F.concat(*(of(s) for s in sizes)))
+    """Different runs of the given sizes; the pattern looks ahead, so every character begins one."""
+    found = (F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)) for size in sizes)
+    return F.array_distinct(F.concat(*found))
 
 
 def filed_words(lexicon: DataFrame, word: str = "keyword") -> DataFrame:
@@ -56,20 +49,32 @@ def match_lexicon(df: DataFrame, lexicon: DataFrame, text: str = "text", word: s
     Case is ignored, overlapping words are all found, a word counts once however often it occurs.  Where ``whole_word`` is true
     it must stand alone.  Null and empty texts match nothing; repeated rows on either side are rows of their own.  Columns must
     not clash.  No text is shuffled: the words go to the texts, in blocks of ``BLOCK_WORDS``.
+
+    A word of letters and digits that must stand alone is one of the text's own words, and is found by these without being
+    looked for in the text.
     """
-    filed = stored_table(filed_words(lexicon, word), "filed-words")
-    about = filed.agg(F.count("*").alias("n"), F.collect_set(F.char_length("_run")).alias("sizes")).first()  # RUN sizes at most
-    if not about["n"]:
+    filed = filed_words(lexicon, word)
+    whole = F.coalesce(F.col(whole_word), F.lit(False))
+    filed = stored_table(filed.withColumn("_own", whole & F.rlike("_word", F.lit(rf"\A{WORD_CLASS}+\z"))), "filed-words")
+    about = {r["_own"]: r for r in filed.groupBy("_own").agg(F.count("*").alias("n"), F.collect_set(F.char_length("_run")).alias("sizes")).collect()}  # RUN sizes at most
+    if not about:
         return df.crossJoin(lexicon.limit(0))
-    blocks = math.ceil(about["n"] / BLOCK_WORDS)
     texts = df.withColumn("_text", folded(F.col(text))).where("_text <> ''")
-    runs = texts.select("*", F.explode(_runs(F.col("_text"), sorted(about["sizes"]))).alias("_run"))
     quoted = F.replace("_word", F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
     alone = F.rlike("_text", F.concat(F.lit(rf"(?<!{WORD_CLASS})\Q"), quoted, F.lit(rf"\E(?!{WORD_CLASS})")))
-    found = F.contains("_text", "_word") & (~F.coalesce(F.col(whole_word), F.lit(False)) | alone)
     out = None
-    for block in range(blocks):
-        some = filed if blocks == 1 else filed.where(F.pmod(F.xxhash64("_word"), F.lit(blocks)) == block)
-        part = runs.join(F.broadcast(some), "_run").where(found).select(*df.columns, *lexicon.columns)
-        out = part if out is None else out.unionByName(part)
+    for own, counted in about.items():
+        if own:
+            parts = F.array_distinct(F.regexp_extract_all("_text", F.lit(f"{WORD_CLASS}+"), F.lit(0)))
+            key, found = "_word", F.lit(True)
+        else:
+            parts = _runs(F.col("_text"), sorted(counted["sizes"]))
+            key, found = "_run", F.contains("_text", "_word") & (~whole | alone)
+        cut = texts.select("*", F.explode(parts).alias(f"_of{key}"))
+        blocks = math.ceil(counted["n"] / BLOCK_WORDS)
+        for block in range(blocks):
+            some = filed.where(F.col("_own") == own)
+            some = some if blocks == 1 else some.where(F.pmod(F.xxhash64("_word"), F.lit(blocks)) == block)
+            part = cut.join(F.broadcast(some), F.col(f"_of{key}") == F.col(key)).where(found).select(*df.columns, *lexicon.columns)
+            out = part if out is None else out.unionByName(part)
     return out

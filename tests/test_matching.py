@@ -66,3 +66,13 @@ def test_time_hardly_grows_with_the_words(spark):
         took[n] = time.perf_counter() - start
     texts.unpersist()
     assert took[100_000] < 5 * took[200] + 2, took  # five hundred times the words
+
+
+def test_words_that_stand_alone_are_not_looked_for_one_by_one(spark):
+    names = [f"w{i}x" for i in range(40_000)]
+    lexicon = spark.createDataFrame([(w, True) for w in names] + [("w1x\n", True), ("W2X", True)], "keyword string, whole_word boolean")
+    text = spark.createDataFrame([(0, " ".join(names)), (1, "w1x"), (2, "w1xé w1_x"), (3, "a w1x\n")], "id int, text string")
+    start = time.perf_counter()
+    got = matching.match_lexicon(text, lexicon).groupBy("id").count().collect()
+    assert {r["id"]: r["count"] for r in got} == {0: 40_001, 1: 1, 3: 2}
+    assert time.perf_counter() - start < 25  # one look at the long text for each word took minutes
