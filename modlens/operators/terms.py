@@ -7,6 +7,7 @@ stand in too few documents is dropped before the shuffle by term; what it lets t
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ def read_stop_words(spark: SparkSession, path: str) -> tuple[str, ...]:
 COUNTER_BITS = 23
 #: counters that are merged as one row
 PAGE_BITS = 15
+#: words of the documents that one task counts: their terms fit the memory of a task, so that they are not written to disk
+TASK_WORDS = 400_000
 
 
 def _words(df: DataFrame, doc: str, text: str, stop_words, extra=()) -> DataFrame:
@@ -37,7 +40,9 @@ def _words(df: DataFrame, doc: str, text: str, stop_words, extra=()) -> DataFram
 
 
 def _counts(words: DataFrame, extra=(), pages: DataFrame | None = None) -> DataFrame:
-    placed = words.select("doc", *extra, "words").repartition("doc")
+    # a number of tasks by size: partitions of a size in bytes hold more terms than fit a task's memory
+    tasks = math.ceil((words.agg(F.sum(F.size("words"))).first()[0] or 0) / TASK_WORDS)
+    placed = words.select("doc", *extra, "words").repartition(max(tasks, 1), "doc")
     terms = placed.select("doc", *extra, F.explode(tx.unigrams_and_bigrams(F.col("words"))).alias("term"))
     if pages is not None:
         place = F.pmod(F.xxhash64("term"), F.lit(1 << COUNTER_BITS))

@@ -316,6 +316,20 @@ def test_terms_need_no_shuffle_after_explode(spark):
     assert plan.count("Exchange") == 1
 
 
+def test_terms_are_counted_by_more_tasks_where_there_are_more_words(spark, monkeypatch):
+    monkeypatch.setattr(terms, "TASK_WORDS", 100)
+    rows = [(i % 90 if i % 7 else None, "cat dog cat bird") for i in range(100)]
+    counted = terms.term_counts(spark.createDataFrame(rows, "id int, text_clean string"), "id")
+    assert counted.rdd.getNumPartitions() == 4
+    got = {(r.doc, r.term): r.tf for r in counted.collect()}
+    want = {}
+    for doc, text in rows:
+        words = text.split()
+        for term in [*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))]:
+            want[doc, term] = want.get((doc, term), 0) + 1
+    assert got == want
+
+
 def test_stop_words_from_a_file(spark, tmp_path):
     (tmp_path / "words.txt").write_text("# a list\nThe\n\n  cat \nthe\n")
     assert terms.read_stop_words(spark, str(tmp_path / "words.txt")) == ("cat", "the")
