@@ -30,6 +30,8 @@ PARSER = {"escape": '"', "multiLine": "true"}
 #: what a cut piece of text is
 WHOLE, END, BEGINNING, MIDDLE = range(4)
 MARK = "\ufeff"
+#: lines that are made into Python's texts at once, and characters of records (or one record) that are given back at once
+HELD_LINES, HELD_CHARS = 512, 1 << 20
 
 
 def ends_inside(line: str, inside: bool) -> bool:
@@ -96,12 +98,14 @@ def read_csv(spark: SparkSession, path: str | list[str], path_column: str | None
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: list[tuple] = []
+        chars = 0
         for key, part, held, row in _cut(batches, inside, heads):
             if part == WHOLE:
                 made.append((of_range[key], "\n".join(held).removesuffix("\r"), *row))
-            if len(made) >= 4096:
+                chars += len(made[-1][1])
+            if len(made) >= 4096 or chars >= HELD_CHARS:
                 yield _batch(made, schema_names)
-                made = []
+                made, chars = [], 0
         yield _batch(made, schema_names)
 
     schema_names = ["grp", "record", *beside]
@@ -131,6 +135,12 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
             yield int(ranges[a]), batch.slice(a, b - a)
 
 
+def _texts(column: pa.Array) -> Iterator[str]:
+    """A column's texts, few of them as Python's at a time."""
+    for at in range(0, len(column), HELD_LINES):
+        yield from column.slice(at, HELD_LINES).to_pylist()
+
+
 def _survey(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per range of lines: its file and start, how it ends from either state, and the file's first record if it is there."""
     names = ["range", "path", "start", "from_outside", "from_inside", "header"]
@@ -150,7 +160,7 @@ def _survey(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 now = [key, rows.column(2)[0].as_py(), rows.column(3)[0].as_py(), False, True, []]
                 reading = now[2] == 0
             if reading:
-                for i, line in enumerate(rows.column(1).to_pylist()):
+                for i, line in enumerate(_texts(rows.column(1))):
                     if now[5] or line.strip("\r" + MARK):
                         now[5].append(line)
                         now[3] = ends_inside(line.removeprefix(MARK) if len(now[5]) == 1 else line, now[3])
@@ -159,7 +169,7 @@ def _survey(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             break
                 if reading:
                     continue
-            for line in rows.column(1).filter(pc.match_substring(rows.column(1), '"')).to_pylist():
+            for line in _texts(rows.column(1).filter(pc.match_substring(rows.column(1), '"'))):
                 same = now[3] == now[4]
                 now[3] = ends_inside(line, now[3])
                 # a file does not begin inside a cell
@@ -183,7 +193,7 @@ def _cut(batches: Iterable[pa.RecordBatch], begins_inside: dict[int, bool], head
                 key, inside, held, head = now, begins_inside[now], [], now in heads
                 part = END if inside else WHOLE
                 extra = [c[0].as_py() for c in rows.columns[2:]]
-            for line in rows.column(1).to_pylist():
+            for line in _texts(rows.column(1)):
                 if '"' in line:
                     inside = ends_inside(line.removeprefix(MARK) if head and not held else line, inside)
                 held.append(line)

@@ -128,3 +128,26 @@ def test_partition_folders(spark, tmp_path, small_ranges):
     got = delimited.read_csv(spark, str(tmp_path))
     assert got.columns == ["id", "text", "split"]
     assert {(r.split, r["count"]) for r in got.where("startswith(id, split) and length(text) = 90").groupBy("split").count().collect()} == {("a b", 50), ("c", 50)}
+
+
+def test_few_lines_are_held_at_a_time(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(delimited, "HELD_LINES", 3)
+    taken = []
+
+    class Column:
+        def __len__(self):
+            return 8
+
+        def slice(self, at, n):
+            taken.append((at, n))
+            return pa.array([f"{i}" for i in range(at, min(at + n, 8))])
+
+    texts = delimited._texts(Column())
+    assert next(texts) == "0" and taken == [(0, 3)]
+    assert list(texts) == [f"{i}" for i in range(1, 8)] and len(taken) == 3
+    monkeypatch.setattr(delimited, "HELD_CHARS", 20)
+    rows = [(f"{i}", "x" * (i % 30) + '\n"y"') for i in range(200)]
+    (tmp_path / "a.csv").write_text("id,text\n" + "".join('{},"{}"\n'.format(i, t.replace('"', '""')) for i, t in rows))
+    assert sorted(map(tuple, delimited.read_csv(spark, str(tmp_path)).collect())) == sorted(rows)
