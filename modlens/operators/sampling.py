@@ -118,7 +118,8 @@ def annotation_splits(
     (null counts as a key), in an independent order, and cut into three contiguous batches; the
     last takes the remainder.
     """
-    pool = _flagged(df, text, flag, lexicon)
+    # read four times below, twice for each draw: stored, so that the texts are searched only once
+    pool = stored_table(_flagged(df, text, flag, lexicon), "flagged-pool")
     half = iaa_size // 2
     # a few hundred rows that are read three times: stored, so that the corpus is not searched again each time
     iaa = stored_table(first_by_hash(pool, keys, {True: half, False: half}, seed, stratum=flag), "agreement-batch")

@@ -110,6 +110,13 @@ def test_splits_are_disjoint_and_sized(flagged):
     assert rest.count() == 1000
 
 
+def test_splits_search_the_texts_once(spark):
+    texts = spark.createDataFrame([(i, "noob" if i % 3 else "fine") for i in range(60)], "id int, text_clean string")
+    splits = sampling.annotation_splits(texts, ["id"], iaa_size=10, total_size=25)
+    assert "RLIKE" not in splits._jdf.queryExecution().optimizedPlan().toString().upper()
+    assert Counter(r.split for r in splits.collect()) == {"iaa": 10, "batch_1": 5, "batch_2": 5, "batch_3": 5}
+
+
 def test_head_and_shuffle(spark):
     assert [r.id for r in sampling.head_rows(spark.range(9), ["id"], 2).collect()] == [0, 1]
     assert sampling.head_rows(spark.range(9), ["id"], 0).count() == 9
