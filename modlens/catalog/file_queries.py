@@ -208,8 +208,9 @@ def stream_moderation(spark, d):
     """Every text in several micro-batches: scores, labels, severity and advice, and whether it is among the alerts."""
     docs = cleaned(spark, d).select("doc_id", "text_clean")
     folder, out = shared_folder(spark, "texts"), shared_folder(spark, "moderated")
-    docs.repartition(3).write.parquet(folder)
-    source = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    cores = spark.sparkContext.defaultParallelism  # a micro-batch has a file for each of them, not one for all
+    docs.repartition(3 * cores).write.parquet(folder)
+    source = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", cores).parquet(folder)
     stream = live.moderated(source, "text_clean")
     live.start_moderation(stream, out, f"{out}-state", name=f"q{uuid.uuid4().hex}").awaitTermination()
     rows, alerts = live.read_moderation(spark, out, stream.schema)

@@ -138,6 +138,18 @@ def test_stream_trend(spark, tmp_path):
     assert got == [("2024-01-07", 1, 0.0), ("2024-01-14", 2, 0.5)]
 
 
+def test_stream_moderation_gives_every_core_a_file(spark, monkeypatch, tmp_path):
+    from modlens.catalog import file_queries
+
+    monkeypatch.setattr(file_queries, "shared_folder", lambda spark, name: f"{tmp_path}/{name}")
+    docs = spark.createDataFrame([(i, "you noob" if i % 4 else "well played", "s") for i in range(400)], "doc_id bigint, text string, source string")
+    docs.write.parquet(f"{tmp_path}/in/documents.parquet")
+    rows = file_queries.stream_moderation(spark, f"{tmp_path}/in").collect()
+    assert sorted(r.doc_id for r in rows) == list(range(400)) and all(r.alerted == r.is_toxic for r in rows)
+    assert len(list((tmp_path / "texts").glob("part-*.parquet"))) == 3 * spark.sparkContext.defaultParallelism
+    assert len([p for p in (tmp_path / "moderated" / "_commits").iterdir() if p.name.isdigit()]) == 3
+
+
 def test_stream_moderation(spark, tmp_path):
     src = tmp_path / "src"
     df = spark.createDataFrame([(1, "ggez you bot"), (2, "hello there")], "id int, text string")
