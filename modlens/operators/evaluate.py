@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from modlens.functions.scores import known_score
+from modlens.session import stored_table
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -64,7 +65,8 @@ def training_report(runs: DataFrame, model: str | None = None) -> DataFrame:
 
     ``runs`` holds evaluation rows with ``model``, ``run_id`` and ``run_ts``.
     """
-    rows = runs if model is None else runs.filter(F.col("model") == model)
+    # a few rows per run that are read twice: stored, so that what they are counted from is not read again
+    rows = stored_table(runs if model is None else runs.filter(F.col("model") == model), "runs")
     latest = rows.groupBy("model").agg(F.max_by("run_id", F.struct("run_ts", "run_id")).alias("run_id"))
     return rows.join(latest, ["model", "run_id"])
 

@@ -117,6 +117,14 @@ def test_splits_search_the_texts_once(spark):
     assert Counter(r.split for r in splits.collect()) == {"iaa": 10, "batch_1": 5, "batch_2": 5, "batch_3": 5}
 
 
+def test_training_report_counts_its_runs_once(spark):
+    runs = spark.range(1000).groupBy((F.col("id") % 4).alias("k")).agg(F.count("*").alias("tp"))
+    runs = runs.select(F.lit("m").alias("model"), F.concat(F.lit("r"), "k").alias("run_id"), F.col("k").alias("run_ts"), "tp")
+    report = evaluate.training_report(runs)
+    assert "Range (" not in report._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in report.select("model", "run_id", "tp").collect()] == [("m", "r3", 250)]
+
+
 def test_head_and_shuffle(spark):
     assert [r.id for r in sampling.head_rows(spark.range(9), ["id"], 2).collect()] == [0, 1]
     assert sampling.head_rows(spark.range(9), ["id"], 0).count() == 9
