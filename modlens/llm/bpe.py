@@ -5,14 +5,18 @@ buckets, one per rank, that hold positions of a linked list; a bitmap in two lev
 256 ranks and one bit per word, says which buckets hold anything, so the next rank is found by two
 find-first-set steps whatever the length.  Entries are not removed when a neighbour's merge changes a pair: they
 are recognised as stale when they come up.  A run of n bytes takes O(n log n) steps at most.
+
+Short matches, nearly all, are merged many at a time instead: each is a column of arrays, and every turn merges in each column
+its least pair.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+import string
 import struct
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from heapq import heappop, heappush
 from itertools import accumulate
 
@@ -24,11 +28,18 @@ from pyspark.sql import DataFrame
 
 from modlens.llm.common import forget_others, memory_of, with_arrow
 
-#: Runs remembered by one Python worker in each of two generations; what falls out is merged again, which changes no result.
-REMEMBERED = 250_000
+#: Runs remembered by one Python worker; when they are more, those of the texts at hand are kept.  The others are merged again, which
+#: changes no result.
+REMEMBERED = 200_000
+#: Texts encoded together; pre-tokens of SHORT bytes at most are merged side by side, so many at a time, unless they are FEW.
+TOGETHER = 128
+SHORT, SIDE_BY_SIDE, FEW = 64, 4096, 32
+ROW_BITS = 7
+LETTERS = frozenset(" " + string.ascii_letters)
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Runs that the usual split pattern (letters, digits, other signs, each with one space before, or white space) never crosses.
-RUNS = f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
+#: Words before a sign that none of its matches adds to letters are runs of their own.
+RUNS = f" ?[A-Za-z]+(?=[ .,;:!?\n])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -62,29 +73,47 @@ WORD_BITS = 8
 BITS = [1 << i for i in range(1 << WORD_BITS)]
 
 
-class _Memory(dict):
-    """Packed ids by piece of text, made by ``make``; the older generation is dropped when the younger is full."""
-
-    def __init__(self, make: Callable[[str], bytes]):
-        self.make, self.older = make, {}
-
-    def __missing__(self, run: str) -> bytes:
-        ids = self.older.get(run)
-        if ids is None:
-            ids = self.make(run)
-        if len(run) <= 64:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[run] = ids
-        return ids
+class _Pairs:
+    """Rank of the token that two tokens make, for many pairs at a time: open addressing, -1 where there is none."""
+
+    def __init__(self, tokens: list[bytes], rank: dict[bytes, int]):
+        found = [
+            (rank[t[:k]], rank[t[k:]], i) for i, t in enumerate(tokens) if rank[t] == i for k in range(1, len(t)) if t[:k] in rank and t[k:] in rank
+        ]
+        a, b, joined = np.array(found, np.int64).reshape(-1, 3).T
+        self.n, self.bits = len(tokens), max(8, (4 * len(found)).bit_length())
+        self.mask = (1 << self.bits) - 1
+        self.keys, self.ranks = np.full(1 << self.bits, -1), np.full(1 << self.bits, -1, np.int32)
+        key = a * self.n + b
+        slot, left = self._slots(key), np.arange(len(key))
+        while len(left):
+            free = left[self.keys[slot[left]] < 0]
+            self.keys[slot[free]] = key[free]  # of several one stays
+            left = left[self.keys[slot[left]] != key[left]]
+            slot[left] = (slot[left] + 1) & self.mask
+        self.ranks[slot] = joined
+
+    def _slots(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a.astype(np.int64) * self.n + b
+        slot = self._slots(key)
+        there = self.keys[slot]
+        left = np.flatnonzero((there != key) & (there >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.mask
+            there = self.keys[slot[left]]
+            left = left[(there != key[left]) & (there >= 0)]
+        return self.ranks[slot]
 
 
 class Codec:
     """Encoder and decoder for one vocabulary.
 
     ``runs`` is a pattern that covers every text and whose matches ``pattern`` never crosses; only
-    the ids of such runs are remembered.  Without it every match of ``pattern`` is a run.
+    the ids of such runs are remembered.  A run of ASCII letters, with one space before or none, must be one match.
+    Without it every match of ``pattern`` is a run.
     """
 
     def __init__(self, tokens: list[bytes], pattern: str, runs: str | None = None):
@@ -100,8 +129,9 @@ class Codec:
         # the queue of merge(), empty between calls: positions by rank, and a bit for every rank that holds any
         self.buckets: dict[int, int | list[int]] = {}
         self.words = [0] * ((len(tokens) >> WORD_BITS) + 1)
-        self.pieces = _Memory(lambda piece: self.merge(piece.encode("utf-8")))
-        self.memory = _Memory(lambda run: b"".join(map(self.pieces.__getitem__, self.split(run)))) if runs else self.pieces
+        self.first_ids = np.array(self.byte_ids, np.int32)
+        self.pairs = _Pairs(tokens, self.rank)
+        self.memory: dict[str, bytes] = {}
 
     def split(self, text: str) -> list[str]:
         """Pre-tokens of a text."""
@@ -186,9 +216,94 @@ class Codec:
         kept = [i for i in ids if i >= 0]
         return struct.pack(f"={len(kept)}i", *kept)
 
+    def merge_many(self, pieces: list[bytes]) -> list[bytes]:
+        """The same for many pre-tokens: short ones of like length are merged side by side, one merge in each of them per turn."""
+        out = [b""] * len(pieces)
+        short = []
+        for i, piece in enumerate(pieces):
+            whole = self.rank.get(piece)
+            if whole is not None:
+                out[i] = _PACK(whole)
+            elif len(piece) > SHORT:
+                out[i] = self.merge(piece)
+            else:
+                short.append(i)
+        if len(short) < FEW:
+            for i in short:
+                out[i] = self.merge(pieces[i])
+            return out
+        short.sort(key=lambda i: len(pieces[i]))
+        for at in range(0, len(short), SIDE_BY_SIDE):
+            here = short[at : at + SIDE_BY_SIDE]
+            for i, ids in zip(here, self._side_by_side([pieces[i] for i in here]), strict=True):
+                out[i] = ids
+        return out
+
+    def _side_by_side(self, pieces: list[bytes]) -> list[bytes]:
+        n, sizes = len(pieces), np.array([len(p) for p in pieces])
+        height = int(sizes.max())
+        none = np.iinfo(np.int64).max
+        column = np.repeat(np.arange(n), sizes)
+        row = np.arange(len(column)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        # a column for each piece; cell c of all arrays below is row c // n, and row ``height`` stands for the end
+        ids = np.full((height + 1) * n, -1, np.int32)
+        ids[row * n + column] = self.first_ids[np.frombuffer(b"".join(pieces), np.uint8)]
+        after, before = (np.repeat(np.arange(height + 1) + step, n) for step in (1, -1))
+        # rank of the pair that starts in a cell and, below it, its row: the least of a column is the leftmost of the least rank
+        first = np.flatnonzero((ids[:-n] >= 0) & (ids[n:] >= 0))
+        wait = np.full((height + 1) * n, none)
+
+        def put(cell: np.ndarray, rank: np.ndarray) -> None:
+            wait[cell] = np.where(rank >= 0, rank.astype(np.int64) << ROW_BITS | cell // n, none)
+
+        put(first, self.pairs(ids[first], ids[first + n]))
+        while True:
+            least = wait.reshape(-1, n).min(axis=0)
+            at = np.flatnonzero(least < none)
+            if not len(at):
+                break
+            i = (least[at] & ((1 << ROW_BITS) - 1)) * n + at
+            j = after[i] * n + at
+            k = after[j] * n + at
+            ids[i], ids[j] = least[at] >> ROW_BITS, -1
+            wait[i] = wait[j] = none
+            after[i] = after[j]
+            more = k < height * n
+            more[more] = ids[k[more]] >= 0
+            x, y = i[more], k[more]
+            before[y] = x // n
+            put(x, self.pairs(ids[x], ids[y]))
+            less = before[i] >= 0
+            y = i[less]
+            x = before[y] * n + at[less]
+            put(x, self.pairs(ids[x], ids[y]))
+        kept = ids.reshape(-1, n).T
+        there = kept >= 0
+        flat, ends = kept[there].tobytes(), np.cumsum(4 * there.sum(axis=1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts, packed as four bytes each; runs that are not remembered are merged together."""
+        runs = [self.runs(t) for t in texts]
+        needed = set().union(*runs)
+        new = [run for run in needed if run not in self.memory]
+        if len(self.memory) + len(new) > REMEMBERED:
+            self.memory = {run: self.memory[run] for run in needed if run in self.memory}
+        split = [[run] if run[1:].isalpha() and run[0] in LETTERS and run.isascii() else self.split(run) for run in new]
+        pieces = list(set().union(*split))
+        ids = dict(zip(pieces, self.merge_many([p.encode("utf-8") for p in pieces]), strict=True))
+        memory = self.memory
+        for run, parts in zip(new, split, strict=True):
+            memory[run] = ids[parts[0]] if len(parts) == 1 else b"".join(map(ids.__getitem__, parts))
+        out = [b"".join(map(memory.__getitem__, r)) for r in runs]
+        for run in new:
+            if len(run) > SHORT:
+                del memory[run]
+        return out
+
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text; special tokens are ordinary text here."""
-        return np.frombuffer(b"".join(map(self.memory.__getitem__, self.runs(text))), np.int32)
+        return np.frombuffer(self.encode_all([text])[0], np.int32)
 
     def decode(self, ids: Iterable[int]) -> bytes:
         """Bytes of token ids."""
@@ -217,13 +332,10 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         codec = _codec(vocabulary, pattern, runs)
-        offsets, chunks = [0], []
-        for value in batch.column(at):
-            ids = codec.encode(value.as_py() or "")
-            chunks.append(ids)
-            offsets.append(offsets[-1] + len(ids))
-        flat = np.concatenate(chunks) if chunks else np.zeros(0, np.int32)
-        return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))]
+        texts = [value or "" for value in batch.column(at).to_pylist()]
+        chunks = [ids for i in range(0, len(texts), TOGETHER) for ids in codec.encode_all(texts[i : i + TOGETHER])]
+        offsets = np.cumsum([0, *(len(ids) // 4 for ids in chunks)])
+        return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(chunks), np.int32)))]
 
     return with_arrow(df, run, f"`{out}` array<int>")
 

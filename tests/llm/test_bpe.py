@@ -71,3 +71,23 @@ def test_query(spark, library):
         want[r["doc_id"]] = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest())
     got = {r[0]: tuple(r)[1:] for r in queries.op2_byte_bpe(spark, "/root/testdata/sf0.001").collect()}
     assert got == want
+
+
+def test_short_pre_tokens_are_merged_side_by_side(library, monkeypatch):
+    """Many texts at a time, with more runs than are remembered: as the library has them, and no short one is merged by itself."""
+    own = bpe.Codec(bpe.read_ranks(PATH), public_tokenizers.PATTERN, bpe.RUNS)
+    monkeypatch.setattr(bpe, "REMEMBERED", 500)
+    alone = []
+    merge = own.merge
+    monkeypatch.setattr(own, "merge", lambda piece: alone.append(piece) or merge(piece))
+    rng = random.Random(12)
+
+    def word():
+        return "".join(rng.choice(["th", "e", "a", "aa", "ing", "é", "中", "z", "'s", "1"]) for _ in range(rng.randint(1, 14)))
+
+    for _ in range(6):
+        texts = ["".join(word() + rng.choice([" ", ". ", "\n", "  ", ",", "'"]) for _ in range(150)) for _ in range(12)] + ["", "a", "ab" * 200]
+        assert [len(x) // 4 for x in own.encode_all(texts)] == [len(library.encode_ordinary(t)) for t in texts]
+        for t, ids in zip(texts, own.encode_all(texts), strict=True):
+            assert list(memoryview(ids).cast("i")) == library.encode_ordinary(t)
+    assert all(len(piece) > bpe.SHORT for piece in alone) and len(own.memory) <= 500 + 12 * 300
