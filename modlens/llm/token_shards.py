@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import uuid
 
 import numpy as np
@@ -52,16 +53,25 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+#: White space that the usual split pattern ends with, and what it comes to where no white space follows white space.  The look-ahead
+#: makes an encoder split slowly.
+LOOK_AHEAD, PLAIN = r"|\s+(?!\S)|\s+", r"|\s+"
+_two_white = re.compile(r"\s\s").search  # at least what the encoder takes for white space
+
+
 class Tokenizer:
-    """A rank file and a split pattern, for the public encoder; loaded once per worker."""
+    """A rank file and a split pattern, for the public encoder; loaded once per worker.
+
+    Texts in which no white space follows white space are split without the pattern's look-ahead, to the same pieces.
+    """
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as file:
             self.ranks = file.read()
-        self.pattern, self._encoder = pattern, None
+        self.pattern, self._encoder, self._plain = pattern, None, None
 
     def __getstate__(self):
-        return {"ranks": self.ranks, "pattern": self.pattern, "_encoder": None}
+        return {"ranks": self.ranks, "pattern": self.pattern, "_encoder": None, "_plain": None}
 
     @property
     def size(self) -> int:
@@ -71,6 +81,11 @@ class Tokenizer:
         if self._encoder is None:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, self.ranks.splitlines())}
             self._encoder = tiktoken.Encoding("shards", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
+            if self.pattern.endswith(LOOK_AHEAD):
+                plain = self.pattern.removesuffix(LOOK_AHEAD) + PLAIN
+                self._plain = tiktoken.Encoding("shards-plain", pat_str=plain, mergeable_ranks=ranks, special_tokens={})
+        if self._plain is not None and not _two_white(text):
+            return self._plain.encode_ordinary(text)
         return self._encoder.encode_ordinary(text)
 
 

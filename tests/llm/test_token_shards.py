@@ -1,6 +1,7 @@
 """Shards hold every document, in the order that the permutation gives."""
 
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
@@ -56,3 +57,17 @@ def test_empty(spark, tmp_path):
     tokenizer = token_shards.Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     folder, index = token_shards.write_shards(spark.createDataFrame([], "doc_id bigint, text string"), tokenizer, str(tmp_path / "out"))
     assert index.count() == 0 and len(token_shards.read_slots(folder, 0, 5)) == 0
+
+
+def test_texts_without_white_space_in_a_row_need_no_look_ahead():
+    rng = random.Random(3)
+    tokenizer = token_shards.Tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    tokenizer.encode("")
+    full = tokenizer._encoder
+    for _ in range(4000):
+        text = "".join(rng.choice("aab1é's.   \n\t\x85\x1c\u2003\u200b\u180e中😀") for _ in range(rng.randint(0, 30)))
+        assert tokenizer.encode(text) == full.encode_ordinary(text), text
+    texts = ["a b\nc d's é.\n", " a", "a ", "the words of\ta text"]
+    want = [full.encode_ordinary(t) for t in texts]
+    tokenizer._encoder = object()  # must not be needed
+    assert [tokenizer.encode(t) for t in texts] == want
