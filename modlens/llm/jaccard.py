@@ -16,8 +16,9 @@ Verify.  Equal sets are one class from the start.  Classes that share a word are
 that word only (a star): by their bits, and where these are near enough, exactly on the sets.  Whatever is linked by
 then needs no more comparing.  In the words whose other members still lie in several components another hub is
 drawn, and so on while that joins components.  What then is still apart is compared by bits in tiles, members of
-different components only, and verified exactly where the bits are near enough.  So all links between components
-are found, and no group's pairs are listed.
+different components only, and verified exactly where the bits are near enough.  Two tiles list a forest of what is near;
+where a pair of it is no link, its word is compared again, without that pair, and at last pair by pair.  So all links
+between components are found, and no group's pairs are listed.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modlens.llm.common import discard, forget_others, pieces, saved, with_arrow, with_class
+from modlens.llm.common import discard, forget_others, hashed_words, pieces, saved, with_arrow, with_class
 from modlens.llm.graph import components
 
 WORDS = 5
@@ -41,6 +42,10 @@ BAND = 4
 SINGLE = 64
 #: Sets in a tile, about; a tile is compared in one task.
 TILE = 1024
+#: Rows that hold texts, sets or bits come to Python so many at a time.
+LONG = 512
+#: Turns in which tiles list a forest of what is near, before they list every pair that is left.
+FORESTS = 2
 #: Bits of a sketch at least: the more there are per element, the closer is their distance to the symmetric difference.
 LEAST_BITS = 4096
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -53,14 +58,35 @@ def shingles(text: str | None) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(words) < WORDS:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), len(words))], np.uint64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return np.unique(_runs(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))))
+
+
+def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The :func:`shingles` of every text, of many texts at a time."""
+    for part, words, at in hashed_words(texts):
+        runs = _runs(words) if len(words) >= WORDS else words
+        for i, (begin, end) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+            if end - begin >= WORDS:
+                own = np.sort(runs[begin : end - WORDS + 1])
+                yield own[np.concatenate([[True], own[1:] != own[:-1]])]
+            else:
+                yield shingles(part[i].as_py()) if end > begin else np.zeros(0, np.uint64)
+
+
+def nodes_of(texts: pa.Array) -> list[int]:
+    """The class of every text."""
+    return [node_of(h) for h in shingle_sets(texts)]
+
+
+def _runs(words: np.ndarray) -> np.ndarray:
+    """Hashes of all runs of ``WORDS`` words."""
     n = len(words) - WORDS + 1
-    out = h[:n].copy()
+    out = words[:n].copy()
     for k in range(1, WORDS):
         out ^= out >> np.uint64(29)
         out *= GOLDEN
-        out += h[k : n + k]
-    return np.unique(_mixed(out))
+        out += words[k : n + k]
+    return _mixed(out)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -102,16 +128,23 @@ def join_keys(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         word = np.bitwise_xor.reduceat(hashes, starts)
         rare = np.minimum.reduceat(often, starts)
         key = _mixed(word + part[starts] * GOLDEN + np.uint64(band + 1))
-        order = np.lexsort((key, rare))[: differ + 1]
-        keys.append(key[order])
+        # in one number: how often, and most of the key
+        both = np.minimum(rare, (1 << 24) - 1).astype(np.uint64) << np.uint64(40) | key >> np.uint64(24)
+        order = np.argsort(both)
+        if (np.diff(both[order]) == 0).any():
+            order = np.lexsort((key, both))
+        keys.append(key[order[: differ + 1]])
     return np.concatenate(keys).view(np.int64)
 
 
 def sketch_bits(hashes: np.ndarray, end: int) -> bytes:
     """Parities of the number of hashes per part."""
     size = max(LEAST_BITS, end)
-    at = (hashes >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)
-    return np.packbits(np.bincount(at.astype(np.int64), minlength=size) & 1).tobytes()
+    at = (hashes >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)  # ascending, as the hashes are
+    starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    odd = np.zeros(size, np.uint8)
+    odd[at[starts]] = np.diff(starts, append=len(at)) & 1
+    return np.packbits(odd).tobytes()
 
 
 BITS = "band int, bits binary, bits_below binary"
@@ -128,8 +161,7 @@ def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
         for batch in pieces(batches):
             keys = batch.column(0)
             sizes, nodes, own, below, at, seen = [], [], [], [], [], []
-            for t in batch.column(1):
-                h = shingles(t.as_py())
+            for h in shingle_sets(batch.column(1)):
                 found = bands(len(h)) if len(h) else []
                 at.append(found[0][0] if found else None)
                 own.append(sketch_bits(h, found[0][1]) if found else None)
@@ -173,8 +205,7 @@ def _key_rows(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
                     ["word", "n", "node"],
                 )
 
-            for t in batch.column(0):
-                h = shingles(t.as_py())
+            for h in shingle_sets(batch.column(0)):
                 if not len(h) or (node := node_of(h)) in seen:
                     continue
                 seen.add(node)
@@ -196,7 +227,7 @@ def _class_sets(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            sets = [shingles(t.as_py()).tobytes() for t in batch.column(1)]
+            sets = [h.tobytes() for h in shingle_sets(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "elements"])
 
     return texts.mapInArrow(run, "node bigint, elements binary")
@@ -240,18 +271,26 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "of_a", "of_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _across(mixed: DataFrame) -> DataFrame:
+def _across(mixed: DataFrame, forest: bool = False) -> DataFrame:
     """Pairs of members of a word's different components whose bits are close enough; compared tile by tile.
 
+    With ``forest`` two tiles list no pair whose ends the pairs listed before would join, so never more pairs than they have members;
+    ``more`` says that some were left out.  If all that were listed prove to be links, then so joined are the ends of those left out.
+    A row's ``barred`` members are not compared with it.
+
     Members are dealt by set size, in steps of more than 4 / 3, and within a step by hash into tiles: linked sets lie in the same
     step or in neighbouring ones, so a member meets the tiles of these only.
     """
     # the step is a little longer than 4 / 3, so no rounding of the logarithm parts linked sets by two steps
     steps = mixed.withColumn("step", F.floor(F.ln("n") / F.lit(float(np.log(1.35)))).cast("int"))
-    sizes = steps.groupBy("word", "step").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
-    shape = sizes.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("step", "tiles"))).alias("tiles"))  # some sixty steps at most
-    own = F.element_at("tiles", F.col("step"))
-    tiled = steps.join(shape, "word").withColumn("tile", F.pmod(F.xxhash64("node"), own).cast("int"))
+    sizes = steps.groupBy("word", "step").agg(F.count(F.lit(1)).alias("members"))
+    dealt = F.struct("step", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
+    shape = sizes.groupBy("word").agg(F.map_from_entries(F.collect_list(dealt)).alias("tiles"), F.sum("members").alias("members"))  # some sixty steps at most
+    # the members of most words are one tile together
+    one = F.col("members") <= TILE
+    shape = shape.select("word", one.alias("one"), F.when(one, F.create_map(F.lit(0), F.lit(1))).otherwise(F.col("tiles")).alias("tiles"))
+    tiled = steps.join(shape, "word").withColumn("step", F.when(F.col("one"), 0).otherwise(F.col("step")))
+    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("node"), F.element_at("tiles", F.col("step"))).cast("int"))
 
     def against(step: Column, place) -> Column:
         """A pair of tiles for every tile of a step, none where the word has no such step."""
@@ -267,34 +306,57 @@ def _across(mixed: DataFrame) -> DataFrame:
         against(step + 1, lambda o: pair(step, tile, step + 1, o)),
         against(step - 1, lambda o: pair(step - 1, o, step, tile)),
     )
-    placed = tiled.select("word", "node", "root", "n", "band", "bits", "bits_below", "step", "tile", F.explode(meets).alias("p"))
+    if "barred" not in mixed.columns:
+        tiled = tiled.withColumn("barred", F.lit(None).cast("array<bigint>"))
+    placed = tiled.select("word", "node", "root", "n", "band", "bits", "bits_below", "barred", "step", "tile", F.explode(meets).alias("p"))
     placed = placed.select("*", "p.*").drop("p")
 
     def run(key, rows):
         first, second = (key[1].as_py(), key[2].as_py()), (key[3].as_py(), key[4].as_py())
         step, tile, root, n, node, band = (rows[c].to_numpy() for c in ("step", "tile", "root", "n", "node", "band"))
         left, right = ((step == s) & (tile == t) for s, t in (first, second))
-        own, below = rows["bits"].to_pylist(), rows["bits_below"].to_pylist()
-        found = []
+        own, below, barred = (rows[c].to_pylist() for c in ("bits", "bits_below", "barred"))
+        pairs = [np.zeros((0, 3), np.int64)]
         for b in np.unique(band).tolist():
             has = [(i, own[i] if band[i] == b else below[i]) for i in range(len(own)) if band[i] == b or (band[i] == b + 1 and below[i])]
             at = np.array([i for i, _ in has])
-            packed = np.stack([np.frombuffer(v, np.uint8) for _, v in has])
-            for p, i in enumerate(at.tolist()):
-                if not left[i]:
-                    continue
-                theirs = right[at] & (root[at] != root[i])
+            packed = np.frombuffer(b"".join(v for _, v in has), np.uint64).reshape(len(has), -1)
+            p, q = np.flatnonzero(left[at]), np.flatnonzero(right[at])
+            lines = max(1, (1 << 21) // max(1, packed[q].size))
+            for x in (p[k : k + lines] for k in range(0, len(p), lines)):
+                i, j = at[x][:, None], at[q][None, :]
+                near = (root[i] != root[j]) & (4 * n[j] >= 3 * n[i]) & (3 * n[j] <= 4 * n[i])
                 if first == second:
-                    theirs &= at > i
-                theirs &= (4 * n[at] >= 3 * n[i]) & (3 * n[at] <= 4 * n[i])
-                q = np.flatnonzero(theirs)
-                if len(q):
-                    far = np.bitwise_count(packed[q] ^ packed[p]).sum(axis=1)
-                    for j in at[q[7 * far <= n[i] + n[at[q]]]].tolist():
-                        found.append((min(node[i], node[j]), max(node[i], node[j])))
-        return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
-
-    return placed.groupBy("word", "a", "x", "b", "y").applyInArrow(run, "a bigint, b bigint")
+                    near &= j > i
+                far = np.bitwise_count(packed[x][:, None] ^ packed[q][None, :]).sum(axis=2, dtype=np.int32)
+                i, j = np.nonzero(near & (7 * far <= n[i] + n[j]))
+                pairs.append(np.stack([at[x[i]], at[q[j]], far[i, j]], axis=1))
+        pairs = np.concatenate(pairs)
+        pairs = pairs[[not barred[i] or node[j] not in barred[i] for i, j, _ in pairs.tolist()]] if len(pairs) and any(barred) else pairs
+        found, more = pairs[:, :2].tolist(), False
+        if forest and found:
+            up = dict(zip(root.tolist(), root.tolist(), strict=True))  # by their roots, and by the pairs listed so far
+
+            def top(x):
+                while up[x] != x:
+                    up[x] = x = up[up[x]]
+                return x
+
+            found = []
+            for i, j, _ in pairs[np.argsort(pairs[:, 2], kind="stable")].tolist():  # the nearest first
+                x, y = top(int(root[i])), top(int(root[j]))
+                if x != y:
+                    up[x] = y
+                    found.append((i, j))
+            more = len(found) < len(pairs)
+        found = [(min(node[i], node[j]), max(node[i], node[j])) for i, j in found]
+        return pa.table(
+            [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64()), pa.array(np.full(len(found), key[0].as_py(), np.int64)), pa.array(np.full(len(found), more))],
+            ["a", "b", "word", "more"],
+        )
+
+    listed = placed.groupBy("word", "a", "x", "b", "y").applyInArrow(run, "a bigint, b bigint, word bigint, more boolean")
+    return listed if forest else listed.select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -306,7 +368,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     least unless all are null.  An empty table gives an empty table; other columns of ``docs`` are not read.
     """
     spark = docs.sparkSession
-    found = saved(_sets(docs, key, text), "shingle-sets")
+    found = saved(_sets(docs, key, text), "shingle-sets", LONG)
     rows = found.where("node IS NOT NULL").select("key", "n", "node")
     counts = np.zeros(COUNTERS, np.int64)
     sums = found.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("times").alias("times")).toArrow()  # COUNTERS rows at most
@@ -316,19 +378,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     word = Window.partitionBy("word")
     shared = _key_rows(docs, text, counts).select("*", F.min(F.struct("node", "n")).over(word).alias("hub"), F.max("node").over(word).alias("last"))
     shared = shared.where("hub.node <> last AND hub.node <> node")
-    shared = saved(shared.select("word", "node", "n", "hub").distinct(), "shared-words")
+    shared = saved(shared.select("word", "node", "n", "hub").distinct(), "shared-words", LONG)
     first = rows.where("n > 0").groupBy("node").agg(F.min("key").alias("first"))
-    bits = found.where("n > 0").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "band", "bits", "bits_below")))
+    sharing = shared.select("node").unionByName(shared.select(F.col("hub.node").alias("node"))).distinct()
+    bits = found.where("n > 0").join(sharing, "node", "left_semi").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "band", "bits", "bits_below")))
+    bits = saved(bits, "sketches")
 
     def sets_of(nodes: DataFrame, name: str) -> DataFrame:
-        texts = with_class(docs, text, lambda t: node_of(shingles(t))).join(nodes, "node")
-        return saved(_class_sets(texts.dropDuplicates(["node"]).select("node", "text")), name)
+        texts = with_class(docs, text, nodes_of).join(nodes, "node")
+        return saved(_class_sets(texts.dropDuplicates(["node"]).select("node", "text")), name, LONG)
 
     size_fits = "4 * least(n, hub.n) >= 3 * greatest(n, hub.n)"
-    near = saved(_near(shared.where(size_fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), bits), "star-candidates")
+    near = saved(_near(shared.where(size_fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), bits), "star-candidates", LONG)
     ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
     star_sets = sets_of(ends, "star-sets")
-    links = saved(_linked(near, star_sets), "star-links")
+    links = saved(_linked(near, star_sets), "star-links", LONG)
     discard(star_sets)
     discard(near)
     root = components(links)
@@ -352,7 +416,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             dealt = members.withColumn("hub", pick).where("node <> hub.node")
             pairs = dealt.where(f"root <> hub.root AND {size_fits}").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
             past = links, members
-            links = saved(links.unionByName(_linked(_near(pairs.distinct(), bits), sets)), "links")
+            links = saved(links.unionByName(_linked(_near(pairs.distinct(), bits), sets)), "links", LONG)
             root = components(links)
             members = apart(dealt.select("word", "n", "node"))
             for table in past:
@@ -362,13 +426,36 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                 break
         alike = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("node").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("node", F.lit(1))))
         words = members.groupBy("word").agg(alike.alias("members")).groupBy("members").agg(F.min("word").alias("word")).select("word")
-        mixed = members.join(words, "word").join(bits.drop("n"), "node")
-        past = links, members, sets
-        links = saved(links.unionByName(_linked(_across(mixed).distinct(), sets)), "links")
-        root = components(links)
-        for table in past:
-            discard(table)
-
+        rest, turn, tried = members.join(words, "word"), 0, None
+        while rest is not None:
+            turn += 1
+            mixed = rest.join(bits.drop("n"), "node")
+            if tried is not None:
+                both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+                mixed = mixed.join(both.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("barred")), "node", "left")
+            listed = saved(_across(mixed, turn <= FORESTS), "tile-pairs", LONG)
+            pairs = listed.select("a", "b").distinct()
+            new = saved(_linked(pairs, sets), "tile-links", LONG)
+            past = links
+            links = saved(links.unionByName(new), "links")
+            discard(past)
+            root = components(links)
+            rest = None
+            if turn <= FORESTS:
+                # a pair that is no link may have kept others from being listed: its word is compared again
+                again = listed.join(new, ["a", "b"], "left_anti")
+                words = saved(again.where("more").select("word").distinct(), "words-again")
+            if turn <= FORESTS and not words.isEmpty():
+                failed = again.select("a", "b").distinct()
+                tried = saved(failed if tried is None else tried.unionByName(failed).distinct(), "tile-failed")
+                rest = saved(members.join(words, "word").drop("root").join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "members-again")
+                rest = rest.select("word", "n", "node", "root")
+            discard(listed)
+            discard(new)
+        discard(members)
+        discard(sets)
+
+    discard(bits)
     least = root.join(first, "node").groupBy("root").agg(F.min("first").alias("component"))
     named = root.join(least, "root").select("node", "root", "component")
     out = rows.join(first, "node", "left").join(named, "node", "left")
@@ -390,7 +477,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     at = docs.columns.index(text)
 
     def classes(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [pa.array([node_of(shingles(t.as_py())) for t in batch.column(at)], pa.int64())]
+        return [pa.array(nodes_of(batch.column(at)), pa.int64())]
 
     bare = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     full = with_arrow(docs.where(~bare), classes, "__node bigint")

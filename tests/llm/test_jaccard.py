@@ -159,3 +159,83 @@ def test_tiles_lose_no_pair_of_a_word(spark, monkeypatch):
                         want.add((x[1], y[1]))
     assert want <= got and len(want) > 20
     assert all(4 * min(sets[a][3], sets[b][3]) >= 3 * max(sets[a][3], sets[b][3]) and sets[a][2] != sets[b][2] for a, b in got)
+
+
+def test_tiles_list_a_forest(spark):
+    """What is near in a large group is listed as a forest, and barred pairs not at all."""
+    import numpy as np
+
+    base = np.unique(np.random.default_rng(6).integers(0, 2**64, 300, np.uint64))
+    rows = []
+    for i in range(60):
+        own = np.delete(base, i)
+        band, end, _ = jaccard.bands(len(own))[0]
+        rows.append((1, i, i, len(own), band, jaccard.sketch_bits(own, end), None, [0, 1] if i > 1 else list(range(60))))
+    columns = "word bigint, node bigint, root bigint, n bigint, band int, bits binary, bits_below binary, barred array<bigint>"
+    mixed = spark.createDataFrame(rows, columns)
+    whole = jaccard._across(mixed.drop("barred")).collect()
+    assert len(whole) == 60 * 59 // 2
+    found = jaccard._across(mixed.drop("barred"), forest=True).collect()
+    assert len(found) == 59 and all(r["word"] == 1 and r["more"] for r in found)
+    assert len(brute_components((r["a"], r["b"]) for r in found)) == 1
+    found = jaccard._across(mixed, forest=True).collect()
+    assert len(found) == 57 and min(r["a"] for r in found) == 2
+
+
+def brute_components(edges):
+    groups = []
+    for a, b in edges:
+        own = [g for g in groups if g & {a, b}]
+        groups = [g for g in groups if g not in own] + [set().union({a, b}, *own)]
+    return groups
+
+
+def test_a_group_of_near_copies_whose_forest_fails(spark, monkeypatch):
+    """Sketches of few bits let pairs through that are no links; every link is found all the same, in forests or pair by pair."""
+    monkeypatch.setattr(jaccard, "LEAST_BITS", 64)
+    rng = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    common = [rng.choice(vocabulary) for _ in range(60)]
+    rows = []
+    for i in range(150):
+        w = list(common)
+        for _ in range(rng.randint(1, 3)):
+            w[rng.randrange(60)] = rng.choice(vocabulary)
+        rows.append((i, " ".join(w)))
+    want = brute_force(rows)
+    for forests in (1, 20):
+        monkeypatch.setattr(jaccard, "FORESTS", forests)
+        got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
+def test_sets_of_many_texts_are_those_of_each(monkeypatch):
+    import pyarrow as pa
+
+    from modlens.llm import common
+
+    texts = pa.array([None, "", " ", "a", "A b\tc", "  x y z u v w ", "\u00e9 \u00c9 \x0b q\x0c r\x1c s\x85 t\u3000u v w", "a b c d e f g h\n", "\n a b c d e"])
+    for size in (1, 10, 1 << 22):
+        monkeypatch.setattr(common, "TOGETHER", size)
+        for some in (texts, texts.slice(2), texts.slice(0, 1), texts.slice(0, 0)):
+            assert [h.tolist() for h in jaccard.shingle_sets(some)] == [jaccard.shingles(t).tolist() for t in some.to_pylist()]
+
+
+def test_working_tables_leave_no_shuffle_files(spark, tmp_path):
+    """What a stored table shuffled goes with it, and settings are as before."""
+    from modlens.llm.common import saved
+
+    asked = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(asked), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    status = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    count = status.getAllFiles().size()
+    for _ in range(3):
+        assert len(saved(spark.range(1000).repartition(7, "id"), "numbers", 100).collect()) == 1000
+    import time
+
+    for _ in range(50):  # they are deleted in the background
+        if status.getAllFiles().size() <= count:
+            break
+        time.sleep(0.1)
+    assert status.getAllFiles().size() <= count
+    assert before == (spark.conf.get(asked), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
