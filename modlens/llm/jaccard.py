@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modlens.llm.common import discard, forget_others, hashed_words, pieces, saved, with_arrow, with_class
+from modlens.llm.common import digest, discard, forget_others, hashed_words, pieces, saved, texts_of, with_arrow
 from modlens.llm.graph import components
 
 WORDS = 5
@@ -151,7 +151,7 @@ BITS = "band int, bits binary, bits_below binary"
 
 
 def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row key, set size, class and bits; and, as further rows, how often shingles of each hash value occur."""
+    """Per row key, set size, class, the text's digest and bits; and, as further rows, how often shingles of each hash value occur."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,18 +173,19 @@ def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                 counts += np.bincount((np.concatenate(seen) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
             none = pa.nulls(len(sizes), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none, none, pa.array(at, pa.int32()), pa.array(own, pa.binary()), pa.array(below, pa.binary())],
+                [keys, pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), batch.column(2), none, none, pa.array(at, pa.int32()), pa.array(own, pa.binary()), pa.array(below, pa.binary())],
                 names,
             )
         used = np.flatnonzero(counts)
         if keys is not None:
             none, bare = pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(used), keys.type), none, none, pa.array(used), pa.array(counts[used]), pa.nulls(len(used), pa.int32()), bare, bare], names
+                [pa.nulls(len(used), keys.type), none, none, none, pa.array(used), pa.array(counts[used]), pa.nulls(len(used), pa.int32()), bare, bare], names
             )
 
-    names = ["key", "n", "node", "counter", "times", "band", "bits", "bits_below"]
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n bigint, node bigint, counter bigint, times bigint, {BITS}")
+    names = ["key", "n", "node", "digest", "counter", "times", "band", "bits", "bits_below"]
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), digest(text).alias("digest"))
+    return rows.mapInArrow(run, f"key {kind}, n bigint, node bigint, digest bigint, counter bigint, times bigint, {BITS}")
 
 
 def _key_rows(docs: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
@@ -226,6 +227,7 @@ def _class_sets(texts: DataFrame) -> DataFrame:
     """(node, elements): the packed set of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(__name__)
         for batch in pieces(batches):
             sets = [h.tobytes() for h in shingle_sets(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "elements"])
@@ -242,6 +244,7 @@ def _near(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     y = F.when(F.expr("band_b <= band_a"), F.col("bits_b")).otherwise(F.col("bits_below_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(__name__)
         for batch in pieces(batches):
             most = batch.column(2).to_pylist()
             keep = [
@@ -260,6 +263,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     both = pairs.join(own, "b").join(hub, "a")  # as in _near: the hub is met where its pairs are
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(__name__)
         for batch in pieces(batches, 256):
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
@@ -381,19 +385,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = saved(shared.select("word", "node", "n", "hub").distinct(), "shared-words", LONG)
     first = rows.where("n > 0").groupBy("node").agg(F.min("key").alias("first"))
     sharing = shared.select("node").unionByName(shared.select(F.col("hub.node").alias("node"))).distinct()
-    bits = found.where("n > 0").join(sharing, "node", "left_semi").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "band", "bits", "bits_below")))
-    bits = saved(bits, "sketches")
-
-    def sets_of(nodes: DataFrame, name: str) -> DataFrame:
-        texts = with_class(docs, text, nodes_of).join(nodes, "node")
-        return saved(_class_sets(texts.dropDuplicates(["node"]).select("node", "text")), name, LONG)
+    bits = found.where("n > 0").join(sharing, "node", "left_semi").groupBy("node")
+    bits = saved(bits.agg(*(F.first(c).alias(c) for c in ("n", "band", "bits", "bits_below")), F.min("digest").alias("digest")), "sketches")
+
+    def linked(pairs: DataFrame, name: str, others: DataFrame | None = None) -> DataFrame:
+        """The links among the pairs of a saved table, and ``others``; only the sets of these pairs' ends are made and shuffled."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ends = saved(ends.join(bits.select("node", "digest"), "node"), f"{name}-ends")
+        sets = saved(_class_sets(texts_of(docs, text, ends)), f"{name}-sets", LONG)
+        found = _linked(pairs, sets)
+        out = saved(found if others is None else others.unionByName(found), f"{name}-links", LONG)
+        discard(ends)
+        discard(sets)
+        return out
 
     size_fits = "4 * least(n, hub.n) >= 3 * greatest(n, hub.n)"
     near = saved(_near(shared.where(size_fits).select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), bits), "star-candidates", LONG)
-    ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
-    star_sets = sets_of(ends, "star-sets")
-    links = saved(_linked(near, star_sets), "star-links", LONG)
-    discard(star_sets)
+    links = linked(near, "star")
     discard(near)
     root = components(links)
 
@@ -408,15 +416,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     discard(shared)
     left = members.count()
     if left:
-        sets = sets_of(members.select("node").distinct(), "member-sets")
         turn = 0
         while left:
             turn += 1
             pick = F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).over(word)
             dealt = members.withColumn("hub", pick).where("node <> hub.node")
             pairs = dealt.where(f"root <> hub.root AND {size_fits}").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-            past = links, members
-            links = saved(links.unionByName(_linked(_near(pairs.distinct(), bits), sets)), "links", LONG)
+            near = saved(_near(pairs.distinct(), bits), "hub-candidates", LONG)
+            past = links, members, near
+            links = linked(near, "hub", links)
             root = components(links)
             members = apart(dealt.select("word", "n", "node"))
             for table in past:
@@ -429,13 +437,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         rest, turn, tried = members.join(words, "word"), 0, None
         while rest is not None:
             turn += 1
-            mixed = rest.join(bits.drop("n"), "node")
+            mixed = rest.join(bits.drop("n", "digest"), "node")
             if tried is not None:
                 both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
                 mixed = mixed.join(both.groupBy(F.col("a").alias("node")).agg(F.collect_set("b").alias("barred")), "node", "left")
             listed = saved(_across(mixed, turn <= FORESTS), "tile-pairs", LONG)
             pairs = listed.select("a", "b").distinct()
-            new = saved(_linked(pairs, sets), "tile-links", LONG)
+            new = linked(pairs, "tile")
             past = links
             links = saved(links.unionByName(new), "links")
             discard(past)
@@ -453,7 +461,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             discard(listed)
             discard(new)
         discard(members)
-        discard(sets)
 
     discard(bits)
     least = root.join(first, "node").groupBy("root").agg(F.min("first").alias("component"))

@@ -239,3 +239,39 @@ def test_working_tables_leave_no_shuffle_files(spark, tmp_path):
         time.sleep(0.1)
     assert status.getAllFiles().size() <= count
     assert before == (spark.conf.get(asked), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+
+
+def test_only_the_sets_of_candidates_are_made(spark, monkeypatch):
+    """Texts that share words but are too far apart by their bits are not made into sets for every turn."""
+    rng = random.Random(41)
+    common = [f"c{i}" for i in range(40)]
+    rows = [(i, " ".join(common + [f"w{rng.randrange(10**9)}" for _ in range(8)])) for i in range(30)]
+    rows += [(100, rows[5][1] + " more"), (101, rows[5][1])]
+    made = {}
+
+    def saved(df, name, batch=None, save=jaccard.saved):
+        out = save(df, name, batch)
+        made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "saved", saved)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect()}
+    assert got == brute_force(rows)
+    assert made["shared-words"] >= 30
+    assert sum(n for name, n in made.items() if name.endswith("-sets") and name != "shingle-sets") <= 6
+
+
+def test_texts_are_found_by_their_digests(spark, monkeypatch):
+    """Each wanted text comes once, whatever shares its bit, and no other."""
+    from pyspark.sql import functions as F
+
+    from modlens.llm import common
+
+    docs = spark.createDataFrame([(f"text {i % 300}",) for i in range(900)] + [(None,), ("",)], "text string").repartition(5)
+    wanted = docs.where("text LIKE '%7' OR text = ''").distinct().select(F.xxhash64("text", F.lit(1)).alias("node"), common.digest("text").alias("digest"))
+    for bits in (common.FILTER_BITS, 1 << 15):
+        monkeypatch.setattr(common, "FILTER_BITS", bits)
+        got = common.texts_of(docs, "text", wanted).collect()
+        assert sorted(r["text"] for r in got) == sorted([f"text {i}" for i in range(300) if i % 10 == 7] + [""])
+    assert common.texts_of(docs, "text", wanted.limit(0)).count() == 0
