@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from modlens.llm.common import digest, discard, forget_others, hashed_words, pieces, saved, texts_of, with_arrow
+from modlens.llm.common import digest, discard, forget_others, hashed_words, having, pieces, saved, texts_of, with_arrow
 from modlens.llm.graph import components
 
 WORDS = 5
@@ -48,6 +48,8 @@ LONG = 512
 FORESTS = 2
 #: Bits of a sketch at least: the more there are per element, the closer is their distance to the symmetric difference.
 LEAST_BITS = 4096
+#: Components that a turn may join for their new roots to be broadcast.
+FEW = 1 << 18
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -375,8 +377,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     found = saved(_sets(docs, key, text), "shingle-sets", LONG)
     rows = found.where("node IS NOT NULL").select("key", "n", "node")
     counts = np.zeros(COUNTERS, np.int64)
-    sums = found.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("times").alias("times")).toArrow()  # COUNTERS rows at most
+    times = saved(found.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("times").alias("times")), "shingle-counts")
+    sums = times.toArrow()  # COUNTERS rows at most
     counts[sums["counter"].to_numpy()] = sums["times"].to_numpy()
+    discard(times)
 
     # words that several classes hold
     word = Window.partitionBy("word")
@@ -405,14 +409,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     discard(near)
     root = components(links)
 
-    def apart(members: DataFrame) -> DataFrame:
-        """Members of words that still hold several components."""
-        now = members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    def apart(members: DataFrame, joined: DataFrame) -> DataFrame:
+        """Members of words that still hold several components; ``joined`` has the roots of what was a root before and is none now."""
+        new = joined.select(F.col("node").alias("root"), F.col("root").alias("new"))
+        new = F.broadcast(new) if joined.count() <= FEW else new
+        now = members.join(new, "root", "left").withColumn("root", F.coalesce("new", "root"))
         now = now.select("*", F.min("root").over(word).alias("low"), F.max("root").over(word).alias("high")).where("low <> high")
         return saved(now.select("word", "n", "node", "root"), "members-apart")
 
     # the hubs are compared with everyone; other hubs follow, as long as that joins components, and then the rest in tiles
-    members = apart(shared.select("word", "n", "node"))
+    members = apart(shared.select("word", "n", "node", F.col("node").alias("root")), root)
     discard(shared)
     left = members.count()
     if left:
@@ -422,11 +428,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             pick = F.min_by(F.struct("node", "n", "root"), F.xxhash64("node", F.lit(turn))).over(word)
             dealt = members.withColumn("hub", pick).where("node <> hub.node")
             pairs = dealt.where(f"root <> hub.root AND {size_fits}").select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
-            near = saved(_near(pairs.distinct(), bits), "hub-candidates", LONG)
-            past = links, members, near
+            pairs = saved(pairs.distinct(), "hub-pairs")
+            ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+            near = saved(_near(pairs, having(bits, "node", ends)), "hub-candidates", LONG)
+            past, rooted = (links, members, near, pairs), root
             links = linked(near, "hub", links)
             root = components(links)
-            members = apart(dealt.select("word", "n", "node"))
+            joined = root.where("node <> root").join(rooted.where("node <> root"), "node", "left_anti")
+            members = apart(dealt.select("word", "n", "node", "root"), joined)
             for table in past:
                 discard(table)
             before, left = left, members.count()
