@@ -275,3 +275,10 @@ def test_texts_are_found_by_their_digests(spark, monkeypatch):
         got = common.texts_of(docs, "text", wanted).collect()
         assert sorted(r["text"] for r in got) == sorted([f"text {i}" for i in range(300) if i % 10 == 7] + [""])
     assert common.texts_of(docs, "text", wanted.limit(0)).count() == 0
+
+
+def test_new_roots_that_are_too_many_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FEW", -1)
+    rows = corpus()[::2]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_force(rows)
